@@ -183,13 +183,27 @@ def clean_inf(df, columns: Sequence[str] | None = None):
     return df.withColumns({c: F.when(F.col(c).isin(inf, -inf), F.lit(0.0)).otherwise(F.col(c)) for c in fl})
 
 
+ROUND_LIMIT = 1e9
+
+
+def round_half_up(c: Column, digits: int) -> Column:
+    """``floor(x * 10^d + 0.5) / 10^d`` for |x| < 1e9, else x unchanged.
+
+    Written as plain IEEE arithmetic so any engine gives the same bits for
+    the same input (the built-in ROUNDs of engines differ on half-way and
+    very large values); -0.0 comes out as 0.0.
+    """
+    scale = float(10 ** digits)
+    return F.when(F.abs(c) < ROUND_LIMIT, F.floor(c * scale + 0.5) / scale).otherwise(c)
+
+
 def round_doubles(df, digits: int = 6, overrides: dict[str, int] | None = None):
-    """Round floating columns for cross-engine comparison; ``+ 0.0`` folds -0.0 into 0.0."""
+    """Round floating columns for cross-engine comparison (see ``round_half_up``)."""
     from pyspark.sql import types as T
     overrides = overrides or {}
     out = {}
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             d = overrides.get(f.name, digits)
-            out[f.name] = F.round(F.col(f"`{f.name}`"), d) + F.lit(0.0)
+            out[f.name] = round_half_up(F.col(f"`{f.name}`"), d)
     return df.withColumns(out) if out else df
