@@ -101,14 +101,17 @@ def stock_windows(df: DataFrame, stages: Sequence[Stage], lookback: int,
                     F.explode(F.sequence(F.greatest(F.col("_start") - lookback, F.lit(0)).cast("long"),
                                          F.col("_start") - 1)).alias("_p")))
     cand = rows.filter(F.col("_tail") < lookback)
+    # a halo row takes the chunk value of the chunk it serves, so the final window (and its
+    # output partitioning) is on (key, chunk) itself and later per-chunk windows reuse it
     halo = (cand.join(need, (cand[key] == need["_nk"]) & (cand["_pos"] == need["_p"]))
-            .drop("_nk", "_p").withColumn("_halo", F.lit(True)))
-    own = rows.withColumns({"_target": F.col(chunk), "_halo": F.lit(False)})
+            .withColumn(chunk, F.col("_target"))
+            .drop("_nk", "_p", "_target").withColumn("_halo", F.lit(True)))
+    own = rows.withColumn("_halo", F.lit(False))
     both = own.unionByName(halo)
 
-    w = Window.partitionBy(key, "_target").orderBy(order)
+    w = Window.partitionBy(key, chunk).orderBy(order)
     out = apply_stages(both, w, stages)
-    return out.filter(~F.col("_halo")).drop("_target", "_halo", "_pos", "_tail")
+    return out.filter(~F.col("_halo")).drop("_halo", "_pos", "_tail")
 
 
 def tail_per_key(df: DataFrame, n: int, key: str = KEY, chunk: str = CHUNK,

@@ -19,25 +19,35 @@ from auctide.operators.aggregates import add_stock_unit_stats, global_stock_stat
 from auctide.operators.series import stock_windows
 
 
+def _window_inputs(df: DataFrame) -> DataFrame:
+    """Columns the window stages read that are not in the panel."""
+    return df.withColumns({"price_spread": F.col("ask_price") - F.col("bid_price"),
+                           "mid_price": (F.col("ask_price") + F.col("bid_price")) / 2})
+
+
 def features_v1(df: DataFrame, weights: DataFrame, keep_stock_id: bool = False,
                 parity: bool = False) -> DataFrame:
     """v1: windows inside (stock, date); division by zero gives NULL.
 
-    ``parity=True`` reproduces the two name-binding slips of the reference:
-    ``imbalance_momentum`` overwrites ``imbalance_size`` and
+    Plan order: all window work first on the narrow panel (the chunked per-stock
+    stage leaves the rows partitioned by (stock_id, date_id), which the
+    per-day rolling stage reuses without another exchange), then the wide
+    per-row projections. ``parity=True`` reproduces the two name-binding slips
+    of the reference: ``imbalance_momentum`` overwrites ``imbalance_size`` and
     ``spread_depth_ratio`` overwrites ``ask_price``, and later steps read the
     overwritten columns.
     """
     z = "null"
     df = joins.join_weights(df, weights)
+    df = _window_inputs(df)
+    df = stock_windows(df, [windows.momentum_stage(z, with_wap_momentum=False)], lookback=5)
+    df = windows.v1_rolling(df, on_zero=z)
     df = joins.add_index_wap(df)
     df = joins.add_weighted_wap(df)
-    df = windows.v1_rolling(df, on_zero=z)
     df = book.pair_features(df, book.PRICES_V1_COMBOS, z)
     df = book.triplet_features(df, book.PRICES_V1_COMBOS, z, nulls="skip" if parity else "strict")
     df = book.book_imbalance(df, z, "ask/bid")
     df = book.pressure(df, z)
-    df = stock_windows(df, [windows.momentum_stage(z, with_wap_momentum=False)], lookback=5)
     if parity:
         df = (df.withColumn("imbalance_size", F.col("imbalance_momentum"))
               .withColumn("ask_price", F.col("spread_depth_ratio"))
@@ -51,27 +61,34 @@ def features_v1(df: DataFrame, weights: DataFrame, keep_stock_id: bool = False,
     return df.drop("row_id")
 
 
+_FFILL = [*windows.LAG_COLUMNS, "weighted_wap"]
+
+
+def _stock_stage(df: DataFrame, z: str, movement_missing: str) -> DataFrame:
+    """Per-stock lags, returns, differences, momentum and rolling statistics (chunked)."""
+    out = stock_windows(
+        df,
+        [lambda w: {**windows.momentum_stage(z, movement_missing=movement_missing)(w),
+                    **windows.v2_stage_lags(z)(w)},
+         windows.v2_stage_rolling],
+        lookback=windows.LOOKBACK_V2, ffill=_FFILL)
+    return out.drop(*[f"{c}_ffill" for c in _FFILL])
+
+
 def features_v2(df: DataFrame, weights: DataFrame, keep_stock_id: bool = False,
                 parity: bool = False) -> DataFrame:
     """v2: windows per stock across days; +-inf replaced by 0 (division policy "zero")."""
     z = "zero"
+    df = joins.join_weights(df, weights, weight_col="stock_weights")
+    df = joins.add_weighted_wap(df, "stock_weights")
+    df = _stock_stage(_window_inputs(df), z, "null")
     df = book.book_imbalance(df, z, "ask/bid")
     df = book.harmonic_imbalance(df, z, as_written_v2=parity)
     df = book.pair_features(df, book.PRICES, z)
     df = book.triplet_features(df, book.PRICES, z, nulls="skip" if parity else "strict")
     df = book.pressure(df, z)
-    df = df.withColumn("mid_price*volume", F.lit(None).cast("double"))  # filled after the window stage
-    df = book.row_stats(df)
-    df = joins.join_weights(df, weights, weight_col="stock_weights")
-    df = joins.add_weighted_wap(df, "stock_weights")
-    df = stock_windows(
-        df,
-        [lambda w: {**windows.momentum_stage(z)(w), **windows.v2_stage_lags(z)(w)},
-         windows.v2_stage_rolling],
-        lookback=windows.LOOKBACK_V2,
-        ffill=[*windows.LAG_COLUMNS, "weighted_wap"])
     df = df.withColumn("mid_price*volume", F.col("mid_price_movement") * F.col("volume"))
-    df = df.drop(*[f"{c}_ffill" for c in (*windows.LAG_COLUMNS, "weighted_wap")])
+    df = book.row_stats(df)
     df = book.time_features(df, "v1")
     df = add_stock_unit_stats(df)
     df = clean_inf(df)
@@ -88,20 +105,14 @@ def features_nb(df: DataFrame, weights: DataFrame, train_stats: DataFrame | None
     z = "zero"
     stats = train_stats if train_stats is not None else global_stock_stats(df)
     base = df.drop("row_id", "target")
+    base = joins.join_weights(base, weights, how="left", weight_col="stock_weights")
+    base = joins.add_weighted_wap(base, "stock_weights")
+    base = _stock_stage(_window_inputs(base), z, "zero")
     base = book.book_imbalance(base, z, "bid/ask")
     base = book.pair_features(base, book.PRICES, z)
     base = book.triplet_features_nb(base)
-    base = joins.join_weights(base, weights, how="left", weight_col="stock_weights")
-    base = joins.add_weighted_wap(base, "stock_weights")
     base = book.pressure(base, z)
     base = book.row_stats(base)
-    base = stock_windows(
-        base,
-        [lambda w: {**windows.momentum_stage(z, movement_missing="zero")(w), **windows.v2_stage_lags(z)(w)},
-         windows.v2_stage_rolling],
-        lookback=windows.LOOKBACK_V2,
-        ffill=[*windows.LAG_COLUMNS, "weighted_wap"])
-    base = base.drop(*[f"{c}_ffill" for c in (*windows.LAG_COLUMNS, "weighted_wap")])
     base = base.withColumn("mid_price*volume", F.col("mid_price_movement") * F.col("volume"))
     base = book.harmonic_imbalance(base, z)
     base = clean_inf(base)

@@ -18,7 +18,7 @@ from auctide.operators import book, folds, joins, post, windows
 from auctide.operators.series import day_window, stock_windows, tail_per_key
 from auctide.plans.features import features_nb, features_v1, features_v2
 from auctide.sources.side_tables import downcast_plan, predictions_by_rule
-from auctide.sources.snapshots import add_time_id, filter_target, preprocess, snapshots
+from auctide.sources.snapshots import SNAPSHOT_SCHEMA, add_time_id, filter_target, preprocess, snapshots
 
 K = ["stock_id", "time_id"]
 
@@ -37,7 +37,15 @@ def out(df: DataFrame) -> DataFrame:
     return round_doubles(df, 6, DIGITS)
 
 
+PANEL_PATH_CONF = "auctide.panel.path"
+
+
 def _snap(spark, sf):
+    """The snapshot panel: a stored copy when ``auctide.panel.path`` names one, else derived
+    from ``lineitem`` of ``sf``."""
+    path = spark.conf.get(PANEL_PATH_CONF, None)
+    if path:
+        return spark.read.schema(SNAPSHOT_SCHEMA).parquet(path).select(*[f.name for f in SNAPSHOT_SCHEMA.fields])
     return snapshots(spark, sf)
 
 

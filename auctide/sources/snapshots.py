@@ -78,7 +78,10 @@ def _daily(lineitem: DataFrame) -> DataFrame:
             .agg(F.max("l_extendedprice").alias("mx"), F.min("l_extendedprice").alias("mn"),
                  F.sum("l_quantity").alias("q"), F.count(F.lit(1)).alias("n"),
                  F.max("l_discount").alias("disc"), F.max("l_tax").alias("tax"),
-                 F.max("l_returnflag").alias("rf")))
+                 # the flag only needs to know whether max(l_returnflag) is 'A', 'N' or other;
+                 # boolean maxima keep this a hash aggregate (a string max would force a sort)
+                 *[F.max((F.col("l_returnflag") > v).cast("int")).alias(f"gt_{v}") for v in ("A", "N")],
+                 *[F.max((F.col("l_returnflag") == v).cast("int")).alias(f"eq_{v}") for v in ("A", "N")]))
 
 
 def _book(daily: DataFrame) -> DataFrame:
@@ -86,7 +89,9 @@ def _book(daily: DataFrame) -> DataFrame:
     s = daily.withColumn("date_id", F.floor(month_no / 8).cast("int"))
     w = Window.partitionBy("stock_id", "date_id").orderBy("d")
     r = s.withColumn("seconds_in_bucket", 10 * (F.row_number().over(w) - 1)).filter("seconds_in_bucket <= 540")
-    flag = (F.when(F.col("rf") == "A", -1).when(F.col("rf") == "N", 0).otherwise(1))
+    is_a = (F.col("gt_A") == 0) & (F.col("eq_A") == 1)
+    is_n = (F.col("gt_N") == 0) & (F.col("eq_N") == 1)
+    flag = F.when(is_a, -1).when(is_n, 0).otherwise(1)
     p = r.select(
         F.col("stock_id").cast("int").alias("stock_id"), "date_id", "seconds_in_bucket", "n", "d",
         "disc", "tax", flag.alias("flag"),
