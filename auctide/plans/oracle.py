@@ -709,6 +709,37 @@ def o_zero_sum():
     return sql(_preds(), e, x, final=sel("x", ["prediction"]))
 
 
+# ---------------------------------------------------------------- streaming (stream output = batch SQL)
+
+def o_stream_tail():
+    return o_tail_per_stock()
+
+
+def o_stream_features():
+    j = ("j AS (SELECT *, wap * weight AS weighted_wap, ask_price - bid_price AS price_spread, "
+         "(ask_price + bid_price) / 2 AS mid_price FROM snap JOIN wts USING (stock_id))")
+    f = (f"f AS (SELECT *, {ffill('reference_price')} AS rp_ff, {ffill('matched_size')} AS ms_ff, "
+         f"{ffill('weighted_wap')} AS ww_ff FROM j)")
+    cols = {
+        "imbalance_size_shift_10": lag("imbalance_size", 10, WS),
+        "reference_price_ret_10": pct("rp_ff", lag("rp_ff", 10, WS)),
+        "matched_size_ret_1": pct("ms_ff", lag("ms_ff", 1, WS)),
+        "bid_price_diff_10": f"bid_price - {lag('bid_price', 10, WS)}",
+        "ask_price_diff_10": f"ask_price - {lag('ask_price', 10, WS)}",
+        "bid_size_diff_10": f"bid_size - {lag('bid_size', 10, WS)}",
+        "ask_price_diff_5": f"ask_price - {lag('ask_price', 5, WS)}",
+        "weighted_wap_diff_3": f"weighted_wap - {lag('weighted_wap', 3, WS)}",
+        **momentum_sql("zero"),
+        "wap_momentum": pct("ww_ff", lag("ww_ff", 6, WS)),
+    }
+    x1 = f"x1 AS (SELECT stock_id, time_id, {_cols(cols)} FROM f)"
+    x = ("x AS (SELECT *, bid_price_diff_10 - ask_price_diff_10 AS price_change_diff_10, "
+         f"{roll('STDDEV_SAMP', 'bid_size_diff_10', 10, WS)} AS rolling_std_diff_bid_size_10, "
+         f"{roll('AVG', 'ask_price_diff_5', 5, WS)} AS rolling_diff_ask_price_5 FROM x1)")
+    dbl = [c for c in Q.STREAM_COLS if c != "mid_price_movement"]
+    return sql(j, f, x1, x, final=sel("x", dbl, ["mid_price_movement"]))
+
+
 ORACLES = {name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("o_") and callable(fn)}
 
 

@@ -452,6 +452,54 @@ def q_features_nb(spark, sf):
     return out(features_nb(s, _weights(s), train_stats=stats, keep_keys=True))
 
 
+
+
+# ------------------------------------------------------------------ streaming (file source -> keyed state)
+
+STREAM_COLS = ["imbalance_size_shift_10", "reference_price_ret_10", "matched_size_ret_1", "bid_price_diff_10",
+               "weighted_wap_diff_3", "price_change_diff_10", "rolling_std_diff_bid_size_10",
+               "rolling_diff_ask_price_5", "imbalance_momentum", "spread_intensity", "mid_price_movement",
+               "wap_momentum"]
+
+
+def _stream_source(spark, sf):
+    from auctide.session import scratch_path
+    from auctide.streaming.online import write_stream_files
+    src = scratch_path(spark, "stream-src")
+    write_stream_files(_snap(spark, sf), src)
+    return src
+
+
+def stream_feature_batch(batch: DataFrame, weights: DataFrame) -> DataFrame:
+    """Per-stock v2 window features of one micro-batch (buffer + new rows), new rows only."""
+    from auctide.plans.features import _stock_stage, _window_inputs
+    from auctide.streaming.online import new_rows
+    d = joins.add_weighted_wap(joins.join_weights(batch, weights, weight_col="stock_weights"), "stock_weights")
+    d = _stock_stage(_window_inputs(d), "zero", "null")
+    return new_rows(d).select(*K, *STREAM_COLS)
+
+
+def q_stream_features(spark, sf):
+    from auctide.streaming.online import run_stream
+    src = _stream_source(spark, sf)
+    weights = _weights(spark.read.parquet(src))
+    path, _ = run_stream(spark, src, SNAPSHOT_SCHEMA, lambda b: stream_feature_batch(b, weights),
+                         ffill=[*windows.LAG_COLUMNS, "wap"], name="stream-features")
+    return _read_stream_out(spark, path)
+
+
+def _read_stream_out(spark, path):
+    return out(spark.read.parquet(path).drop("batch_id"))
+
+
+def q_stream_tail(spark, sf):
+    """Keyed state after the stream: the last 21 rows per stock, read from the state store."""
+    from auctide.streaming.online import new_rows, run_stream, state_rows
+    src = _stream_source(spark, sf)
+    res, progress = run_stream(spark, src, SNAPSHOT_SCHEMA, lambda b: new_rows(b).select(*K), name="stream-tail")
+    return state_rows(spark, res).select(*K, "date_id", "seconds_in_bucket")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
