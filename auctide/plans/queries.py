@@ -500,6 +500,135 @@ def q_stream_tail(spark, sf):
     return state_rows(spark, res).select(*K, "date_id", "seconds_in_bucket")
 
 
+# ------------------------------------------------------------------ models (rows-only checks)
+
+MODEL_FEATURES = ["seconds_in_bucket", "imbalance_size", "imbalance_buy_sell_flag", "reference_price",
+                  "matched_size", "far_price", "near_price", "bid_price", "ask_price", "bid_size", "ask_size",
+                  "wap", "liquidity_imbalance", "matched_imbalance", "size_imbalance", "price_pressure",
+                  "market_urgency", "depth_pressure", "micro_price", "relative_spread", "all_prices_std",
+                  "all_sizes_std", "imbalance_size_ret_1", "matched_size_ret_3", "bid_price_diff_3",
+                  "ask_price_diff_3", "rolling_std_diff_bid_size_5", "wap_momentum", "imbalance_momentum",
+                  "reference_price_wap_imb", "stock_unit_median_size"]
+
+
+ML_FOLDS = 2
+
+
+def _model_input(spark, sf):
+    """Training rows with the model's feature columns, cached: every fit reads them."""
+    s = filter_target(_snap(spark, sf))
+    f = features_v2(s, _weights(s), keep_stock_id=True)
+    return f.select("stock_id", "time_id", "date_id", "target", *MODEL_FEATURES).cache()
+
+
+def q_gbt_cv(spark, sf):
+    """K-fold by date, boosted trees (L1 loss, early stopping on the fold) and a forest."""
+    from auctide.operators import model
+    d = _model_input(spark, sf)
+    _, _, scores = model.fit_cv(d, MODEL_FEATURES, folds.kfold(d, ML_FOLDS), kinds=("gbt", "rf"))
+    return out(scores)
+
+
+def q_refit_full(spark, sf):
+    """Refit on all rows with the mean rescaled best iteration; in-sample MAE per kind."""
+    from auctide.operators import model
+    d = _model_input(spark, sf)
+    _, _, scores = model.fit_cv(d, MODEL_FEATURES, folds.kfold(d, ML_FOLDS), kinds=("gbt",))
+    n_trees = int(scores.agg(F.avg("best_iter_scaled")).first()[0])
+    m = model.refit(d, MODEL_FEATURES, "gbt", n_trees)
+    p = m.transform(model.assemble(d, MODEL_FEATURES))
+    return out(agg.mae_by(p.withColumn("kind", F.lit("gbt")), "target", "pred_gbt", ["kind"])
+               .withColumn("n_trees", F.lit(m.getNumTrees)))
+
+
+def q_model_roundtrip(spark, sf):
+    """Fold models and the refit model written and read back; predictions must agree."""
+    from auctide.operators import model
+    from auctide.session import scratch_path
+    d = _model_input(spark, sf)
+    models, _, _ = model.fit_cv(d, MODEL_FEATURES, folds.kfold(d, ML_FOLDS), kinds=("gbt",))
+    ms = models["gbt"]
+    names = [f"gbt_fold{i}" for i in range(len(ms))]
+    path = scratch_path(spark, "models")
+    model.save_models(ms, names, path)
+    back = model.load_models(names, path, ["gbt"] * len(ms))
+    a = model.predict_all(d, MODEL_FEATURES, ms, [f"{n}_before" for n in names])
+    b = model.predict_all(a, MODEL_FEATURES, back, [f"{n}_after" for n in names])
+    same = [F.col(f"{n}_before") == F.col(f"{n}_after") for n in names]
+    cond = same[0]
+    for c in same[1:]:
+        cond = cond & c
+    return out(b.select(*K, *[f"{n}_before" for n in names], cond.alias("same")))
+
+
+def q_index_weights(spark, sf):
+    """Index-weight regression: index return built from the weight table, OLS on the pivoted
+    stock returns recovers the weights (rounded to 3 decimals)."""
+    from auctide.operators import model
+    s = _snap(spark, sf)
+    w = day_window()
+    r = s.select("stock_id", "time_id", ((F.try_divide(F.lead("wap", 6).over(w), F.col("wap")) - 1) * 10000)
+                 .alias("ret")).na.drop(subset=["ret"])
+    wts = _weights(s)
+    idx = r.join(wts, "stock_id").groupBy("time_id").agg(F.sum(F.col("ret") * F.col("weight")).alias("index_ret"))
+    ids = [row[0] for row in s.select("stock_id").distinct().orderBy("stock_id").collect()]
+    coef, r2 = model.index_weight_regression(r, idx, ids, missing="zero")
+    cmp = coef.join(wts.withColumnRenamed("weight", "weight_true"), "stock_id", "left").na.fill(0.0, ["weight_true"])
+    return out(cmp.withColumn("r2", F.lit(r2)))
+
+
+def q_objective_change(spark, sf):
+    """Train on the 60 s ahead wap, derive the target through the index, then stack the
+    prediction as a feature of a second fit on the target (MAE per stage)."""
+    from auctide.operators import model
+    d = _model_input(spark, sf)
+    s = filter_target(_snap(spark, sf))
+    extra = joins.add_index_wap(joins.join_weights(s, _weights(s))).select(
+        *K, "weight", "index_wap", F.lead("wap", 6).over(day_window()).alias("stock_wap_t60"))
+    d = d.join(extra, K).na.drop(subset=["stock_wap_t60"]).cache()
+    fl = folds.kfold(d, ML_FOLDS)
+    _, oof, _ = model.fit_cv(d, MODEL_FEATURES, fl, kinds=("gbt",), label="stock_wap_t60")
+    p = oof.select(*K, F.col("prediction").alias("pred_stock_wap_t60")).join(d, K)
+    pi = p.groupBy("time_id").agg(F.sum(F.col("pred_stock_wap_t60") * F.col("weight")).alias("pred_index_wap_t60"))
+    p = p.join(pi, "time_id").withColumn(
+        "pred_target", (F.try_divide(F.col("pred_stock_wap_t60"), F.col("wap"))
+                        - F.try_divide(F.col("pred_index_wap_t60"), F.col("index_wap"))) * 10000).cache()
+    stage1 = agg.mae_by(p.withColumn("stage", F.lit("via_index")), "target", "pred_target", ["stage"])
+    _, _, sc2 = model.fit_cv(p, [*MODEL_FEATURES, "pred_stock_wap_t60"], fl, kinds=("gbt",))
+    stage2 = sc2.groupBy().agg(F.avg("mae").alias("mae"), F.sum("n_valid").alias("n")).withColumn("stage", F.lit("stacked"))
+    return out(stage1.unionByName(stage2))
+
+
+def q_stream_score(spark, sf):
+    """Online scoring: fold models trained on the days before the last one score each
+    micro-batch of the last day's snapshots; decay-weighted ensemble, de-meaned per
+    snapshot, clipped to [-64, 64]."""
+    from auctide.operators import model
+    from auctide.streaming.online import run_stream
+    d = _model_input(spark, sf)
+    last = d.agg(F.max("date_id")).first()[0]
+    hist = d.filter(F.col("date_id") < last)
+    models, _, _ = model.fit_cv(hist, MODEL_FEATURES, folds.kfold(hist, ML_FOLDS), kinds=("gbt",))
+    ms = models["gbt"]
+    wts = post.decay_weights(len(ms))
+    src = _stream_source(spark, sf)
+    weights = _weights(spark.read.parquet(src))
+    names = [f"m{i}" for i in range(len(ms))]
+
+    def score(batch):
+        from auctide.streaming.online import new_rows
+        f = features_v2(batch, weights, keep_stock_id=True).select(*K, "date_id", "_new", *MODEL_FEATURES)
+        f = new_rows(f)
+        p = model.predict_all(f, MODEL_FEATURES, ms, names)
+        p = post.ensemble(p, names, wts)
+        p = post.clip(post.demean(p))
+        return p.select(*K, "date_id", "prediction")
+
+    path, _ = run_stream(spark, src, SNAPSHOT_SCHEMA, score, ffill=[*windows.LAG_COLUMNS, "wap"],
+                         files_per_trigger=4, name="stream-score")
+    return _read_stream_out(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
