@@ -740,6 +740,145 @@ def o_stream_features():
     return sql(j, f, x1, x, final=sel("x", dbl, ["mid_price_movement"]))
 
 
+# ---------------------------------------------------------------- full feature sets
+
+PIPE_INTS = {"stock_id", "date_id", "seconds_in_bucket", "imbalance_buy_sell_flag", "time_id", "mid_price_movement",
+             "day_of_week", "seconds", "minutes", "dow", "minute", "time_to_market_close",
+             *[f"imbalance_buy_sell_flag_shift_{k}" for k in W.STEPS]}
+
+
+def _pipeline_final(src: str, cols: list[str], clean: bool) -> list[str] | str:
+    dbl = [c for c in cols if c not in PIPE_INTS]
+    ints = [c for c in cols if c in PIPE_INTS and c not in KEYS]
+    if clean:
+        body = ", ".join([qi(c) for c in KEYS + ints] + [
+            f"CASE WHEN {qi(c)} IN ('inf'::DOUBLE, '-inf'::DOUBLE) THEN 0e0 ELSE {qi(c)} END AS {qi(c)}" for c in dbl])
+        return [f"fin AS (SELECT {body} FROM {src})"], sel("fin", dbl, ints)
+    return [], sel(src, dbl, ints)
+
+
+def _pipe_windows(prefix: str, src: str, z: str, movement_missing: str) -> tuple[list[str], list[str]]:
+    """Per-stock stage of v2/nb as CTEs; returns (ctes, new column names)."""
+    ffc = [*W.LAG_COLUMNS, "weighted_wap"]
+    ff = {f"{c}_ff": ffill(c) for c in ffc}
+    w1 = {**momentum_sql(z, movement_missing), "wap_momentum": pct("weighted_wap_ff", lag("weighted_wap_ff", 6, WS), z),
+          **lags_sql(), **returns_sql(z), **diffs_sql(W.DIFF_COLUMNS, W.STEPS)}
+    w2 = {**change_sql(), **rolling_diff_sql()}
+    excl = ", ".join(f"{c}_ff" for c in ffc)
+    ctes = [f"{prefix}f AS (SELECT *, {_cols(ff)} FROM {src})",
+            f"{prefix}w1 AS (SELECT *, {_cols(w1)} FROM {prefix}f)",
+            f"{prefix}w2 AS (SELECT * EXCLUDE ({excl}), {_cols(w2)} FROM {prefix}w1)"]
+    return ctes, [*w1, *w2]
+
+
+def _stats_cte(name: str, src: str, prefix: str, ptp: str) -> str:
+    return f"{name} AS ({_stock_stats_sql(src, prefix, ptp)})"
+
+
+def o_features_v1():
+    z = "null"
+    cols = [c for c in SNAP_COLS if c != "row_id"]
+    ctes = ["v1j AS (SELECT tsnap.*, w.weight FROM tsnap JOIN wts w USING (stock_id))",
+            "v1iw AS (SELECT time_id, SUM(wap * weight) AS index_wap FROM v1j GROUP BY time_id)",
+            "v1b AS (SELECT v1j.*, v1iw.index_wap, v1j.wap * v1j.weight AS weighted_wap, "
+            "ask_price - bid_price AS price_spread, (ask_price + bid_price) / 2 AS mid_price "
+            "FROM v1j JOIN v1iw USING (time_id))"]
+    cols += ["weight", "index_wap", "weighted_wap", "mid_price"]
+    mom = momentum_sql(z)
+    ctes.append(f"v1m AS (SELECT *, {_cols(mom)} FROM v1b)")
+    cols += list(mom)
+    roll_cols = ("wap", *W.V1_ROLL_COLUMNS)
+    ctes += v1_rolling_sql("v1m", "v1r", roll_cols)
+    cols += [n for c in roll_cols for n in (f"{c}_30s_rolling_mean", f"{c}_60s_rolling_mean", f"{c}_30s_rolling_std",
+                                            f"{c}_60s_rolling_std", f"{c}_diff", f"{c}_diff_30s_rolling_mean",
+                                            f"{c}_diff_60s_rolling_mean")]
+    wl = {**{f"wap_shift_{k}_ratio": div(lag("wap", k, WSD), "wap") for k in W.WAP_LAGS},
+          **{f"wap_shift_{k}": lag("wap", k, WSD) for k in W.WAP_LAGS}}
+    ctes.append(f"v1l AS (SELECT *, {_cols(wl)} FROM v1r)")
+    cols += list(wl)
+    pairs = {f"{a}_{b}_imb": div(f"{a} - {b}", f"{a} + {b}") for a, b in combinations(PRICES_V1_COMBOS, 2)}
+    trips = {f"{a}_{b}_{c}_imb": triplet(a, b, c) for a, b, c in combinations(PRICES_V1_COMBOS, 3)}
+    bk = book_sql(z)
+    ctes.append(f"v1p1 AS (SELECT * EXCLUDE (mid_price), {_cols({**pairs, **trips, **bk})} FROM v1l)")
+    cols += list(pairs) + list(trips) + [c for c in bk if c != "mid_price"]
+    pr = {k: v for k, v in pressure_sql(z).items() if k != "price_spread"}
+    ctes.append(f"v1p2 AS (SELECT * EXCLUDE (price_spread), {_cols(pr)} FROM v1p1)")
+    cols += list(pr)
+    ctes += _moment_ctes("v1p2", "v1rm")
+    cols += MOMENT_COLS
+    ts = time_sql("v1")
+    ctes.append(f"v1t AS (SELECT *, {_cols(ts)} FROM v1rm)")
+    cols += list(ts)
+    ctes.append(_stats_cte("v1st", "v1j", "stock_unit_", "MAX(bid_price) - MIN(bid_price)"))
+    ctes.append("v1x AS (SELECT * FROM v1t JOIN v1st USING (stock_id))")
+    cols += [f"stock_unit_{n}" for n in STAT_NAMES]
+    extra, final = _pipeline_final("v1x", cols, clean=False)
+    return sql(*ctes, *extra, final=final)
+
+
+def o_features_v2():
+    z = "zero"
+    cols = [c for c in SNAP_COLS if c != "row_id"]
+    ctes = ["v2j AS (SELECT tsnap.*, w.weight AS stock_weights, tsnap.wap * w.weight AS weighted_wap "
+            "FROM tsnap JOIN wts w USING (stock_id))",
+            "v2b AS (SELECT *, ask_price - bid_price AS price_spread, (ask_price + bid_price) / 2 AS mid_price FROM v2j)"]
+    cols += ["stock_weights", "weighted_wap", "price_spread", "mid_price"]
+    wc, wcols = _pipe_windows("v2", "v2b", z, "null")
+    ctes += wc
+    cols += wcols
+    bk = {k: v for k, v in book_sql(z).items() if k != "mid_price"}
+    pairs = {f"{a}_{b}_imb": div(f"{a} - {b}", f"{a} + {b}", z) for a, b in combinations(PRICES, 2)}
+    trips = {f"{a}_{b}_{c}_imb": triplet(a, b, c, z) for a, b, c in combinations(PRICES, 3)}
+    ctes.append(f"v2p1 AS (SELECT *, {_cols({**bk, 'harmonic_imbalance': harmonic_sql(z), **pairs, **trips})} FROM v2w2)")
+    cols += [*bk, "harmonic_imbalance", *pairs, *trips]
+    pr = {k: v for k, v in pressure_sql(z).items() if k != "price_spread"}
+    ctes.append(f'v2p2 AS (SELECT *, {_cols(pr)}, mid_price_movement * volume AS "mid_price*volume" FROM v2p1)')
+    cols += [*pr, "mid_price*volume"]
+    ctes += _moment_ctes("v2p2", "v2rm")
+    cols += MOMENT_COLS
+    ts = time_sql("v1")
+    ctes.append(f"v2t AS (SELECT *, {_cols(ts)} FROM v2rm)")
+    cols += list(ts)
+    ctes.append(_stats_cte("v2st", "v2j", "stock_unit_", "MAX(bid_price) - MIN(bid_price)"))
+    ctes.append("v2x AS (SELECT * FROM v2t JOIN v2st USING (stock_id))")
+    cols += [f"stock_unit_{n}" for n in STAT_NAMES]
+    extra, final = _pipeline_final("v2x", cols, clean=True)
+    return sql(*ctes, *extra, final=final)
+
+
+def o_features_nb():
+    z = "zero"
+    cols = [c for c in SNAP_COLS if c not in ("row_id", "target")]
+    ctes = ["nbj AS (SELECT tsnap.* EXCLUDE (row_id, target), w.weight AS stock_weights, "
+            "tsnap.wap * w.weight AS weighted_wap FROM tsnap LEFT JOIN wts w USING (stock_id))",
+            "nbb AS (SELECT *, ask_price - bid_price AS price_spread, (ask_price + bid_price) / 2 AS mid_price FROM nbj)"]
+    cols += ["stock_weights", "weighted_wap", "price_spread", "mid_price"]
+    wc, wcols = _pipe_windows("nb", "nbb", z, "zero")
+    ctes += wc
+    cols += wcols
+    bk = {k: v for k, v in book_sql(z, "bid/ask").items() if k != "mid_price"}
+    pairs = {f"{a}_{b}_imb": div(f"{a} - {b}", f"{a} + {b}", z) for a, b in combinations(PRICES, 2)}
+    trips = {f"{a}_{b}_{c}_imb2": triplet_nb(a, b, c)
+             for names in (NB_TRIPLET_PRICES, SIZES) for a, b, c in combinations(names, 3)}
+    ctes.append(f"nbp1 AS (SELECT *, {_cols({**bk, **pairs, **trips})} FROM nbw2)")
+    cols += [*bk, *pairs, *trips]
+    pr = {k: v for k, v in pressure_sql(z).items() if k != "price_spread"}
+    ctes.append(f"nbp2 AS (SELECT *, {_cols(pr)} FROM nbp1)")
+    cols += list(pr)
+    ctes += _moment_ctes("nbp2", "nbrm")
+    cols += MOMENT_COLS
+    ts = time_sql("nb")
+    ctes.append(f'nbt AS (SELECT *, mid_price_movement * volume AS "mid_price*volume", '
+                f"{harmonic_sql(z)} AS harmonic_imbalance, {_cols(ts)} FROM nbrm)")
+    cols += ["mid_price*volume", "harmonic_imbalance", *ts]
+    ctes.append(f"nbtr AS (SELECT * FROM tsnap WHERE date_id <= {Q.SPLIT_DAY})")
+    ctes.append(_stats_cte("nbst", "nbtr", "global_", "MAX(bid_price) - MIN(ask_price)"))
+    ctes.append("nbx AS (SELECT * FROM nbt LEFT JOIN nbst USING (stock_id))")
+    cols += [f"global_{n}" for n in STAT_NAMES]
+    extra, final = _pipeline_final("nbx", cols, clean=True)
+    return sql(*ctes, *extra, final=final)
+
+
 ORACLES = {name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("o_") and callable(fn)}
 
 
