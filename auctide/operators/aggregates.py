@@ -40,8 +40,9 @@ def add_stock_unit_stats(df: DataFrame, stats: DataFrame | None = None, how: str
                          **kw) -> DataFrame:
     """Join per-stock statistics back (computed on ``df`` itself unless ``stats`` is given,
     e.g. a table fitted on training rows only)."""
+    from auctide.operators.joins import join_small
     stats = stats if stats is not None else stock_unit_stats(df, **kw)
-    return df.join(stats, "stock_id", how)
+    return join_small(df, stats, "stock_id", how)
 
 
 def global_stock_stats(train: DataFrame, approx_median: bool = False) -> DataFrame:

@@ -1,10 +1,10 @@
 """Dimension joins: instrument weights, per-snapshot index level, per-stock statistics.
 
 Weight and statistics tables hold one row per stock; the snapshot-level
-aggregate holds one row per snapshot. None of them is broadcast by hint: the
-plans leave the choice to AQE, which converts a join to a broadcast only
-after measuring the built side under ``spark.sql.autoBroadcastJoinThreshold``
-and keeps a shuffle join beyond it.
+aggregate holds one row per snapshot. They are joined through ``join_small``:
+the side's row count is checked first (one small job over a narrow
+aggregate) and the side is broadcast only under ``BROADCAST_ROWS``; beyond it
+the join stays a shuffle join.
 """
 
 from __future__ import annotations
@@ -13,6 +13,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+BROADCAST_ROWS = 2_000_000
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
+               max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Join ``small`` to ``big``; broadcast it only when its counted size is under ``max_rows``."""
+    n = small.count()
+    return big.join(F.broadcast(small) if n <= max_rows else small, on, how)
+
+
 def weights_by_rule(df: DataFrame) -> DataFrame:
     """Weights table for the stocks present in ``df`` (test rule, see FIXTURES.md).
 
@@ -28,7 +38,7 @@ def join_weights(df: DataFrame, weights: DataFrame, how: str = "inner",
                  weight_col: str = "weight") -> DataFrame:
     """Attach the weight (inner join drops stocks without one; ``how="left"`` keeps them)."""
     w = weights.select("stock_id", F.col("weight").alias(weight_col))
-    return df.join(w, "stock_id", how)
+    return join_small(df, w, "stock_id", how)
 
 
 def add_weighted_wap(df: DataFrame, weight_col: str = "weight") -> DataFrame:
@@ -42,4 +52,4 @@ def add_index_wap(df: DataFrame, weight_col: str = "weight") -> DataFrame:
     in one task; the join side has one row per snapshot.
     """
     idx = df.groupBy("time_id").agg(F.sum(F.col("wap") * F.col(weight_col)).alias("index_wap"))
-    return df.join(idx, "time_id")
+    return join_small(df, idx, "time_id")

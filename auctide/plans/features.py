@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from auctide.functions.expr import clean_inf
 from auctide.operators import book, joins, windows
-from auctide.operators.aggregates import add_stock_unit_stats, global_stock_stats
+from auctide.operators.aggregates import add_stock_unit_stats, global_stock_stats, stock_unit_stats
 from auctide.operators.series import stock_windows
 
 
@@ -39,10 +39,12 @@ def features_v1(df: DataFrame, weights: DataFrame, keep_stock_id: bool = False,
     """
     z = "null"
     df = joins.join_weights(df, weights)
+    # side tables from the narrow panel: joined (checked broadcast) before any window
+    stats = None if parity else stock_unit_stats(df)
+    df = joins.add_index_wap(df)
     df = _window_inputs(df)
     df = stock_windows(df, [windows.momentum_stage(z, with_wap_momentum=False)], lookback=5)
     df = windows.v1_rolling(df, on_zero=z)
-    df = joins.add_index_wap(df)
     df = joins.add_weighted_wap(df)
     df = book.pair_features(df, book.PRICES_V1_COMBOS, z)
     df = book.triplet_features(df, book.PRICES_V1_COMBOS, z, nulls="skip" if parity else "strict")
@@ -55,7 +57,7 @@ def features_v1(df: DataFrame, weights: DataFrame, keep_stock_id: bool = False,
     df = df.drop("price_spread")
     df = book.row_stats(df)
     df = book.time_features(df, "v1")
-    df = add_stock_unit_stats(df)
+    df = add_stock_unit_stats(df, stats)
     if not keep_stock_id:
         df = df.drop("stock_id")
     return df.drop("row_id")
@@ -80,6 +82,7 @@ def features_v2(df: DataFrame, weights: DataFrame, keep_stock_id: bool = False,
     """v2: windows per stock across days; +-inf replaced by 0 (division policy "zero")."""
     z = "zero"
     df = joins.join_weights(df, weights, weight_col="stock_weights")
+    stats = stock_unit_stats(df)
     df = joins.add_weighted_wap(df, "stock_weights")
     df = _stock_stage(_window_inputs(df), z, "null")
     df = book.book_imbalance(df, z, "ask/bid")
@@ -90,7 +93,7 @@ def features_v2(df: DataFrame, weights: DataFrame, keep_stock_id: bool = False,
     df = df.withColumn("mid_price*volume", F.col("mid_price_movement") * F.col("volume"))
     df = book.row_stats(df)
     df = book.time_features(df, "v1")
-    df = add_stock_unit_stats(df)
+    df = add_stock_unit_stats(df, stats)
     df = clean_inf(df)
     if not keep_stock_id:
         df = df.drop("stock_id")
@@ -117,7 +120,7 @@ def features_nb(df: DataFrame, weights: DataFrame, train_stats: DataFrame | None
     base = book.harmonic_imbalance(base, z)
     base = clean_inf(base)
     base = book.time_features(base, "nb")
-    base = base.join(stats, "stock_id", "left")
+    base = joins.join_small(base, stats, "stock_id", "left")
     if not keep_keys:
         base = base.drop("time_id", "date_id")
     return base
