@@ -52,8 +52,11 @@ def _chunk_positions(df: DataFrame, ffill: Sequence[str], key: str, chunk: str,
         cols[f"_ffw_{c}"] = F.last(c, ignorenulls=True).over(upto)
     rows = df.withColumns(cols)
 
-    ends = rows.filter(F.col("_rn") == F.col("_cnt")).select(
-        key, chunk, "_cnt", *[F.col(f"_ffw_{c}").alias(f"_cl_{c}") for c in ffill])
+    # per-chunk table by a hash aggregate over a narrow projection (partial aggregation);
+    # max_by skips NULL orderings, so it yields the chunk's last non-NULL value
+    ends = df.groupBy(key, chunk).agg(
+        F.count(F.lit(1)).alias("_cnt"),
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_cl_{c}") for c in ffill])
     wk = Window.partitionBy(key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
     chunks = ends.withColumns({
         "_start": F.coalesce(F.sum("_cnt").over(wk), F.lit(0)).cast("long"),
