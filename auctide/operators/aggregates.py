@@ -1,8 +1,9 @@
 """Group aggregates: per-stock statistics, data checks, index returns, fold errors.
 
-All are hash aggregates with map-side partial aggregation except the exact
-median (``F.median`` buffers a group's values); ``approx_median=True``
-switches to the mergeable ``percentile_approx`` sketch for very large groups.
+All are hash aggregates with map-side partial aggregation. The per-stock
+median is exact and computed by ``distributed_median`` (sketch buckets, then
+exact ranks inside the two needed buckets), so no stock's values are gathered
+in one aggregation buffer.
 """
 
 from __future__ import annotations
@@ -13,27 +14,43 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _median(c: str, approx: bool) -> Column:
-    return F.percentile_approx(c, 0.5, 10000) if approx else F.median(c)
+def _medians(df: DataFrame, cols, how: str) -> DataFrame:
+    """Per-stock medians of ``cols`` as one row per stock (``median_{c}`` columns)."""
+    if how == "distributed":
+        long = df.select("stock_id", F.explode(F.array(*[
+            F.struct(F.lit(c).alias("_var"), F.col(c).cast("double").alias("_v")) for c in cols])).alias("_s"))
+        long = long.select("stock_id", "_s._var", "_s._v")
+        med = distributed_median(long, ["stock_id", "_var"], "_v", name="_med")
+        wide = med.groupBy("stock_id").pivot("_var", list(cols)).agg(F.first("_med"))
+        return wide.select("stock_id", *[F.col(c).alias(f"median_{c}") for c in cols])
+    f = (lambda c: F.percentile_approx(c, 0.5, 10000)) if how == "approx" else F.median
+    return df.groupBy("stock_id").agg(*[f(c).alias(f"median_{c}") for c in cols])
 
 
-def stock_unit_stats(df: DataFrame, approx_median: bool = False, ptp_price: str = "bid",
+def stock_unit_stats(df: DataFrame, median: str = "distributed", ptp_price: str = "bid",
                      prefix: str = "stock_unit_") -> DataFrame:
     """Six per-stock statistics of sizes and prices.
 
+    ``median``: ``"distributed"`` (exact, no group gathered in one task; default),
+    ``"exact"`` (``F.median``, buffers a group's values), ``"approx"`` (sketch).
     ``ptp_price="bid"``: max(bid_price) - min(bid_price) (v1, v2);
     ``ptp_price="bid-ask"``: max(bid_price) - min(ask_price) (notebook).
     """
+    cols = ["bid_size", "ask_size", "bid_price", "ask_price"]
     ptp = (F.max("bid_price") - F.min("bid_price")) if ptp_price == "bid" else (
         F.max("bid_price") - F.min("ask_price"))
-    return df.groupBy("stock_id").agg(
-        (_median("bid_size", approx_median) + _median("ask_size", approx_median)).alias(f"{prefix}median_size"),
+    other = df.groupBy("stock_id").agg(
         (F.stddev_samp("bid_size") + F.stddev_samp("ask_size")).alias(f"{prefix}std_size"),
         (F.max("bid_size") - F.min("bid_size")).alias(f"{prefix}ptp_size"),
-        (_median("bid_price", approx_median) + _median("ask_price", approx_median)).alias(f"{prefix}median_price"),
         (F.stddev_samp("bid_price") + F.stddev_samp("ask_price")).alias(f"{prefix}std_price"),
-        ptp.alias(f"{prefix}ptp_price"),
-    )
+        ptp.alias(f"{prefix}ptp_price"))
+    med = _medians(df, cols, median).select(
+        "stock_id",
+        (F.col("median_bid_size") + F.col("median_ask_size")).alias(f"{prefix}median_size"),
+        (F.col("median_bid_price") + F.col("median_ask_price")).alias(f"{prefix}median_price"))
+    return other.join(med, "stock_id").select(
+        "stock_id", f"{prefix}median_size", f"{prefix}std_size", f"{prefix}ptp_size",
+        f"{prefix}median_price", f"{prefix}std_price", f"{prefix}ptp_price")
 
 
 def add_stock_unit_stats(df: DataFrame, stats: DataFrame | None = None, how: str = "inner",
@@ -45,10 +62,10 @@ def add_stock_unit_stats(df: DataFrame, stats: DataFrame | None = None, how: str
     return join_small(df, stats, "stock_id", how)
 
 
-def global_stock_stats(train: DataFrame, approx_median: bool = False) -> DataFrame:
+def global_stock_stats(train: DataFrame, median: str = "distributed") -> DataFrame:
     """Notebook flavour: statistics on training rows, names ``global_*``,
     ``ptp_price = max(bid_price) - min(ask_price)``."""
-    return stock_unit_stats(train, approx_median, ptp_price="bid-ask", prefix="global_")
+    return stock_unit_stats(train, median, ptp_price="bid-ask", prefix="global_")
 
 
 # ---------------------------------------------------------------------- data checks (EDA)
@@ -89,3 +106,56 @@ def index_return(df: DataFrame, k: int = 6) -> DataFrame:
 def mae_by(df: DataFrame, label: str, prediction: str, by: Sequence[str]) -> DataFrame:
     return df.groupBy(*by).agg(F.avg(F.abs(F.col(label) - F.col(prediction))).alias("mae"),
                                F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------------- exact median without gathering a group
+
+MEDIAN_BUCKETS = 4096
+
+
+def distributed_median(df: DataFrame, group, col: str, buckets: int = MEDIAN_BUCKETS,
+                       name: str | None = None) -> DataFrame:
+    """Exact interpolated median of ``col`` per ``group`` without one task holding a group.
+
+    1. the group's min and max (partial aggregation) cut its value range into
+       ``buckets`` equal-width buckets;
+    2. rows get a bucket number; counts per (group, bucket) and a prefix sum
+       over at most ``buckets`` rows per group locate the bucket of the two
+       middle ranks;
+    3. only those buckets are resolved exactly, on value counts (duplicates
+       collapse), with a window over (group, bucket).
+    The result equals ``F.median`` (interpolation between the two middle
+    values, as Spark's ``percentile``).
+    """
+    from auctide.operators.joins import join_small
+    name = name or f"median_{col}"
+    g = [group] if isinstance(group, str) else list(group)
+    x = df.select(*g, F.col(col).alias("_x")).filter(F.col("_x").isNotNull())
+    rng = x.groupBy(*g).agg(F.min("_x").alias("_lo_v"), F.max("_x").alias("_hi_v"),
+                            F.count(F.lit(1)).alias("_n"))
+    width = F.col("_hi_v") - F.col("_lo_v")
+    bx = join_small(x, rng, g).withColumn(
+        "_k", F.when(width > 0, F.least(F.floor((F.col("_x") - F.col("_lo_v")) / width * buckets),
+                                        F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
+    ).drop("_lo_v", "_hi_v")
+    cnt = bx.groupBy(*g, "_k", "_n").agg(F.count(F.lit(1)).alias("_c"))
+    wk = Window.partitionBy(*g).orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    cnt = cnt.withColumn("_before", F.coalesce(F.sum("_c").over(wk), F.lit(0)))
+    pos = (F.col("_n") - 1) / 2.0
+    lo, hi = F.floor(pos), F.ceil(pos)
+    need = cnt.withColumns({"_lo": lo, "_hi": hi}).filter(
+        ((F.col("_lo") >= F.col("_before")) & (F.col("_lo") < F.col("_before") + F.col("_c")))
+        | ((F.col("_hi") >= F.col("_before")) & (F.col("_hi") < F.col("_before") + F.col("_c"))))
+    need = need.select(*g, "_k", "_n", "_before", "_lo", "_hi")
+    vals = (bx.join(need.select(*g, "_k"), [*g, "_k"], "left_semi")
+            .groupBy(*g, "_k", "_x").agg(F.count(F.lit(1)).alias("_vc")))
+    wv = Window.partitionBy(*g, "_k").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    vals = join_small(vals, need, [*g, "_k"]).withColumn("_cum", F.col("_before") + F.sum("_vc").over(wv))
+    # value at rank r: the first value whose cumulative count exceeds r
+    first_after = lambda r: F.min(F.when(F.col("_cum") > F.col(r), F.col("_x")))
+    picked = vals.groupBy(*g).agg(first_after("_lo").alias("_vlo"), first_after("_hi").alias("_vhi"),
+                                     F.first("_n").alias("_n"))
+    p = (F.col("_n") - 1) / 2.0
+    med = F.when(F.floor(p) == F.ceil(p), F.col("_vlo")).otherwise(
+        (F.ceil(p) - p) * F.col("_vlo") + (p - F.floor(p)) * F.col("_vhi"))
+    return picked.select(*g, med.alias(name))

@@ -59,3 +59,17 @@ def test_clean_inf_and_rounding(spark):
     out = round_doubles(clean_inf(df)).orderBy("k").collect()
     assert [r.x for r in out] == [0.0, 0.0, 1.234568, 0.0]
     assert math.copysign(1.0, out[3].x) == 1.0
+
+
+def test_distributed_median_equals_exact(spark):
+    from auctide.operators.aggregates import distributed_median
+    rng = np.random.default_rng(1)
+    rows = []
+    for g, n in enumerate([1, 2, 5, 1000, 20000, 8]):
+        hi = 50 if g == 4 else 10 ** 6  # group 4: one hot group full of duplicates
+        rows += [(g, float(v)) for v in rng.integers(0, hi, size=n)]
+    rows += [(7, 1.5), (7, 1.5), (7, None)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    exact = {r[0]: r[1] for r in df.groupBy("g").agg(F.median("v")).collect()}
+    got = {r[0]: r[1] for r in distributed_median(df, "g", "v").collect()}
+    assert got == exact
