@@ -33,4 +33,17 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_simhash, op5_token_counts)}
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line field and base rule over all documents."""
+    from auctide.llm.quality import assess
+    return assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents; a third of the ids is held out from learning."""
+    from auctide.llm.langid import identify
+    return identify(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_simhash, op5_token_counts, op8_quality_rules,
+                                   op9_language_id)}
