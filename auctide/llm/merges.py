@@ -47,3 +47,34 @@ class Merges:
                 before, left = rank[left], l[1]
             else:
                 before, right = rank[right] + 0.5, r[0]
+
+
+def trie(entries: dict) -> dict:
+    """Nested dicts by character; the value of an entry stands under the empty string."""
+    root: dict = {}
+    for name, value in entries.items():
+        node = root
+        for c in name:
+            node = node.setdefault(c, {})
+        node[""] = value
+    return root
+
+
+class Recent:
+    """A bounded memory of two generations: what was not asked for since the last turn is forgotten."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size // 2, {}, {}
+
+    def get(self, key):
+        got = self.young.get(key)
+        if got is None:
+            got = self.old.get(key)
+            if got is not None:
+                self.put(key, got)
+        return got
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[key] = value

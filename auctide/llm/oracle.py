@@ -40,6 +40,27 @@ SELECT doc_id, size, source_size, target,
 FROM queued
 """
 
+_MARK = r"<\\*\|"
+
+OP7 = rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+c AS (
+  SELECT *, CASE WHEN role = 'assistant' THEN text ELSE '' END AS loss,
+         len(regexp_extract_all(text, '{_MARK}')) + 2 * len(regexp_extract_all(role, '{_MARK}'))
+         + length(role) - length(replace(replace(role, chr(92), ''), chr(10), ''))
+         + 12 + length(role) + 1 + length(text) + 11 AS chars
+  FROM t)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       sum(length(loss))::BIGINT AS loss_chars,
+       sha256(string_agg(loss, '' ORDER BY turn, role, text)) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": OP1}
+    return {"op1_mix_sources": OP1, "op7_chat_format": OP7}

@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auctide.llm.common import small_batches
-from auctide.llm.merges import Merges
+from auctide.llm.merges import Merges, Recent, trie
 
 #: Words a worker remembers; a full table starts over.
-MEMORY = 400_000
+MEMORY = 800_000
 
 
 class WordBpe:
@@ -51,55 +51,56 @@ class WordBpe:
         self.split = regex.compile(split).findall
         special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
-        self.words: dict[str, int] = {}
-        self.chunks: dict[bytes, int] = {}
+        self.trie = trie({t: t for t in self.vocab if not t.endswith(self.end)})
+        self.words, self.chunks = Recent(MEMORY), Recent(MEMORY)
 
     # -- one word ---------------------------------------------------------
 
-    def tables(self, word: str) -> tuple[list[int], list[int]]:
-        """Tokens of each prefix of a word of byte letters: as a closed word, and as one that goes on."""
-        stable, vocab, longest, end = self.merges.stable, self.vocab, self.longest, self.end
+    def ahead(self, word: str) -> tuple[list, list[int]]:
+        """Last token and token count of each prefix of a word of byte letters that goes on."""
         n = len(word)
         last: list = [None] * (n + 1)
-        inner, closed = [0] * (n + 1), [0] * (n + 1)
-        for i in range(1, n + 1):
-            for j in range(max(0, i - longest), i):
-                t = word[j:i]
-                if not inner[i] and t in vocab and (j == 0 or stable(last[j], t)):
-                    last[i], inner[i] = t, inner[j] + 1
-                t += end
-                if not closed[i] and t in vocab and (j == 0 or stable(last[j], t)):
-                    closed[i] = inner[j] + 1
-        return closed, inner
+        inner = [0] * (n + 1)
+        known, stable, root = self.merges.seen, self.merges.stable, self.trie
+        for j in range(n):
+            node, left, c = root, last[j], inner[j] + 1
+            for i in range(j, n):
+                node = node.get(word[i])
+                if node is None:
+                    break
+                t = node.get("")
+                if t is not None and not inner[i + 1]:
+                    if j:
+                        free = known.get((left, t))
+                        if free is None:
+                            free = stable(left, t)
+                        if not free:
+                            continue
+                    last[i + 1], inner[i + 1] = t, c
+        return last, inner
+
+    def closing(self, word: str, n: int, last: list, inner: list[int]) -> int:
+        """Tokens of the first ``n`` letters as a closed word, from the tables of the open one."""
+        stable, vocab, longest = self.merges.stable, self.vocab, self.longest
+        for j in range(max(0, n - longest), n):
+            t = word[j:n] + self.end
+            if t in vocab and (j == 0 or stable(last[j], t)):
+                return inner[j] + 1
+        raise AssertionError("every byte letter closes a word")
+
+    def tables(self, word: str) -> tuple[list[int], list[int]]:
+        """Tokens of each prefix of a word of byte letters: as a closed word, and as one that goes on."""
+        last, inner = self.ahead(word)
+        return [0] + [self.closing(word, n, last, inner) for n in range(1, len(word) + 1)], inner
 
     def word(self, word: str) -> int:
         """Tokens of a whole word of byte letters."""
         got = self.words.get(word)
         if got is None:
-            if len(self.words) >= MEMORY:
-                self.words.clear()
-            got = self.words[word] = self._whole(word)
+            got = self.closing(word, len(word), *self.ahead(word[:-1]))
+            self.words.put(word, got)
         return got
 
-    def _whole(self, word: str) -> int:
-        """The last entry of the closed table; inner prefixes need their inner tokens only."""
-        stable, vocab, longest = self.merges.stable, self.vocab, self.longest
-        n = len(word)
-        last: list = [None] * n
-        count = [0] * n
-        for i in range(1, n):
-            for j in range(max(0, i - longest), i):
-                t = word[j:i]
-                if t in vocab and (j == 0 or stable(last[j], t)):
-                    last[i], count[i] = t, count[j] + 1
-                    break
-        final = word + self.end
-        for j in range(max(0, n - longest), n):
-            t = final[j:]
-            if t in vocab and (j == 0 or stable(last[j], t)):
-                return count[j] + 1
-        raise AssertionError("every byte letter closes a word")
-
     # -- texts ------------------------------------------------------------
 
     def normal(self, text: str) -> str:
@@ -128,15 +129,15 @@ class WordBpe:
         return count
 
     def per_chunk(self, text: str) -> list[int]:
-        seen, out = self.chunks, []
-        for raw in text.encode("utf-8", "replace").split():
-            n = seen.get(raw)
-            if n is None:
-                if len(seen) >= MEMORY:
-                    seen.clear()
-                n = seen[raw] = self.chunk(raw)
-            out.append(n)
-        return out
+        seen, known = self.chunks.young.get, self.known
+        return [seen(raw) or known(raw) for raw in text.encode("utf-8", "replace").split()]
+
+    def known(self, raw: bytes) -> int:
+        n = self.chunks.get(raw)
+        if n is None:
+            n = self.chunk(raw)
+            self.chunks.put(raw, n)
+        return n
 
     def count(self, text: str | None) -> int:
         return sum(self.per_chunk(text)) if text else 0
