@@ -27,6 +27,18 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of all documents: base spans and those the trees add."""
+    from auctide.llm.pii import detect
+    return detect(table(spark, sf_dir, "documents"))
+
+
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all embeddings at cosine 0.93 inside a label."""
+    from auctide.llm.embed_dedup import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents under the word BPE."""
     from auctide.llm.token_count import count_tokens
@@ -62,5 +74,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op2_simhash, op5_token_counts, op7_chat_format, op8_quality_rules, op9_language_id,
-    op10_sentencepiece)}
+    op1_mix_sources, op2_simhash, op3_personal_data, op4_embedding_dedup, op5_token_counts, op7_chat_format,
+    op8_quality_rules, op9_language_id, op10_sentencepiece)}
