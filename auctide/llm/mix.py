@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auctide.llm.common import WORD, stored
@@ -59,6 +59,40 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], budget: float,
     return per.select("source", "weight", "source_size", target.alias("target"))
 
 
+def _sized(docs: DataFrame, seed: str, *keep: Column) -> DataFrame:
+    """Stored rows with a row number, their size and their place in the shuffle order."""
+    key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
+                .cast("binary"))
+    rows = docs.select(*keep, F.col("doc_id").alias("doc_id"), F.col("source").alias("source"),
+                       word_count("text").alias("size"), key.alias("key"))
+    return stored(rows.withColumn("range", F.substring("key", 1, RANGE_DIGITS))
+                  .withColumn("uid", F.monotonically_increasing_id()), "mix-rows")
+
+
+def _shares(sizes: DataFrame, weights: Sequence[float], budget: float, max_epochs: int) -> DataFrame:
+    """Per row of ``sizes``: the words taken in each pass and the virtual finish time of the first."""
+    targets = source_targets(sizes, weights, budget, max_epochs)
+    # running words of a source: prefix over its ranges, then inside the range
+    before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = (sizes.groupBy("source", "range").agg(F.sum("size").alias("words"))
+              .select("source", "range", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("offset")))
+    targets = targets.withColumnRenamed("source", "source_t")
+    ranges = (ranges.join(targets, F.col("source").eqNullSafe(F.col("source_t")))
+              .select(F.col("source").alias("source_"), F.col("range").alias("range_"), "offset",
+                      "weight", "source_size", "target"))
+    within = (Window.partitionBy("source", "range").orderBy("key", "doc_id", "size", "uid")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    q = (sizes.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
+         .join(ranges, F.col("source").eqNullSafe(F.col("source_")) & (F.col("range") == F.col("range_"))))
+    start = F.col("offset") + F.col("inner")
+    parts = [F.greatest(F.lit(0), F.least(
+        F.col("size"), F.floor("target") - F.col("source_size") * e - start)).cast("long")
+        for e in range(max_epochs)]
+    return q.select("uid", "doc_id", "source", "size", "source_size", "target",
+                    sum(parts[1:], parts[0]).alias("taken"), F.array(*parts).alias("taken_by_epoch"),
+                    ((start + F.col("size")) / F.col("weight")).alias("finish"))
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), budget: float = 1.5,
         max_epochs: int = 2, seed: str = "mix") -> DataFrame:
     """Words that the mix takes of every document.
@@ -72,42 +106,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), budget: float = 1
     doc_id are queued one after another; an empty table gives no rows. The
     order depends on ``seed`` and doc_id only, so reruns agree.
     """
-    sizes = stored(docs.select("doc_id", "source", word_count("text").alias("size"),
-                               F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(
-                                   F.col("doc_id").cast("string"), F.lit("null"))).cast("binary")
-                                     ).alias("key"))
-                   .withColumn("range", F.substring("key", 1, RANGE_DIGITS)), "mix-sizes")
-    targets = source_targets(sizes, weights, budget, max_epochs)
-    # running words of a source: prefix over its ranges, then inside the range
-    ranges = sizes.groupBy("source", "range").agg(F.sum("size").alias("words"))
-    before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.select("source", "range",
-                           F.coalesce(F.sum("words").over(before), F.lit(0)).alias("offset"))
-    per_range = _join(ranges, targets, ["source"]).withColumnRenamed("source", "source_")
-    per_range = per_range.withColumnRenamed("range", "range_")
-    within = (Window.partitionBy("source", "range").orderBy("key", "doc_id", "size")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    queued = sizes.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    q = queued.join(per_range, F.col("source").eqNullSafe(F.col("source_"))
-                    & (F.col("range") == F.col("range_")), "inner")
-    start = F.col("offset") + F.col("inner")
-    parts = [F.greatest(F.lit(0), F.least(
-        F.col("size"), F.floor("target") - F.col("source_size") * e - start)).cast("long")
-        for e in range(max_epochs)]
-    return (q.select("doc_id", "source", "size", "source_size", "target",
-                     sum(parts[1:], parts[0]).alias("taken"), F.array(*parts).alias("taken_by_epoch"),
-                     ((start + F.col("size")) / F.col("weight")).alias("finish"))
-            .orderBy("finish", "doc_id"))
-
-
-def _join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Equi-join that matches null keys."""
-    r = right.withColumnsRenamed({k: f"__{k}" for k in keys})
-    on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
-    return left.join(r, cond).drop(*[f"__{k}" for k in keys])
+    sizes = _sized(docs.select("doc_id", "text", "source"), seed)
+    return _shares(sizes, weights, budget, max_epochs).drop("uid").orderBy("finish", "doc_id")
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), budget: float = 1.5,
@@ -115,25 +115,15 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), budge
     """The mixed corpus: columns of ``docs``, one row per document and pass that the mix takes.
 
     A document taken in part (one per source at most) keeps its first words up
-    to the target. Rows are matched by doc_id, source and size, and repeated
-    rows take turns, so no row is joined with another row's share. Extra
+    to the target. Every row has its own share, repeated rows included. Extra
     columns pass through whatever their names.
     """
     cols = docs.columns
-    share = mix(docs, weights, budget, max_epochs, seed)
-    share = (share.groupBy("doc_id", "source", "size").agg(F.collect_list("taken_by_epoch").alias("__shares"))
-             .select(F.struct("doc_id", "source", "size").alias("__k2"), "__shares"))
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("__row"),
-                      F.struct(F.col("doc_id"), F.col("source"), word_count("text").alias("size")).alias("__k"))
-    j = row.join(share, F.col("__k").eqNullSafe(F.col("__k2")))
-    turn = F.row_number().over(Window.partitionBy("__k").orderBy("__row.text")) - 1
-    repeated = j.filter(F.size("__shares") > 1).withColumn("__share", F.element_at(
-        "__shares", (turn + 1).cast("int")))
-    single = j.filter(F.size("__shares") == 1).withColumn("__share", F.element_at("__shares", 1))
-    taken = (single.select("__row", "__k", "__share").unionByName(
-        repeated.select("__row", "__k", "__share"))
-        .select("__row", "__k", F.explode("__share").alias("__n")).filter("__n > 0"))
+    rows = _sized(docs, seed, F.struct(*[F.col(f"`{c}`") for c in cols]).alias("__row"))
+    share = (_shares(rows.drop("__row"), weights, budget, max_epochs)
+             .select(F.col("uid").alias("u"), F.explode("taken_by_epoch").alias("n")).filter("n > 0"))
+    taken = rows.select("__row", "uid", "size").join(share, F.col("uid") == F.col("u"))
     words = F.array_join(F.slice(F.regexp_extract_all("__row.text", F.lit(WORD), F.lit(0)),
-                                 F.lit(1), F.col("__n").cast("int")), " ")
-    text = F.when(F.col("__n") < F.col("__k.size"), words).otherwise(F.col("__row.text"))
+                                 F.lit(1), F.col("n").cast("int")), " ")
+    text = F.when(F.col("n") < F.col("size"), words).otherwise(F.col("__row.text"))
     return taken.select(*[(text if c == "text" else F.col(f"__row.`{c}`")).alias(c) for c in cols])

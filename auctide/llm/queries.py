@@ -45,6 +45,12 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-likelihood of all documents; a seventh of the ids is held out from learning."""
+    from auctide.llm.lm_score import score
+    return score(table(spark, sf_dir, "documents"))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and conversation -1 whose texts look like control strings, formatted and read back."""
     from auctide.llm.chat import format_digests
@@ -74,5 +80,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op2_simhash, op3_personal_data, op4_embedding_dedup, op5_token_counts, op7_chat_format,
-    op8_quality_rules, op9_language_id, op10_sentencepiece)}
+    op1_mix_sources, op2_simhash, op3_personal_data, op4_embedding_dedup, op5_token_counts, op6_lm_score,
+    op7_chat_format, op8_quality_rules, op9_language_id, op10_sentencepiece)}
