@@ -61,6 +61,25 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM c GROUP BY conv_id
 """
 
+OP4 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CASE WHEN label IS NOT NULL AND len(embedding) > 0
+           AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+           AND len(list_filter(embedding, x -> x <> 0)) > 0 THEN embedding::DOUBLE[] END AS e
+  FROM embeddings),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (
+  SELECT vec_id AS x, vec_id AS y FROM v
+  UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+comp AS (SELECT x AS vec_id, min(y) AS component_id FROM reach GROUP BY x),
+n AS (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x)
+SELECT v.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v JOIN comp USING (vec_id) LEFT JOIN n USING (vec_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": OP1, "op7_chat_format": OP7}
+    return {"op1_mix_sources": OP1, "op4_embedding_dedup": OP4, "op7_chat_format": OP7}
