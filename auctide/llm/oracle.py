@@ -64,8 +64,8 @@ FROM c GROUP BY conv_id
 OP4 = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, CASE WHEN label IS NOT NULL AND len(embedding) > 0
-           AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-           AND len(list_filter(embedding, x -> x <> 0)) > 0 THEN embedding::DOUBLE[] END AS e
+           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+           AND len(list_filter(embedding, lambda x: x <> 0)) > 0 THEN embedding::DOUBLE[] END AS e
   FROM embeddings),
 links AS (
   SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
