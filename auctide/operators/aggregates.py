@@ -1,9 +1,9 @@
 """Group aggregates: per-stock statistics, data checks, index returns, fold errors.
 
 All are hash aggregates with map-side partial aggregation. The per-stock
-median is exact and computed by ``distributed_median`` (sketch buckets, then
-exact ranks inside the two needed buckets), so no stock's values are gathered
-in one aggregation buffer.
+median is exact and computed by ``distributed_median`` from value counts (ranks
+over value buckets, then over the values of the needed buckets), so no stock's
+values are gathered in one aggregation buffer.
 """
 
 from __future__ import annotations
@@ -57,9 +57,8 @@ def add_stock_unit_stats(df: DataFrame, stats: DataFrame | None = None, how: str
                          **kw) -> DataFrame:
     """Join per-stock statistics back (computed on ``df`` itself unless ``stats`` is given,
     e.g. a table fitted on training rows only)."""
-    from auctide.operators.joins import join_small
     stats = stats if stats is not None else stock_unit_stats(df, **kw)
-    return join_small(df, stats, "stock_id", how)
+    return df.join(stats, "stock_id", how)
 
 
 def global_stock_stats(train: DataFrame, median: str = "distributed") -> DataFrame:
@@ -110,52 +109,45 @@ def mae_by(df: DataFrame, label: str, prediction: str, by: Sequence[str]) -> Dat
 
 # ---------------------------------------------------------------------- exact median without gathering a group
 
-MEDIAN_BUCKETS = 4096
+#: Value buckets per factor of two.
+MEDIAN_STEPS = 64
 
 
-def distributed_median(df: DataFrame, group, col: str, buckets: int = MEDIAN_BUCKETS,
-                       name: str | None = None) -> DataFrame:
+def distributed_median(df: DataFrame, group, col: str, name: str | None = None) -> DataFrame:
     """Exact interpolated median of ``col`` per ``group`` without one task holding a group.
 
-    1. the group's min and max (partial aggregation) cut its value range into
-       ``buckets`` equal-width buckets;
-    2. rows get a bucket number; counts per (group, bucket) and a prefix sum
-       over at most ``buckets`` rows per group locate the bucket of the two
-       middle ranks;
-    3. only those buckets are resolved exactly, on value counts (duplicates
-       collapse), with a window over (group, bucket).
-    The result equals ``F.median`` (interpolation between the two middle
-    values, as Spark's ``percentile``).
+    1. values collapse to counts per (group, value), map-side first;
+    2. an order-preserving bucket (the logarithm of the magnitude, in steps of
+       1/64 octave, with the sign) cuts a group's values; counts per bucket and
+       a prefix sum over a group's buckets, at most a few thousand, find the
+       buckets of the two middle ranks;
+    3. ranks inside those buckets only, by a window over (group, bucket).
+    One lazy plan: the value counts are shuffled once and reused. The result
+    equals ``F.median`` (interpolation between the two middle values).
     """
-    from auctide.operators.joins import join_small
     name = name or f"median_{col}"
     g = [group] if isinstance(group, str) else list(group)
-    x = df.select(*g, F.col(col).alias("_x")).filter(F.col("_x").isNotNull())
-    rng = x.groupBy(*g).agg(F.min("_x").alias("_lo_v"), F.max("_x").alias("_hi_v"),
-                            F.count(F.lit(1)).alias("_n"))
-    width = F.col("_hi_v") - F.col("_lo_v")
-    bx = join_small(x, rng, g).withColumn(
-        "_k", F.when(width > 0, F.least(F.floor((F.col("_x") - F.col("_lo_v")) / width * buckets),
-                                        F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
-    ).drop("_lo_v", "_hi_v")
-    cnt = bx.groupBy(*g, "_k", "_n").agg(F.count(F.lit(1)).alias("_c"))
-    wk = Window.partitionBy(*g).orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
-    cnt = cnt.withColumn("_before", F.coalesce(F.sum("_c").over(wk), F.lit(0)))
+    x = F.col("_x")
+    step = F.when(x == 0, F.lit(0)).otherwise(
+        F.signum(x).cast("int") * (F.floor(F.log2(F.abs(x)) * MEDIAN_STEPS) + F.lit(100_000)))
+    vals = (df.select(*g, F.col(col).alias("_x")).filter(F.col("_x").isNotNull())
+            .groupBy(*g, "_x").agg(F.count(F.lit(1)).alias("_vc")).withColumn("_k", step))
+    wg = Window.partitionBy(*g)
+    wk = wg.orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = (vals.groupBy(*g, "_k").agg(F.sum("_vc").alias("_c"))
+               .withColumns({"_n": F.sum("_c").over(wg), "_before": F.coalesce(F.sum("_c").over(wk), F.lit(0))}))
     pos = (F.col("_n") - 1) / 2.0
     lo, hi = F.floor(pos), F.ceil(pos)
-    need = cnt.withColumns({"_lo": lo, "_hi": hi}).filter(
-        ((F.col("_lo") >= F.col("_before")) & (F.col("_lo") < F.col("_before") + F.col("_c")))
-        | ((F.col("_hi") >= F.col("_before")) & (F.col("_hi") < F.col("_before") + F.col("_c"))))
-    need = need.select(*g, "_k", "_n", "_before", "_lo", "_hi")
-    vals = (bx.join(need.select(*g, "_k"), [*g, "_k"], "left_semi")
-            .groupBy(*g, "_k", "_x").agg(F.count(F.lit(1)).alias("_vc")))
+    holds = [(r >= F.col("_before")) & (r < F.col("_before") + F.col("_c")) for r in (lo, hi)]
+    need = buckets.filter(holds[0] | holds[1]).select(*g, "_k", "_before", lo.alias("_lo"), hi.alias("_hi"))
     wv = Window.partitionBy(*g, "_k").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    vals = join_small(vals, need, [*g, "_k"]).withColumn("_cum", F.col("_before") + F.sum("_vc").over(wv))
-    # value at rank r: the first value whose cumulative count exceeds r
-    first_after = lambda r: F.min(F.when(F.col("_cum") > F.col(r), F.col("_x")))
-    picked = vals.groupBy(*g).agg(first_after("_lo").alias("_vlo"), first_after("_hi").alias("_vhi"),
-                                     F.first("_n").alias("_n"))
-    p = (F.col("_n") - 1) / 2.0
-    med = F.when(F.floor(p) == F.ceil(p), F.col("_vlo")).otherwise(
-        (F.ceil(p) - p) * F.col("_vlo") + (p - F.floor(p)) * F.col("_vhi"))
+    near = vals.join(need, [*g, "_k"]).withColumn("_cum", F.col("_before") + F.sum("_vc").over(wv))
+
+    def value_at(rank: str) -> Column:  # the first value whose cumulative count exceeds the rank
+        return F.min(F.when(F.col("_cum") > F.col(rank), F.col("_x")))
+
+    picked = near.groupBy(*g).agg(value_at("_lo").alias("_vlo"), value_at("_hi").alias("_vhi"),
+                                  F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
+    med = F.when(F.col("_lo") == F.col("_hi"), F.col("_vlo")).otherwise(
+        0.5 * F.col("_vlo") + 0.5 * F.col("_vhi"))
     return picked.select(*g, med.alias(name))

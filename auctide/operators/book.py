@@ -35,13 +35,22 @@ def book_imbalance(df: DataFrame, on_zero: str = "null", size_ratio: str = "ask/
 
 
 def harmonic_imbalance(df: DataFrame, on_zero: str = "null", as_written_v2: bool = False) -> DataFrame:
-    """``2 / (1/bid + 1/ask)``; ``as_written_v2`` keeps the v2 precedence ``2/(1/bid) + 1/ask``."""
-    inv_b = ratio(F.lit(1.0), F.col("bid_size"), on_zero)
-    inv_a = ratio(F.lit(1.0), F.col("ask_size"), on_zero)
+    """``2 / (1/bid + 1/ask)``; ``as_written_v2`` keeps the v2 precedence ``2/(1/bid) + 1/ask``.
+
+    A zero size makes its reciprocal infinite and the mean 0, so the closed
+    form ``2ab / (a + b)`` is used (0 when both sizes are 0); with policy
+    "null" a zero size gives NULL. Infinite results of the v2 precedence are
+    replaced at the end of the formula, not inside it.
+    """
+    b, a = F.col("bid_size"), F.col("ask_size")
     if as_written_v2:
-        h = ratio(F.lit(2.0), inv_b, on_zero) + inv_a
+        h = 2.0 * b + ratio(F.lit(1.0), a, "null")
+        if on_zero == "zero":
+            h = F.when(a == 0, F.lit(0.0)).otherwise(h)
+    elif on_zero == "zero":
+        h = F.when(a + b == 0, F.lit(0.0)).otherwise(F.try_divide(2.0 * a * b, a + b))
     else:
-        h = ratio(F.lit(2.0), inv_b + inv_a, on_zero)
+        h = F.when((a != 0) & (b != 0), F.try_divide(2.0 * a * b, a + b))
     return df.withColumn("harmonic_imbalance", h)
 
 

@@ -142,7 +142,9 @@ def cpcv(df: DataFrame, n_splits: int = 5, n_tests: int = 2, purge_gap: int | fl
     of 0 drop the whole block, as the reference does.
     """
     if n_tests >= n_splits:
-        raise ValueError("n_tests must be greater than n_splits.")
+        raise ValueError(f"{n_tests} test blocks need more than {n_splits} blocks")
+    if gap_kind == "count" and not all(isinstance(g, int) for g in (purge_gap, embargo_gap)):
+        raise TypeError("gaps counted in keys must be whole numbers; use gap_kind='value' for lengths")
     combos = [list(c) for c in combinations(range(n_splits), n_tests)]
     n_comb = len(combos)
     keys = (df.select(key).distinct()

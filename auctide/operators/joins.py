@@ -1,10 +1,9 @@
 """Dimension joins: instrument weights, per-snapshot index level, per-stock statistics.
 
 Weight and statistics tables hold one row per stock; the snapshot-level
-aggregate holds one row per snapshot. They are joined through ``join_small``:
-the side's row count is checked first (one small job over a narrow
-aggregate) and the side is broadcast only under ``BROADCAST_ROWS``; beyond it
-the join stays a shuffle join.
+aggregate holds one row per snapshot. All are plain joins without hints or
+counts: adaptive execution broadcasts a side whose measured size is under the
+session's threshold and shuffles (and splits skewed keys) beyond it.
 """
 
 from __future__ import annotations
@@ -13,32 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-BROADCAST_ROWS = 2_000_000
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join ``small`` to ``big``; broadcast it only when its counted size is under ``max_rows``."""
-    n = small.count()
-    return big.join(F.broadcast(small) if n <= max_rows else small, on, how)
-
-
-def weights_by_rule(df: DataFrame) -> DataFrame:
-    """Weights table for the stocks present in ``df`` (test rule, see FIXTURES.md).
-
-    Stocks with ``stock_id % 10 == 9`` get no weight, so the inner join of the
-    v1/v2 feature sets drops them; weight = (1 + stock_id % 7) / 1000.
-    """
-    ids = df.select("stock_id").distinct()
-    return (ids.filter(F.col("stock_id") % 10 != 9)
-            .select("stock_id", ((1 + F.col("stock_id") % 7) / F.lit(1000.0)).alias("weight")))
-
-
 def join_weights(df: DataFrame, weights: DataFrame, how: str = "inner",
                  weight_col: str = "weight") -> DataFrame:
     """Attach the weight (inner join drops stocks without one; ``how="left"`` keeps them)."""
     w = weights.select("stock_id", F.col("weight").alias(weight_col))
-    return join_small(df, w, "stock_id", how)
+    return df.join(w, "stock_id", how)
 
 
 def add_weighted_wap(df: DataFrame, weight_col: str = "weight") -> DataFrame:
@@ -52,4 +30,4 @@ def add_index_wap(df: DataFrame, weight_col: str = "weight") -> DataFrame:
     in one task; the join side has one row per snapshot.
     """
     idx = df.groupBy("time_id").agg(F.sum(F.col("wap") * F.col(weight_col)).alias("index_wap"))
-    return join_small(df, idx, "time_id")
+    return df.join(idx, "time_id")

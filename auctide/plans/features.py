@@ -26,7 +26,7 @@ def _window_inputs(df: DataFrame) -> DataFrame:
 
 
 def features_v1(df: DataFrame, weights: DataFrame, keep_stock_id: bool = False,
-                parity: bool = False) -> DataFrame:
+                parity: bool = False, stats: DataFrame | None = None) -> DataFrame:
     """v1: windows inside (stock, date); division by zero gives NULL.
 
     Plan order: all window work first on the narrow panel (the chunked per-stock
@@ -35,12 +35,14 @@ def features_v1(df: DataFrame, weights: DataFrame, keep_stock_id: bool = False,
     per-row projections. ``parity=True`` reproduces the two name-binding slips
     of the reference: ``imbalance_momentum`` overwrites ``imbalance_size`` and
     ``spread_depth_ratio`` overwrites ``ask_price``, and later steps read the
-    overwritten columns.
+    overwritten columns. ``stats`` is a fitted per-stock table (training rows);
+    without it the statistics are those of ``df``.
     """
     z = "null"
     df = joins.join_weights(df, weights)
-    # side tables from the narrow panel: joined (checked broadcast) before any window
-    stats = None if parity else stock_unit_stats(df)
+    # side tables from the narrow panel, joined before any window
+    if stats is None and not parity:
+        stats = stock_unit_stats(df)
     df = joins.add_index_wap(df)
     df = _window_inputs(df)
     df = stock_windows(df, [windows.momentum_stage(z, with_wap_momentum=False)], lookback=5)
@@ -78,11 +80,15 @@ def _stock_stage(df: DataFrame, z: str, movement_missing: str) -> DataFrame:
 
 
 def features_v2(df: DataFrame, weights: DataFrame, keep_stock_id: bool = False,
-                parity: bool = False) -> DataFrame:
-    """v2: windows per stock across days; +-inf replaced by 0 (division policy "zero")."""
+                parity: bool = False, stats: DataFrame | None = None) -> DataFrame:
+    """v2: windows per stock across days; +-inf replaced by 0 (division policy "zero").
+
+    ``stats`` is a fitted per-stock table (training rows); without it the
+    statistics are those of ``df``.
+    """
     z = "zero"
     df = joins.join_weights(df, weights, weight_col="stock_weights")
-    stats = stock_unit_stats(df)
+    stats = stats if stats is not None else stock_unit_stats(df)
     df = joins.add_weighted_wap(df, "stock_weights")
     df = _stock_stage(_window_inputs(df), z, "null")
     df = book.book_imbalance(df, z, "ask/bid")
@@ -120,7 +126,7 @@ def features_nb(df: DataFrame, weights: DataFrame, train_stats: DataFrame | None
     base = book.harmonic_imbalance(base, z)
     base = clean_inf(base)
     base = book.time_features(base, "nb")
-    base = joins.join_small(base, stats, "stock_id", "left")
+    base = base.join(stats, "stock_id", "left")
     if not keep_keys:
         base = base.drop("time_id", "date_id")
     return base

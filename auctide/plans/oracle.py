@@ -19,13 +19,14 @@ FIXTURE_CTES = """d AS (
  SELECT l_suppkey AS stock_id, CAST(l_shipdate AS DATE) AS d, MAX(l_extendedprice) AS mx, MIN(l_extendedprice) AS mn,
   SUM(l_quantity) AS q, COUNT(*) AS n, MAX(l_discount) AS disc, MAX(l_tax) AS tax, MAX(l_returnflag) AS rf
  FROM lineitem GROUP BY 1, 2),
-s AS (SELECT *, CAST(FLOOR(((YEAR(d)-1995)*12 + MONTH(d)-1)/8) AS INT) AS date_id FROM d),
-r AS (SELECT *, 10*(CAST(ROW_NUMBER() OVER (PARTITION BY stock_id, date_id ORDER BY d) AS INT)-1) AS seconds_in_bucket FROM s),
+s AS (SELECT *, DATE_DIFF('day', DATE '1995-01-01', d) AS day_no FROM d),
+r AS (SELECT *, CAST(FLOOR(day_no / 55e0) AS INT) AS date_id,
+  CAST(10 * (day_no - 55 * FLOOR(day_no / 55e0)) AS INT) AS seconds_in_bucket FROM s),
 p AS (SELECT CAST(stock_id AS INT) AS stock_id, date_id, seconds_in_bucket,
   CASE rf WHEN 'A' THEN -1 WHEN 'N' THEN 0 ELSE 1 END AS flag, n, d,
   1.0e0 - 0.001e0 - disc/100 AS bid_price, 1.0e0 + 0.001e0 + tax/100 AS ask_price,
   q*100 AS bid_size, FLOOR(mx)+0e0 AS ask_size, FLOOR(mx*10)+0e0 AS matched_size, FLOOR(mn)+0e0 AS imb0, disc, tax
- FROM r WHERE seconds_in_bucket <= 540),
+ FROM r),
 a AS (SELECT stock_id, date_id, seconds_in_bucket,
   CASE WHEN flag = 0 THEN 0e0 ELSE imb0 END AS imbalance_size, flag AS imbalance_buy_sell_flag,
   CASE WHEN DAY(d) = 29 THEN NULL ELSE (bid_price+ask_price)/2 + flag*0.0005e0 END AS reference_price, matched_size,
@@ -38,7 +39,7 @@ a AS (SELECT stock_id, date_id, seconds_in_bucket,
 t AS (SELECT date_id, seconds_in_bucket, CAST(ROW_NUMBER() OVER (ORDER BY date_id, seconds_in_bucket) - 1 AS INT) AS time_id
  FROM (SELECT DISTINCT date_id, seconds_in_bucket FROM a)),
 snap AS (SELECT a.*, t.time_id, CONCAT(CAST(a.date_id AS STRING),CONCAT(CHR(95),CONCAT(CAST(a.seconds_in_bucket AS STRING),CONCAT(CHR(95),CAST(a.stock_id AS STRING))))) AS row_id FROM a JOIN t ON a.date_id=t.date_id AND a.seconds_in_bucket=t.seconds_in_bucket),
-wts AS (SELECT stock_id, (1 + stock_id % 7) / 1000e0 AS weight FROM (SELECT DISTINCT stock_id FROM snap) WHERE stock_id % 10 <> 9),
+wts AS (SELECT stock_id, (1 + stock_id % 7) / 1000e0 AS weight FROM (SELECT DISTINCT CAST(s_suppkey AS INT) AS stock_id FROM supplier) WHERE stock_id % 10 <> 9),
 tsnap AS (SELECT * FROM snap WHERE target IS NOT NULL AND NOT isnan(target))"""
 
 SNAP_DOUBLES = ["imbalance_size", "reference_price", "matched_size", "far_price", "near_price", "bid_price",
@@ -57,8 +58,12 @@ def qi(n: str) -> str:
 
 
 def rnd(n: str, d: int | None = None) -> str:
-    d = Q.DIGITS.get(n, 6) if d is None else d
+    d = Q.DIGITS.get(n) if d is None else d
     x = qi(n)
+    if d is None:
+        scale = f"POW(10e0, GREATEST(6e0, 8e0 - FLOOR(LOG10(ABS({x})))))"
+        return (f"(CASE WHEN ABS({x}) < 1e-12 THEN 0e0 WHEN ABS({x}) < 1e9 THEN FLOOR({x} * {scale} + 0.5e0) / {scale} "
+                f"ELSE {x} END) AS {x}")
     return f"(CASE WHEN ABS({x}) < 1e9 THEN FLOOR({x} * 1e{d} + 0.5e0) / 1e{d} ELSE {x} END) AS {x}"
 
 
@@ -292,7 +297,9 @@ def pressure_sql(z: str = "null") -> dict[str, str]:
 
 
 def harmonic_sql(z: str = "zero") -> str:
-    return div("2e0", f"{div('1e0', 'bid_size', z)} + {div('1e0', 'ask_size', z)}", z)
+    if z == "zero":
+        return "(CASE WHEN ask_size + bid_size = 0 THEN 0e0 ELSE 2e0 * ask_size * bid_size / (ask_size + bid_size) END)"
+    return ("(CASE WHEN ask_size <> 0 AND bid_size <> 0 THEN 2e0 * ask_size * bid_size / (ask_size + bid_size) END)")
 
 
 def _cols(d: dict[str, str]) -> str:

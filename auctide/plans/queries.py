@@ -17,13 +17,14 @@ from auctide.operators import aggregates as agg
 from auctide.operators import book, folds, joins, post, windows
 from auctide.operators.series import day_window, stock_windows, tail_per_key
 from auctide.plans.features import features_nb, features_v1, features_v2
-from auctide.sources.side_tables import downcast_plan, predictions_by_rule
+from auctide.plans.fixtures import predictions_by_rule, weights_by_rule
+from auctide.sources.side_tables import downcast_plan
 from auctide.sources.snapshots import SNAPSHOT_SCHEMA, add_time_id, filter_target, preprocess, snapshots
 
 K = ["stock_id", "time_id"]
 
-# fixed parameters of the registered queries (the test panel has 11 dates, 0..10)
-SPLIT_DAY = 7
+# fixed parameters of the registered queries (the test panel has 47 dates of 55 days, 0..46)
+SPLIT_DAY = 35
 N_FOLDS = 3
 GAP = 1
 CPCV_SPLITS, CPCV_TESTS, CPCV_PURGE, CPCV_EMBARGO = 4, 2, 1, 1
@@ -37,20 +38,12 @@ def out(df: DataFrame) -> DataFrame:
     return round_doubles(df, 6, DIGITS)
 
 
-PANEL_PATH_CONF = "auctide.panel.path"
-
-
 def _snap(spark, sf):
-    """The snapshot panel: a stored copy when ``auctide.panel.path`` names one, else derived
-    from ``lineitem`` of ``sf``."""
-    path = spark.conf.get(PANEL_PATH_CONF, None)
-    if path:
-        return spark.read.schema(SNAPSHOT_SCHEMA).parquet(path).select(*[f.name for f in SNAPSHOT_SCHEMA.fields])
     return snapshots(spark, sf)
 
 
-def _weights(snap):
-    return joins.weights_by_rule(snap)
+def _weights(spark, sf):
+    return weights_by_rule(spark, sf)
 
 
 def _sel(df, *cols):
@@ -100,19 +93,19 @@ def q_clean_inf(spark, sf):
 
 def q_map_weights(spark, sf):
     s = _snap(spark, sf)
-    d = joins.add_weighted_wap(joins.join_weights(s, _weights(s), "left", "stock_weights"), "stock_weights")
+    d = joins.add_weighted_wap(joins.join_weights(s, _weights(spark, sf), "left", "stock_weights"), "stock_weights")
     return _sel(d, "stock_weights", "weighted_wap")
 
 
 def q_join_weights(spark, sf):
     s = _snap(spark, sf)
-    d = joins.add_weighted_wap(joins.join_weights(s, _weights(s)))
+    d = joins.add_weighted_wap(joins.join_weights(s, _weights(spark, sf)))
     return _sel(d, "weight", "weighted_wap")
 
 
 def q_index_wap(spark, sf):
     s = _snap(spark, sf)
-    d = joins.add_weighted_wap(joins.add_index_wap(joins.join_weights(s, _weights(s))))
+    d = joins.add_weighted_wap(joins.add_index_wap(joins.join_weights(s, _weights(spark, sf))))
     return _sel(d, "weight", "index_wap", "weighted_wap")
 
 
@@ -233,7 +226,7 @@ def q_stock_return(spark, sf):
 
 def q_target_from_index(spark, sf):
     s = _snap(spark, sf)
-    d = joins.add_index_wap(joins.join_weights(s, _weights(s)))
+    d = joins.add_index_wap(joins.join_weights(s, _weights(spark, sf)))
     w = day_window()
     d = d.withColumn("target_calc", (ratio(F.lead("wap", 6).over(w), F.col("wap"))
                                      - ratio(F.lead("index_wap", 6).over(w), F.col("index_wap"))) * 10000)
@@ -265,7 +258,7 @@ def q_spread_intensity(spark, sf):
 
 def q_wap_momentum(spark, sf):
     s = _snap(spark, sf)
-    d = joins.add_weighted_wap(joins.join_weights(s, _weights(s), weight_col="stock_weights"), "stock_weights")
+    d = joins.add_weighted_wap(joins.join_weights(s, _weights(spark, sf), weight_col="stock_weights"), "stock_weights")
     d = stock_windows(d, [lambda w: {"wap_momentum": windows.pct_change(
         F.col("weighted_wap_ffill"), F.lag("weighted_wap_ffill", 6).over(w), "zero")}], 6, ffill=["weighted_wap"])
     return _sel(d, "weighted_wap", "wap_momentum")
@@ -283,7 +276,7 @@ def q_book_returns(spark, sf):
 
 def _diff_input(spark, sf):
     s = _snap(spark, sf)
-    d = joins.add_weighted_wap(joins.join_weights(s, _weights(s), weight_col="stock_weights"), "stock_weights")
+    d = joins.add_weighted_wap(joins.join_weights(s, _weights(spark, sf), weight_col="stock_weights"), "stock_weights")
     return d.withColumn("price_spread", F.col("ask_price") - F.col("bid_price"))
 
 
@@ -438,18 +431,18 @@ def q_zero_sum(spark, sf):
 
 def q_features_v1(spark, sf):
     s = filter_target(_snap(spark, sf))
-    return out(features_v1(s, _weights(s), keep_stock_id=True))
+    return out(features_v1(s, _weights(spark, sf), keep_stock_id=True))
 
 
 def q_features_v2(spark, sf):
     s = filter_target(_snap(spark, sf))
-    return out(features_v2(s, _weights(s), keep_stock_id=True))
+    return out(features_v2(s, _weights(spark, sf), keep_stock_id=True))
 
 
 def q_features_nb(spark, sf):
     s = filter_target(_snap(spark, sf))
     stats = agg.global_stock_stats(s.filter(F.col("date_id") <= SPLIT_DAY))
-    return out(features_nb(s, _weights(s), train_stats=stats, keep_keys=True))
+    return out(features_nb(s, _weights(spark, sf), train_stats=stats, keep_keys=True))
 
 
 
@@ -482,7 +475,7 @@ def stream_feature_batch(batch: DataFrame, weights: DataFrame) -> DataFrame:
 def q_stream_features(spark, sf):
     from auctide.streaming.online import run_stream
     src = _stream_source(spark, sf)
-    weights = _weights(spark.read.parquet(src))
+    weights = _weights(spark, sf)
     path, _ = run_stream(spark, src, SNAPSHOT_SCHEMA, lambda b: stream_feature_batch(b, weights),
                          ffill=[*windows.LAG_COLUMNS, "wap"], name="stream-features")
     return _read_stream_out(spark, path)
@@ -517,7 +510,7 @@ ML_FOLDS = 2
 def _model_input(spark, sf):
     """Training rows with the model's feature columns, cached: every fit reads them."""
     s = filter_target(_snap(spark, sf))
-    f = features_v2(s, _weights(s), keep_stock_id=True)
+    f = features_v2(s, _weights(spark, sf), keep_stock_id=True)
     return f.select("stock_id", "time_id", "date_id", "target", *MODEL_FEATURES).cache()
 
 
@@ -569,7 +562,7 @@ def q_index_weights(spark, sf):
     w = day_window()
     r = s.select("stock_id", "time_id", ((F.try_divide(F.lead("wap", 6).over(w), F.col("wap")) - 1) * 10000)
                  .alias("ret")).na.drop(subset=["ret"])
-    wts = _weights(s)
+    wts = _weights(spark, sf)
     idx = r.join(wts, "stock_id").groupBy("time_id").agg(F.sum(F.col("ret") * F.col("weight")).alias("index_ret"))
     ids = [row[0] for row in s.select("stock_id").distinct().orderBy("stock_id").collect()]
     coef, r2 = model.index_weight_regression(r, idx, ids, missing="zero")
@@ -583,7 +576,7 @@ def q_objective_change(spark, sf):
     from auctide.operators import model
     d = _model_input(spark, sf)
     s = filter_target(_snap(spark, sf))
-    extra = joins.add_index_wap(joins.join_weights(s, _weights(s))).select(
+    extra = joins.add_index_wap(joins.join_weights(s, _weights(spark, sf))).select(
         *K, "weight", "index_wap", F.lead("wap", 6).over(day_window()).alias("stock_wap_t60"))
     d = d.join(extra, K).na.drop(subset=["stock_wap_t60"]).cache()
     fl = folds.kfold(d, ML_FOLDS)
@@ -612,7 +605,7 @@ def q_stream_score(spark, sf):
     ms = models["gbt"]
     wts = post.decay_weights(len(ms))
     src = _stream_source(spark, sf)
-    weights = _weights(spark.read.parquet(src))
+    weights = _weights(spark, sf)
     names = [f"m{i}" for i in range(len(ms))]
 
     def score(batch):

@@ -1,5 +1,4 @@
-"""Side tables derived from the panel: prediction columns (for post-processing without a
-learner) and the storage-narrowing plan (``downcast``)."""
+"""The storage-narrowing plan of a table (``downcast``)."""
 
 from __future__ import annotations
 
@@ -7,18 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-N_PREDICTIONS = 6
-
-
-def predictions_by_rule(snap: DataFrame, n: int = N_PREDICTIONS) -> DataFrame:
-    """``p_k = coalesce(target, 0) + k * (wap - 1) * 100`` for k = 1..n, with volume for zero_sum."""
-    t0 = F.coalesce(F.col("target"), F.lit(0.0))
-    cols = {f"p{k}": t0 + F.lit(k) * (F.col("wap") - 1) * 100 for k in range(1, n + 1)}
-    return snap.select("stock_id", "time_id", "date_id", "target",
-                       (F.col("bid_size") + F.col("ask_size")).alias("volume"), *cols.values()) \
-        .toDF("stock_id", "time_id", "date_id", "target", "volume", *cols.keys())
-
-
 _INT_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FLOAT_TYPES = (T.FloatType, T.DoubleType)
 

@@ -2,9 +2,11 @@
 
 The reference reads one CSV of closing-auction snapshots. The test data has no
 such table, so ``snapshots_from_lineitem`` derives one of the same shape from
-``lineitem`` (rules in FIXTURES.md). Everything is lazy; the only
-single-partition step is the ordinal over *distinct* (date, second) keys,
-whose size is bounded by dates x 55 and not by the row count.
+``lineitem`` (rules in FIXTURES.md): a supplier's shipping day is one snapshot,
+55 consecutive days are one date, so no row of ``lineitem`` is left out and
+(stock, date, second) is a key. Everything is lazy; the only single-partition
+step is the ordinal over *distinct* (date, second) keys, whose size is bounded
+by dates x 55 and not by the row count.
 """
 
 from __future__ import annotations
@@ -46,10 +48,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def read_snapshots_csv(spark: SparkSession, path: str, with_target: bool = True) -> DataFrame:
-    """CSV scan with an explicit schema (never ``inferSchema``); blank cells are NULL."""
+    """CSV scan with an explicit schema (never ``inferSchema``); blank and ``NaN`` cells are NULL."""
     fields = [f for f in SNAPSHOT_SCHEMA.fields if with_target or f.name != "target"]
-    return (spark.read.schema(T.StructType(fields)).option("header", True)
-            .option("nanValue", "NaN").csv(path))
+    return nan_to_null(spark.read.schema(T.StructType(fields)).option("header", True)
+                       .option("nanValue", "NaN").csv(path))
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
@@ -59,7 +61,8 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def preprocess(df: DataFrame) -> DataFrame:
-    """Cast table of the reference; with a target column keep rows whose target is usable."""
+    """Cast table of the reference, NaN to NULL; with a target column keep rows whose target is usable."""
+    df = nan_to_null(df)
     if "target" in df.columns:
         df = df.filter(F.col("target").isNotNull() & ~F.isnan("target"))
     casts = {c: F.col(c).cast(t) for c, t in CAST_TYPES.items() if c in df.columns}
@@ -84,11 +87,14 @@ def _daily(lineitem: DataFrame) -> DataFrame:
                  *[F.max((F.col("l_returnflag") == v).cast("int")).alias(f"eq_{v}") for v in ("A", "N")]))
 
 
+#: Days of one date; seconds_in_bucket runs from 0 to 10 * (DAYS - 1) = 540.
+DAYS = 55
+
+
 def _book(daily: DataFrame) -> DataFrame:
-    month_no = (F.year("d") - 1995) * 12 + F.month("d") - 1
-    s = daily.withColumn("date_id", F.floor(month_no / 8).cast("int"))
-    w = Window.partitionBy("stock_id", "date_id").orderBy("d")
-    r = s.withColumn("seconds_in_bucket", 10 * (F.row_number().over(w) - 1)).filter("seconds_in_bucket <= 540")
+    day_no = F.datediff("d", F.lit("1995-01-01").cast("date"))
+    r = daily.withColumns({"date_id": F.floor(day_no / DAYS).cast("int"),
+                           "seconds_in_bucket": (F.pmod(day_no, F.lit(DAYS)) * 10).cast("int")})
     is_a = (F.col("gt_A") == 0) & (F.col("eq_A") == 1)
     is_n = (F.col("gt_N") == 0) & (F.col("eq_N") == 1)
     flag = F.when(is_a, -1).when(is_n, 0).otherwise(1)
@@ -164,9 +170,11 @@ def write_snapshots(df: DataFrame, path: str, partition_by: str | None = "date_i
     """Write the panel as parquet, one folder per date, rows sorted by stock then time.
 
     Day folders let later jobs prune by date; sorting inside files keeps the
-    per-stock windows' sort cheap.
+    per-stock windows' sort cheap. Range partitions by (date, stock) follow the
+    number of rows, so a date is cut into as many tasks as it needs.
     """
-    w = df.repartition("date_id").sortWithinPartitions("stock_id", "time_id").write.mode("overwrite")
+    w = df.repartitionByRange("date_id", "stock_id").sortWithinPartitions(
+        "date_id", "stock_id", "time_id").write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)

@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from auctide.operators import joins
 from auctide.plans.features import features
+from auctide.plans.fixtures import weights_by_rule
 from auctide.sources.side_tables import downcast
-from auctide.sources.snapshots import preprocess, read_snapshots_csv
+from auctide.sources.snapshots import preprocess, read_snapshots_csv, table
+from tests.conftest import SF_SMALL
 
 
 def test_csv_roundtrip_with_schema(spark, panel):
@@ -31,26 +33,51 @@ def test_downcast(panel):
     assert t["wap"] == "float" and t["time_id"] == "smallint"
 
 
-def test_unknown_version(panel):
+def test_unknown_version(spark, panel):
     import pytest
     with pytest.raises(ValueError):
-        features(panel, "v9", joins.weights_by_rule(panel))
+        features(panel, "v9", weights_by_rule(spark, SF_SMALL))
 
 
 def _executed_plan(df):
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def test_weights_join_is_broadcast_after_aqe(panel):
-    df = joins.join_weights(panel, joins.weights_by_rule(panel))
+    """The plan that ran: collect() uses the frame's own execution, so its final adaptive plan is read."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan
+    return plan
+
+
+def test_panel_keeps_every_row_of_lineitem(spark, panel):
+    li = table(spark, SF_SMALL, "lineitem").select(F.col("l_suppkey").alias("stock_id"),
+                                                   F.to_date("l_shipdate").alias("d"))
+    days = li.groupBy("stock_id", "d").count()
+    assert panel.count() == days.count() == panel.select("stock_id", "date_id", "seconds_in_bucket").distinct().count()
+    start = F.lit("1995-01-01").cast("date")
+    at = panel.select("stock_id", F.date_add(start, (F.col("date_id") * 55 + F.col("seconds_in_bucket") / 10)
+                                             .cast("int")).alias("d"))
+    assert at.join(days, ["stock_id", "d"]).agg(F.sum("count")).first()[0] == li.count()
+    assert panel.filter("seconds_in_bucket not between 0 and 540").count() == 0
+
+
+def test_rounding_keeps_small_ratios(spark):
+    from auctide.plans import queries as Q
+    from auctide.operators import book
+    cols = Q.PRESSURE_COLS
+    raw = book.pressure(book.book_imbalance(Q._snap(spark, SF_SMALL), "null"), "null").select(*cols)
+    seen = Q.q_pressure(spark, SF_SMALL)
+    a, b = (df.agg(*[F.count_distinct(c).alias(c) for c in cols]).first() for df in (raw, seen))
+    assert all(b[c] >= 0.95 * a[c] for c in cols if a[c] > 100), (a, b)
+
+
+def test_weights_join_is_broadcast_after_aqe(spark, panel):
+    df = joins.join_weights(panel, weights_by_rule(spark, SF_SMALL))
     assert "BroadcastHashJoin" in _executed_plan(df)
 
 
-def test_no_per_stock_window_over_the_panel(panel):
+def test_no_per_stock_window_over_the_panel(spark, panel):
     """Windows partitioned by stock_id alone run on the per-chunk table only."""
-    df = features(panel.filter("target is not null"), "v2", joins.weights_by_rule(panel), keep_stock_id=True)
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    df = features(panel.filter("target is not null"), "v2", weights_by_rule(spark, SF_SMALL), keep_stock_id=True)
+    plan = _executed_plan(df)
     for line in plan.splitlines():
         if "Window [" in line and "windowspecdefinition(stock_id" in line:
             spec = line.split("windowspecdefinition(")[1]
