@@ -89,16 +89,17 @@ def days_per_stock_histogram(df: DataFrame) -> DataFrame:
     return per.groupBy("n_days").agg(F.count(F.lit(1)).alias("n_stocks"))
 
 
-def index_return(df: DataFrame, k: int = 6) -> DataFrame:
-    """Mean over stocks of the implied index return per snapshot.
-
-    ``stock_return`` is the k-step (60 s) return in bp per (stock, date);
-    the index return of a row is ``stock_return - target``.
-    """
+def stock_and_index_return(df: DataFrame, k: int = 6) -> DataFrame:
+    """``stock_return``, the k-step (60 s) return in bp per (stock, date), and the index return
+    that the row's target implies, ``stock_return - target``."""
     w = Window.partitionBy("stock_id", "date_id").orderBy("time_id")
     r = df.withColumn("stock_return", (F.try_divide(F.lead("wap", k).over(w), F.col("wap")) - 1) * 10000)
-    r = r.withColumn("index_return", F.col("stock_return") - F.col("target"))
-    return r.groupBy("time_id").agg(F.avg("index_return").alias("mean_index_return"),
+    return r.withColumn("index_return", F.col("stock_return") - F.col("target"))
+
+
+def index_return(df: DataFrame, k: int = 6) -> DataFrame:
+    """Mean over stocks of the implied index return per snapshot."""
+    return stock_and_index_return(df, k).groupBy("time_id").agg(F.avg("index_return").alias("mean_index_return"),
                                     F.count("index_return").alias("n_stocks"))
 
 

@@ -50,7 +50,7 @@ def time_series_split(df: DataFrame, n_splits: int = 5, gap: int = 0, key: str =
     n = _n_keys(df, key)
     n_folds = n_splits + 1
     if n_folds > n:
-        raise ValueError(f"Cannot have number of folds={n_folds} greater than number of samples={n}.")
+        raise ValueError(f"{n} keys cannot fill {n_folds} folds")
     test_size = n // n_folds
     if n - gap - test_size * n_splits <= 0:
         raise ValueError("Too many splits or too large a gap for the number of samples.")
@@ -95,7 +95,7 @@ def purged_group_split(df: DataFrame, n_splits: int = 5, group_gap: int = 0,
     n = _n_keys(df, key)
     n_folds = n_splits + 1
     if n_folds > n:
-        raise ValueError(f"Cannot have number of folds={n_folds} greater than the number of groups={n}")
+        raise ValueError(f"{n} groups cannot fill {n_folds} folds")
     gts = int(min(n // n_folds, max_test_group_size))
     first = n - n_splits * gts
     s = F.lit(first) + F.col("_f") * gts
@@ -106,24 +106,50 @@ def purged_group_split(df: DataFrame, n_splits: int = 5, group_gap: int = 0,
     return _expand(_ordinals(df, key), n_splits, role, key)
 
 
+def _greedy_runs(sizes: list[tuple[int, int]], n_splits: int) -> list[tuple]:
+    """``(size, from rank, to rank, folds in turn)`` of the greedy pass, from (size, groups) pairs.
+
+    Once the loads lie within one group of each other, groups of that size go
+    round the folds in a fixed order, so a size costs a few steps however many
+    groups have it.
+    """
+    loads, out = [0] * n_splits, []
+    for size, groups in sizes:
+        at = 0
+        while at < groups:
+            order = sorted(range(n_splits), key=lambda x: (loads[x], x))
+            if loads[order[-1]] - loads[order[0]] < size:
+                out.append((size, at, groups, order))
+                full, rest = divmod(groups - at, n_splits)
+                for i, j in enumerate(order):
+                    loads[j] += size * (full + (i < rest))
+                break
+            j, nxt = order[0], order[1]
+            run = max(1, min(groups - at, (loads[nxt] - loads[j]) // size))
+            out.append((size, at, at + run, [j]))
+            loads[j] += size * run
+            at += run
+    return out
+
+
 def group_kfold(df: DataFrame, n_splits: int = 5, group: str = "stock_id") -> DataFrame:
     """Greedy group k-fold: groups by size (desc, then id), each to the currently lightest fold.
 
-    The pass is sequential by nature; it runs over the per-group count table
-    (one row per group), which is the only thing that leaves the cluster.
+    The greedy pass runs over the histogram of group sizes (one row per
+    distinct size reaches the driver); a group finds its fold by its rank
+    among the groups of its size.
     """
-    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.orderBy(F.col("n").desc(), F.col(group)).collect()
-    if len(rows) < n_splits:
-        raise ValueError(f"Cannot have number of splits n_splits={n_splits} greater than the number of groups")
-    loads = [0] * n_splits
-    assign = []
-    for r in rows:
-        j = min(range(n_splits), key=lambda x: (loads[x], x))
-        loads[j] += r["n"]
-        assign.append((r[group], j))
-    spark = df.sparkSession
-    table = spark.createDataFrame(assign, f"{group} {df.schema[group].dataType.simpleString()}, _b int")
+    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    hist = [(r["_n"], r["count"]) for r in counts.groupBy("_n").count().orderBy(F.col("_n").desc()).collect()]
+    if sum(m for _, m in hist) < n_splits:
+        raise ValueError(f"{sum(m for _, m in hist)} groups cannot fill {n_splits} folds")
+    runs = df.sparkSession.createDataFrame(_greedy_runs(hist, n_splits),
+                                           "_size long, _from long, _to long, _turn array<int>")
+    rank = F.row_number().over(Window.partitionBy("_n").orderBy(group)) - 1
+    table = (counts.withColumn("_r", rank)
+             .join(runs, (F.col("_n") == F.col("_size")) & (F.col("_r") >= F.col("_from")) & (F.col("_r") < F.col("_to")))
+             .select(group, F.element_at("_turn", ((F.col("_r") - F.col("_from")) % F.size("_turn") + 1).cast("int"))
+                     .alias("_b")))
     role = F.when(F.col("_f") == F.col("_b"), F.lit("valid")).otherwise(F.lit("train"))
     return _expand(table, n_splits, role, group)
 

@@ -719,32 +719,71 @@ def o_zero_sum():
 # ---------------------------------------------------------------- streaming (stream output = batch SQL)
 
 def o_stream_tail():
-    return o_tail_per_stock()
+    x = "x AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY stock_id ORDER BY time_id DESC) AS rk FROM snap)"
+    others = [c for c in SNAP_COLS if c not in SNAP_DOUBLES and c not in KEYS]
+    return sql(x, final=sel("x", SNAP_DOUBLES, others, tail=f"WHERE rk <= {Q.TAIL_ROWS}"))
 
 
 def o_stream_features():
-    j = ("j AS (SELECT *, wap * weight AS weighted_wap, ask_price - bid_price AS price_spread, "
-         "(ask_price + bid_price) / 2 AS mid_price FROM snap JOIN wts USING (stock_id))")
-    f = (f"f AS (SELECT *, {ffill('reference_price')} AS rp_ff, {ffill('matched_size')} AS ms_ff, "
-         f"{ffill('weighted_wap')} AS ww_ff FROM j)")
-    cols = {
-        "imbalance_size_shift_10": lag("imbalance_size", 10, WS),
-        "reference_price_ret_10": pct("rp_ff", lag("rp_ff", 10, WS)),
-        "matched_size_ret_1": pct("ms_ff", lag("ms_ff", 1, WS)),
-        "bid_price_diff_10": f"bid_price - {lag('bid_price', 10, WS)}",
-        "ask_price_diff_10": f"ask_price - {lag('ask_price', 10, WS)}",
-        "bid_size_diff_10": f"bid_size - {lag('bid_size', 10, WS)}",
-        "ask_price_diff_5": f"ask_price - {lag('ask_price', 5, WS)}",
-        "weighted_wap_diff_3": f"weighted_wap - {lag('weighted_wap', 3, WS)}",
-        **momentum_sql("zero"),
-        "wap_momentum": pct("ww_ff", lag("ww_ff", 6, WS)),
-    }
-    x1 = f"x1 AS (SELECT stock_id, time_id, {_cols(cols)} FROM f)"
-    x = ("x AS (SELECT *, bid_price_diff_10 - ask_price_diff_10 AS price_change_diff_10, "
-         f"{roll('STDDEV_SAMP', 'bid_size_diff_10', 10, WS)} AS rolling_std_diff_bid_size_10, "
-         f"{roll('AVG', 'ask_price_diff_5', 5, WS)} AS rolling_diff_ask_price_5 FROM x1)")
-    dbl = [c for c in Q.STREAM_COLS if c != "mid_price_movement"]
-    return sql(j, f, x1, x, final=sel("x", dbl, ["mid_price_movement"]))
+    return o_features_v2()
+
+
+# ---------------------------------------------------------------- CSV, fold rows, models
+
+def o_scan_csv():
+    return o_scan_snapshots()
+
+
+def o_cv_fold_rows():
+    b = (f"b AS (SELECT date_id, CAST(NTILE({Q.N_FOLDS}) OVER (ORDER BY date_id) - 1 AS INT) AS fold "
+         "FROM (SELECT DISTINCT date_id FROM snap))")
+    return sql(b, final="SELECT stock_id, time_id, fold FROM snap JOIN b USING (date_id)")
+
+
+def o_cv_cpcv_value():
+    *front, _ = _cpcv_ctes()
+    edge = ("edge AS (SELECT *, MIN(date_id) OVER (PARTITION BY split, b) AS lo, "
+            "MAX(date_id) OVER (PARTITION BY split, b) AS hi FROM grid)")
+    role = ("CASE WHEN in_test THEN 'valid' WHEN NOT ((before_test AND date_id > hi - 2) OR "
+            "(after_test AND date_id < lo + 3)) THEN 'train' END")
+    cv = (f"cv AS (SELECT split, {role} AS role, date_id, b AS block, "
+          "CASE WHEN in_test THEN CAST(path_no AS INT) END AS path FROM edge)")
+    return sql(*front, edge, cv, final="SELECT * FROM cv WHERE role IS NOT NULL")
+
+
+_MODEL_ROWS = "m AS (SELECT tsnap.* FROM tsnap JOIN wts USING (stock_id))"
+
+
+def o_gbt_cv():
+    b = (f"b AS (SELECT date_id, CAST(NTILE({Q.ML_FOLDS}) OVER (ORDER BY date_id) - 1 AS INT) AS fold "
+         "FROM (SELECT DISTINCT date_id FROM m))")
+    return sql(_MODEL_ROWS, b, final="SELECT fold, COUNT(*) AS n_valid, (SELECT COUNT(*) FROM m) - COUNT(*) AS n_train, "
+                                     "TRUE AS beats_constant FROM m JOIN b USING (date_id) GROUP BY fold")
+
+
+def o_refit_full():
+    return sql(_MODEL_ROWS, final="SELECT 'gbt' AS kind, COUNT(*) AS n, TRUE AS beats_constant FROM m")
+
+
+def o_model_roundtrip():
+    return sql(_MODEL_ROWS, final="SELECT stock_id, time_id, TRUE AS same FROM m")
+
+
+def o_index_weights():
+    r = f"ret AS (SELECT stock_id, LEAD(wap, 6) OVER ({WSD}) AS later, target FROM snap)"
+    return sql(r, final="SELECT stock_id, COUNT(*) AS n_obs, TRUE AS fitted FROM ret "
+                        "WHERE later IS NOT NULL AND target IS NOT NULL GROUP BY stock_id")
+
+
+def o_objective_change():
+    r = f"ahead AS (SELECT LEAD(wap, 6) OVER ({WSD}) AS later FROM m)"
+    return sql(_MODEL_ROWS, r, final="SELECT st.stage, COUNT(*) AS n, TRUE AS ok FROM ahead, "
+               "(VALUES ('via_index'), ('stacked')) st(stage) WHERE later IS NOT NULL GROUP BY st.stage")
+
+
+def o_stream_score():
+    return sql(_MODEL_ROWS, final="SELECT stock_id, time_id, date_id, TRUE AS centred_snapshot, TRUE AS in_range "
+                                  "FROM m WHERE date_id = (SELECT MAX(date_id) FROM tsnap)")
 
 
 # ---------------------------------------------------------------- full feature sets

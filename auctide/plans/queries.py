@@ -2,7 +2,7 @@
 
 Every query reads ``lineitem`` of the scale-factor directory (through the
 snapshot panel) and runs over the whole table. Floating outputs are rounded
-(6 decimals; skew/kurtosis 4) so results compare across engines.
+ so results compare across engines.
 """
 
 from __future__ import annotations
@@ -14,12 +14,15 @@ from pyspark.sql import functions as F
 
 from auctide.functions.expr import clean_inf, diff, ratio, round_doubles
 from auctide.operators import aggregates as agg
-from auctide.operators import book, folds, joins, post, windows
+from auctide.operators import book, folds, joins, model, post, windows
 from auctide.operators.series import day_window, stock_windows, tail_per_key
 from auctide.plans.features import features_nb, features_v1, features_v2
 from auctide.plans.fixtures import predictions_by_rule, weights_by_rule
 from auctide.sources.side_tables import downcast_plan
-from auctide.sources.snapshots import SNAPSHOT_SCHEMA, add_time_id, filter_target, preprocess, snapshots
+from auctide.session import drop_at_exit, scratch_path, stored
+from auctide.sources.snapshots import (SNAPSHOT_SCHEMA, add_time_id, filter_target, preprocess,
+                                       read_snapshots_csv, snapshots)
+from auctide.streaming import online
 
 K = ["stock_id", "time_id"]
 
@@ -449,35 +452,30 @@ def q_features_nb(spark, sf):
 
 # ------------------------------------------------------------------ streaming (file source -> keyed state)
 
-STREAM_COLS = ["imbalance_size_shift_10", "reference_price_ret_10", "matched_size_ret_1", "bid_price_diff_10",
-               "weighted_wap_diff_3", "price_change_diff_10", "rolling_std_diff_bid_size_10",
-               "rolling_diff_ask_price_5", "imbalance_momentum", "spread_intensity", "mid_price_movement",
-               "wap_momentum"]
+FFILL = [*windows.LAG_COLUMNS, "wap"]
 
 
-def _stream_source(spark, sf):
-    from auctide.session import scratch_path
-    from auctide.streaming.online import write_stream_files
-    src = scratch_path(spark, "stream-src")
-    write_stream_files(_snap(spark, sf), src)
-    return src
+def _stream_source(spark, rows, batches=4):
+    path = scratch_path(spark, "stream-src")
+    online.write_stream_files(stored(rows, "stream-rows"), path, batches=batches)
+    drop_at_exit(spark, path)
+    return path
 
 
-def stream_feature_batch(batch: DataFrame, weights: DataFrame) -> DataFrame:
-    """Per-stock v2 window features of one micro-batch (buffer + new rows), new rows only."""
-    from auctide.plans.features import _stock_stage, _window_inputs
-    from auctide.streaming.online import new_rows
-    d = joins.add_weighted_wap(joins.join_weights(batch, weights, weight_col="stock_weights"), "stock_weights")
-    d = _stock_stage(_window_inputs(d), "zero", "null")
-    return new_rows(d).select(*K, *STREAM_COLS)
+def _fitted(spark, sf, rows):
+    """Weights and per-stock statistics of ``rows``, stored: micro-batches only look them up."""
+    weights = stored(_weights(spark, sf), "weights")
+    return weights, stored(agg.stock_unit_stats(joins.join_weights(rows, weights)), "stats")
 
 
 def q_stream_features(spark, sf):
-    from auctide.streaming.online import run_stream
-    src = _stream_source(spark, sf)
-    weights = _weights(spark, sf)
-    path, _ = run_stream(spark, src, SNAPSHOT_SCHEMA, lambda b: stream_feature_batch(b, weights),
-                         ffill=[*windows.LAG_COLUMNS, "wap"], name="stream-features")
+    """The v2 feature set computed online: equal to the batch result."""
+    s = filter_target(_snap(spark, sf))
+    weights, stats = _fitted(spark, sf, s)
+    path, _ = online.run_stream(
+        spark, _stream_source(spark, s), SNAPSHOT_SCHEMA,
+        lambda b: online.new_rows(features_v2(b, weights, keep_stock_id=True, stats=stats)), ffill=FFILL,
+        name="stream-features")
     return _read_stream_out(spark, path)
 
 
@@ -487,139 +485,166 @@ def _read_stream_out(spark, path):
 
 def q_stream_tail(spark, sf):
     """Keyed state after the stream: the last 21 rows per stock, read from the state store."""
-    from auctide.streaming.online import new_rows, run_stream, state_rows
-    src = _stream_source(spark, sf)
-    res, progress = run_stream(spark, src, SNAPSHOT_SCHEMA, lambda b: new_rows(b).select(*K), name="stream-tail")
-    return state_rows(spark, res).select(*K, "date_id", "seconds_in_bucket")
+    res, _ = online.run_stream(spark, _stream_source(spark, _snap(spark, sf)), SNAPSHOT_SCHEMA,
+                               lambda b: online.new_rows(b).select(*K), name="stream-tail")
+    return out(online.state_rows(spark, res).select(*[f.name for f in SNAPSHOT_SCHEMA.fields]))
 
 
-# ------------------------------------------------------------------ models (rows-only checks)
+# ------------------------------------------------------------------ models
 
-MODEL_FEATURES = ["seconds_in_bucket", "imbalance_size", "imbalance_buy_sell_flag", "reference_price",
-                  "matched_size", "far_price", "near_price", "bid_price", "ask_price", "bid_size", "ask_size",
-                  "wap", "liquidity_imbalance", "matched_imbalance", "size_imbalance", "price_pressure",
-                  "market_urgency", "depth_pressure", "micro_price", "relative_spread", "all_prices_std",
-                  "all_sizes_std", "imbalance_size_ret_1", "matched_size_ret_3", "bid_price_diff_3",
-                  "ask_price_diff_3", "rolling_std_diff_bid_size_5", "wap_momentum", "imbalance_momentum",
-                  "reference_price_wap_imb", "stock_unit_median_size"]
+ML_FOLDS = 5
 
 
-ML_FOLDS = 2
+def model_features(df):
+    """Feature columns of a feature set: everything but keys and target."""
+    return [c for c in df.columns if c not in ("stock_id", "time_id", "date_id", "row_id", "target")]
 
 
-def _model_input(spark, sf):
-    """Training rows with the model's feature columns, cached: every fit reads them."""
-    s = filter_target(_snap(spark, sf))
-    f = features_v2(s, _weights(spark, sf), keep_stock_id=True)
-    return f.select("stock_id", "time_id", "date_id", "target", *MODEL_FEATURES).cache()
+def _model_input(spark, sf, rows=None, stats=None):
+    """Training rows with all v2 features, written once: every fit reads them."""
+    s = filter_target(_snap(spark, sf)) if rows is None else rows
+    return stored(features_v2(s, _weights(spark, sf), keep_stock_id=True, stats=stats), "features")
+
+
+def _against_constant(rows, prediction, label, by):
+    """Per group: rows, and whether the prediction's error is below the best constant's."""
+    m = agg.mae_by(rows, label, prediction, by).join(model.constant_mae(rows, label, by), by)
+    return m.select(*by, "n", (F.col("mae") <= F.col("constant_mae")).alias("beats_constant"))
 
 
 def q_gbt_cv(spark, sf):
-    """K-fold by date, boosted trees (L1 loss, early stopping on the fold) and a forest."""
-    from auctide.operators import model
+    """K-fold by date: boosted trees (L1 loss, early stopping on the fold) and a forest;
+    rows per fold, and whether the averaged prediction beats the best constant."""
     d = _model_input(spark, sf)
-    _, _, scores = model.fit_cv(d, MODEL_FEATURES, folds.kfold(d, ML_FOLDS), kinds=("gbt", "rf"))
-    return out(scores)
+    _, oof, scores = model.fit_cv(d, model_features(d), folds.kfold(d, ML_FOLDS), kinds=("gbt", "rf"))
+    return (_against_constant(oof, "prediction", "target", ["fold"]).withColumnRenamed("n", "n_valid")
+            .join(scores.select("fold", "n_train"), "fold"))
 
 
 def q_refit_full(spark, sf):
-    """Refit on all rows with the mean rescaled best iteration; in-sample MAE per kind."""
-    from auctide.operators import model
+    """Refit on all rows with the mean rescaled best iteration."""
     d = _model_input(spark, sf)
-    _, _, scores = model.fit_cv(d, MODEL_FEATURES, folds.kfold(d, ML_FOLDS), kinds=("gbt",))
-    n_trees = int(scores.agg(F.avg("best_iter_scaled")).first()[0])
-    m = model.refit(d, MODEL_FEATURES, "gbt", n_trees)
-    p = m.transform(model.assemble(d, MODEL_FEATURES))
-    return out(agg.mae_by(p.withColumn("kind", F.lit("gbt")), "target", "pred_gbt", ["kind"])
-               .withColumn("n_trees", F.lit(m.getNumTrees)))
+    cols = model_features(d)
+    _, _, scores = model.fit_cv(d, cols, folds.kfold(d, 2))
+    m = model.refit(d, cols, "gbt", int(scores.agg(F.avg("best_iter_scaled")).first()[0]))
+    p = m.transform(model.assemble(d, cols)).withColumn("kind", F.lit("gbt"))
+    return _against_constant(p, "pred_gbt", "target", ["kind"])
 
 
 def q_model_roundtrip(spark, sf):
-    """Fold models and the refit model written and read back; predictions must agree."""
-    from auctide.operators import model
-    from auctide.session import scratch_path
+    """Fold models written and read back; predictions must agree on every row."""
     d = _model_input(spark, sf)
-    models, _, _ = model.fit_cv(d, MODEL_FEATURES, folds.kfold(d, ML_FOLDS), kinds=("gbt",))
+    cols = model_features(d)
+    models, _, _ = model.fit_cv(d, cols, folds.kfold(d, 2))
     ms = models["gbt"]
     names = [f"gbt_fold{i}" for i in range(len(ms))]
     path = scratch_path(spark, "models")
     model.save_models(ms, names, path)
+    drop_at_exit(spark, path)
     back = model.load_models(names, path, ["gbt"] * len(ms))
-    a = model.predict_all(d, MODEL_FEATURES, ms, [f"{n}_before" for n in names])
-    b = model.predict_all(a, MODEL_FEATURES, back, [f"{n}_after" for n in names])
-    same = [F.col(f"{n}_before") == F.col(f"{n}_after") for n in names]
-    cond = same[0]
-    for c in same[1:]:
-        cond = cond & c
-    return out(b.select(*K, *[f"{n}_before" for n in names], cond.alias("same")))
+    a = model.predict_all(d, cols, ms, [f"{n}_before" for n in names])
+    b = model.predict_all(a, cols, back, [f"{n}_after" for n in names])
+    same = F.lit(True)
+    for n in names:
+        same = same & (F.col(f"{n}_before") == F.col(f"{n}_after"))
+    return b.select(*K, same.alias("same"))
 
 
 def q_index_weights(spark, sf):
-    """Index-weight regression: index return built from the weight table, OLS on the pivoted
-    stock returns recovers the weights (rounded to 3 decimals)."""
-    from auctide.operators import model
-    s = _snap(spark, sf)
-    w = day_window()
-    r = s.select("stock_id", "time_id", ((F.try_divide(F.lead("wap", 6).over(w), F.col("wap")) - 1) * 10000)
-                 .alias("ret")).na.drop(subset=["ret"])
-    wts = _weights(spark, sf)
-    idx = r.join(wts, "stock_id").groupBy("time_id").agg(F.sum(F.col("ret") * F.col("weight")).alias("index_ret"))
-    ids = [row[0] for row in s.select("stock_id").distinct().orderBy("stock_id").collect()]
-    coef, r2 = model.index_weight_regression(r, idx, ids, missing="zero")
-    cmp = coef.join(wts.withColumnRenamed("weight", "weight_true"), "stock_id", "left").na.fill(0.0, ["weight_true"])
-    return out(cmp.withColumn("r2", F.lit(r2)))
+    """Index-weight regression: the index return implied by return and target, on the stock
+    returns; per stock its observations, and whether the fit is finite and explains something."""
+    r = agg.stock_and_index_return(_snap(spark, sf)).na.drop(subset=["stock_return", "index_return"])
+    r = stored(r.select(*K, F.col("stock_return").alias("ret"), "index_return"), "returns")
+    idx = r.groupBy("time_id").agg(F.avg("index_return").alias("index_ret"))
+    coef, r2 = model.index_weight_regression(r.select(*K, "ret"), idx)
+    return coef.select("stock_id", "n_obs", (~F.isnan("weight_est") & F.lit(0 <= r2 <= 1)).alias("fitted"))
 
 
 def q_objective_change(spark, sf):
     """Train on the 60 s ahead wap, derive the target through the index, then stack the
-    prediction as a feature of a second fit on the target (MAE per stage)."""
-    from auctide.operators import model
-    d = _model_input(spark, sf)
+    prediction as a feature of a second fit on the target; rows per stage, and whether the
+    stage's error is below the best constant's (asked of the stacked stage)."""
     s = filter_target(_snap(spark, sf))
     extra = joins.add_index_wap(joins.join_weights(s, _weights(spark, sf))).select(
         *K, "weight", "index_wap", F.lead("wap", 6).over(day_window()).alias("stock_wap_t60"))
-    d = d.join(extra, K).na.drop(subset=["stock_wap_t60"]).cache()
+    f = features_v2(s, _weights(spark, sf), keep_stock_id=True)
+    cols = model_features(f)
+    d = stored(f.join(extra, K).na.drop(subset=["stock_wap_t60"]), "objective-rows")
     fl = folds.kfold(d, ML_FOLDS)
-    _, oof, _ = model.fit_cv(d, MODEL_FEATURES, fl, kinds=("gbt",), label="stock_wap_t60")
+    _, oof, _ = model.fit_cv(d, cols, fl, label="stock_wap_t60")
     p = oof.select(*K, F.col("prediction").alias("pred_stock_wap_t60")).join(d, K)
     pi = p.groupBy("time_id").agg(F.sum(F.col("pred_stock_wap_t60") * F.col("weight")).alias("pred_index_wap_t60"))
-    p = p.join(pi, "time_id").withColumn(
+    p = stored(p.join(pi, "time_id").withColumn(
         "pred_target", (F.try_divide(F.col("pred_stock_wap_t60"), F.col("wap"))
-                        - F.try_divide(F.col("pred_index_wap_t60"), F.col("index_wap"))) * 10000).cache()
-    stage1 = agg.mae_by(p.withColumn("stage", F.lit("via_index")), "target", "pred_target", ["stage"])
-    _, _, sc2 = model.fit_cv(p, [*MODEL_FEATURES, "pred_stock_wap_t60"], fl, kinds=("gbt",))
-    stage2 = sc2.groupBy().agg(F.avg("mae").alias("mae"), F.sum("n_valid").alias("n")).withColumn("stage", F.lit("stacked"))
-    return out(stage1.unionByName(stage2))
-
-
-def q_stream_score(spark, sf):
-    """Online scoring: fold models trained on the days before the last one score each
-    micro-batch of the last day's snapshots; decay-weighted ensemble, de-meaned per
-    snapshot, clipped to [-64, 64]."""
-    from auctide.operators import model
-    from auctide.streaming.online import run_stream
-    d = _model_input(spark, sf)
-    last = d.agg(F.max("date_id")).first()[0]
-    hist = d.filter(F.col("date_id") < last)
-    models, _, _ = model.fit_cv(hist, MODEL_FEATURES, folds.kfold(hist, ML_FOLDS), kinds=("gbt",))
+                        - F.try_divide(F.col("pred_index_wap_t60"), F.col("index_wap"))) * 10000), "stacked-rows")
+    _, oof2, _ = model.fit_cv(p, [*cols, "pred_stock_wap_t60"], fl)
+    first = agg.mae_by(p.withColumn("stage", F.lit("via_index")), "target", "pred_target", ["stage"])
+    second = _against_constant(oof2.withColumn("stage", F.lit("stacked")), "prediction", "target", ["stage"])
+    return (first.select("stage", "n", F.col("mae").isNotNull().alias("beats_constant")).unionByName(second)
+            .withColumnRenamed("beats_constant", "ok"))
+
+
+def score_last_day(spark, sf, files_per_trigger=4):
+    """Online scoring of the last date: fold models and statistics fitted on the days before
+    it; the keyed state starts from each stock's last rows of those days; decay-weighted
+    ensemble, de-meaned per snapshot (``centred``), clipped to [-64, 64] (``prediction``)."""
+    s = stored(filter_target(_snap(spark, sf)), "score-rows")
+    last = s.agg(F.max("date_id")).first()[0]
+    hist = s.filter(F.col("date_id") < last)
+    weights, stats = _fitted(spark, sf, hist)
+    d = _model_input(spark, sf, hist, stats)
+    cols = model_features(d)
+    models, _, _ = model.fit_cv(d, cols, folds.kfold(d, 2))
     ms = models["gbt"]
-    wts = post.decay_weights(len(ms))
-    src = _stream_source(spark, sf)
-    weights = _weights(spark, sf)
-    names = [f"m{i}" for i in range(len(ms))]
+    names, wts = [f"m{i}" for i in range(len(ms))], post.decay_weights(len(ms))
 
     def score(batch):
-        from auctide.streaming.online import new_rows
-        f = features_v2(batch, weights, keep_stock_id=True).select(*K, "date_id", "_new", *MODEL_FEATURES)
-        f = new_rows(f)
-        p = model.predict_all(f, MODEL_FEATURES, ms, names)
-        p = post.ensemble(p, names, wts)
-        p = post.clip(post.demean(p))
+        f = online.new_rows(features_v2(batch, weights, keep_stock_id=True, stats=stats))
+        f = f.filter(F.col("date_id") == last)
+        p = post.ensemble(model.predict_all(f, cols, ms, names), names, wts)
         return p.select(*K, "date_id", "prediction")
 
-    path, _ = run_stream(spark, src, SNAPSHOT_SCHEMA, score, ffill=[*windows.LAG_COLUMNS, "wap"],
-                         files_per_trigger=4, name="stream-score")
-    return _read_stream_out(spark, path)
+    rows = tail_per_key(hist, TAIL_ROWS).unionByName(s.filter(F.col("date_id") == last))
+    path, _ = online.run_stream(spark, _stream_source(spark, rows, 2), SNAPSHOT_SCHEMA, score, ffill=FFILL,
+                                files_per_trigger=files_per_trigger, name="stream-score")
+    raw = spark.read.schema("stock_id int, time_id int, date_id int, prediction double").parquet(path)
+    centred = post.demean(raw, name="centred")
+    return post.clip(centred.withColumn("prediction", F.col("centred")))
+
+
+def q_stream_score(spark, sf):
+    """Scores of the last date: every snapshot is centred before the clip and in range after it."""
+    p = stored(score_last_day(spark, sf), "scores")
+    mean = p.groupBy("time_id").agg((F.abs(F.avg("centred")) < 1e-6).alias("centred_snapshot"))
+    return p.join(mean, "time_id").select(*K, "date_id", "centred_snapshot",
+                                          F.col("prediction").between(-64, 64).alias("in_range"))
+
+
+def q_scan_csv(spark, sf):
+    """The panel written as CSV with ``NaN`` text for missing prices, read back with the declared
+    schema: equal to the panel, missing values NULL."""
+    s = _snap(spark, sf)
+    path = scratch_path(spark, "panel-csv")
+    gaps = {c: F.coalesce(F.col(c), F.lit(float("nan"))) for c in ("reference_price", "far_price", "near_price")}
+    s.withColumns(gaps).write.option("header", True).csv(path)
+    drop_at_exit(spark, path)
+    return out(read_snapshots_csv(spark, path))
+
+
+def q_cv_fold_rows(spark, sf):
+    """Panel rows of each validation fold (P3)."""
+    s = _snap(spark, sf)
+    f = folds.kfold(s, N_FOLDS)
+    parts = [folds.assign(s, f, i, "valid").select(*K, F.lit(i).alias("fold")) for i in range(N_FOLDS)]
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    return rows
+
+
+def q_cv_cpcv_value(spark, sf):
+    """CPCV with gaps in key units instead of key counts."""
+    return folds.cpcv(_snap(spark, sf), CPCV_SPLITS, CPCV_TESTS, 2, 3, gap_kind="value")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -52,17 +52,21 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none (local
-    tests) a fresh folder under the system temp dir is set.
+    Read from ``spark.checkpoint.dir``, else the folder set on the context. A
+    local session without either gets a fresh folder under the system temp
+    dir; on a cluster that folder would not be shared, so it is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    if d:
+        return d
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir()
     if not d:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="auctide-ckpt-")
+        sc.setCheckpointDir(d)
         spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # Spark Connect has no SparkContext
-        pass
     return d
 
 
@@ -70,3 +74,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared checkpoint folder for one job's tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system delete a scratch path when the session's JVM ends."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back; gone when the session ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    drop_at_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
