@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from auctide.functions.expr import diff, pct_change, ratio, roll_mean, roll_std, sign_int
@@ -142,10 +142,6 @@ def momentum_stage(on_zero: str, movement_missing: str = "null", ffill_suffix: s
 LOOKBACK_V2 = 19  # diff over 10 rows, then a rolling frame of 10 rows: 10 + 9 earlier rows
 
 
-def per_stock(df: DataFrame, stages, lookback: int, ffill: Sequence[str] = ()) -> DataFrame:
-    return stock_windows(df, stages, lookback=lookback, ffill=ffill)
-
-
 def forward_fill_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Forward fill per stock in time order, then 0 for what is still missing."""
     out = ffill_columns(df, columns, suffix="__ff")
@@ -189,5 +185,24 @@ def rolling_of_diffs(df: DataFrame, columns: Sequence[str] = ROLL_DIFF_COLUMNS,
     return stock_windows(df, [st1, st2], lookback=2 * max(steps) - 1)
 
 
-def day_apply(df: DataFrame, stages) -> DataFrame:
-    return apply_stages(df, day_window(), stages)
+def daily_stages(df: DataFrame, stages, ffill: Sequence[str] = (), suffix: str = "_ffill") -> DataFrame:
+    """The same ``stages`` with windows (and forward fill) that start anew every date."""
+    w = day_window()
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    df = df.withColumns({f"{c}{suffix}": F.last(c, ignorenulls=True).over(upto) for c in ffill}) if ffill else df
+    return apply_stages(df, w, stages)
+
+
+def file_order_movement(df: DataFrame) -> DataFrame:
+    """``mid_price_movement`` against the row five places earlier in (time, stock) order.
+
+    The order crosses stocks and snapshots, as a difference without a
+    partition does on a time-major table. The series is cut into snapshots;
+    the first rows of a snapshot take their five predecessors from the ones
+    before it, so only the table of snapshot sizes is ordered as a whole.
+    """
+    place = F.col("time_id").cast("long") * F.lit(1 << 32) + F.col("stock_id")
+    d = df.withColumns({"_all": F.lit(0), "_at": place})
+    out = stock_windows(d, [lambda w: {"mid_price_movement": sign_int(diff("mid_price", w, 5))}], 5,
+                        key="_all", chunk="time_id", order="_at")
+    return out.drop("_all", "_at")

@@ -68,20 +68,23 @@ def features_v1(df: DataFrame, weights: DataFrame, keep_stock_id: bool = False,
 _FFILL = [*windows.LAG_COLUMNS, "weighted_wap"]
 
 
-def _stock_stage(df: DataFrame, z: str, movement_missing: str) -> DataFrame:
-    """Per-stock lags, returns, differences, momentum and rolling statistics (chunked)."""
-    out = stock_windows(
-        df,
-        [lambda w: {**windows.momentum_stage(z, movement_missing=movement_missing)(w),
-                    **windows.v2_stage_lags(z)(w)},
-         windows.v2_stage_rolling],
-        lookback=windows.LOOKBACK_V2, ffill=_FFILL)
+def _stock_stage(df: DataFrame, z: str, movement_missing: str, reset_daily: bool = False) -> DataFrame:
+    """Per-stock lags, returns, differences, momentum and rolling statistics (chunked);
+    ``reset_daily`` starts every window anew each date."""
+    stages = [lambda w: {**windows.momentum_stage(z, movement_missing=movement_missing)(w),
+                         **windows.v2_stage_lags(z)(w)},
+              windows.v2_stage_rolling]
+    if reset_daily:
+        out = windows.daily_stages(df, stages, _FFILL)
+    else:
+        out = stock_windows(df, stages, lookback=windows.LOOKBACK_V2, ffill=_FFILL)
     return out.drop(*[f"{c}_ffill" for c in _FFILL])
 
 
 def features_v2(df: DataFrame, weights: DataFrame, keep_stock_id: bool = False,
-                parity: bool = False, stats: DataFrame | None = None) -> DataFrame:
-    """v2: windows per stock across days; +-inf replaced by 0 (division policy "zero").
+                parity: bool = False, stats: DataFrame | None = None, reset_daily: bool = False) -> DataFrame:
+    """v2: windows per stock across days (inside a day with ``reset_daily``); +-inf replaced by 0
+    (division policy "zero").
 
     ``stats`` is a fitted per-stock table (training rows); without it the
     statistics are those of ``df``.
@@ -90,7 +93,7 @@ def features_v2(df: DataFrame, weights: DataFrame, keep_stock_id: bool = False,
     df = joins.join_weights(df, weights, weight_col="stock_weights")
     stats = stats if stats is not None else stock_unit_stats(df)
     df = joins.add_weighted_wap(df, "stock_weights")
-    df = _stock_stage(_window_inputs(df), z, "null")
+    df = _stock_stage(_window_inputs(df), z, "null", reset_daily)
     df = book.book_imbalance(df, z, "ask/bid")
     df = book.harmonic_imbalance(df, z, as_written_v2=parity)
     df = book.pair_features(df, book.PRICES, z)
@@ -107,7 +110,7 @@ def features_v2(df: DataFrame, weights: DataFrame, keep_stock_id: bool = False,
 
 
 def features_nb(df: DataFrame, weights: DataFrame, train_stats: DataFrame | None = None,
-                keep_keys: bool = False) -> DataFrame:
+                keep_keys: bool = False, reset_daily: bool = False) -> DataFrame:
     """Notebook pipeline (``generate_all_features``): stock weights by left map,
     per-stock lags/returns/diffs/rolling, ``global_*`` statistics from the
     training rows (``train_stats``, default: statistics of ``df``)."""
@@ -116,7 +119,7 @@ def features_nb(df: DataFrame, weights: DataFrame, train_stats: DataFrame | None
     base = df.drop("row_id", "target")
     base = joins.join_weights(base, weights, how="left", weight_col="stock_weights")
     base = joins.add_weighted_wap(base, "stock_weights")
-    base = _stock_stage(_window_inputs(base), z, "zero")
+    base = _stock_stage(_window_inputs(base), z, "zero", reset_daily)
     base = book.book_imbalance(base, z, "bid/ask")
     base = book.pair_features(base, book.PRICES, z)
     base = book.triplet_features_nb(base)

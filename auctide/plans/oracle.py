@@ -716,6 +716,12 @@ def o_zero_sum():
     return sql(_preds(), e, x, final=sel("x", ["prediction"]))
 
 
+def o_movement_file_order():
+    x = ("x AS (SELECT stock_id, time_id, CAST(SIGN((ask_price + bid_price) / 2 - LAG((ask_price + bid_price) / 2, 5) "
+         "OVER (ORDER BY time_id, stock_id)) AS INT) AS mid_price_movement FROM snap)")
+    return sql(x, final="SELECT * FROM x")
+
+
 # ---------------------------------------------------------------- streaming (stream output = batch SQL)
 
 def o_stream_tail():
@@ -892,6 +898,10 @@ def o_features_v2():
     return sql(*ctes, *extra, final=final)
 
 
+def o_features_v2_daily():
+    return o_features_v2().replace(WS, WSD)
+
+
 def o_features_nb():
     z = "zero"
     cols = [c for c in SNAP_COLS if c not in ("row_id", "target")]

@@ -258,6 +258,12 @@ def q_mid_price_movement(spark, sf):
     return _sel(d, "mid_price_movement", "mid_price*volume")
 
 
+def q_movement_file_order(spark, sf):
+    """``mid_price_movement`` as a difference without a partition gives it on a time-major table."""
+    s = _snap(spark, sf).withColumn("mid_price", (F.col("ask_price") + F.col("bid_price")) / 2)
+    return _sel(windows.file_order_movement(s), "mid_price_movement")
+
+
 def q_imbalance_momentum(spark, sf):
     d = stock_windows(_momentum_input(spark, sf), [windows.momentum_stage("zero", with_wap_momentum=False)], 5)
     return _sel(d, "imbalance_momentum")
@@ -451,6 +457,12 @@ def q_features_v2(spark, sf):
     return out(features_v2(s, _weights(spark, sf), keep_stock_id=True))
 
 
+def q_features_v2_daily(spark, sf):
+    """The v2 set with windows that start anew every date."""
+    s = filter_target(_snap(spark, sf))
+    return out(features_v2(s, _weights(spark, sf), keep_stock_id=True, reset_daily=True))
+
+
 def q_features_nb(spark, sf):
     s = filter_target(_snap(spark, sf))
     stats = agg.global_stock_stats(s.filter(F.col("date_id") <= SPLIT_DAY))
