@@ -35,3 +35,36 @@ def text_or_empty(c: str = "text") -> Column:
 def crc_mod(doc_id: str, m: int) -> Column:
     """crc32 of the id's decimal text, modulo ``m`` (null ids: crc32 of the empty text, 0)."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % m
+
+
+def bounded_sample(df: DataFrame, n: int, *by: str) -> DataFrame:
+    """About ``n`` rows at most, chosen by a hash of ``by``; all rows where there are no more.
+
+    A threshold on the hash keeps a few more than ``n`` rows before the final
+    limit, so what tasks send to it does not grow with the table.
+    """
+    total = df.count()
+    if total > n:
+        df = df.filter(F.pmod(F.xxhash64(F.lit("sample"), *by), F.lit(1 << 30)) < int(1.2 * n / total * (1 << 30)) + 1)
+    return df.orderBy(F.xxhash64(F.lit("sample"), *by), *by).limit(n)
+
+
+def most_frequent(counts: DataFrame, n: int, count: str = "n") -> DataFrame:
+    """The rows of ``counts`` with the largest counts, about ``n`` at most (ties are cut by hash).
+
+    The cut is read off a histogram over the logarithm of the count, a few
+    hundred rows at any size; only rows above the cut travel on.
+    """
+    step = F.floor(F.log2(F.col(count)) * 16)
+    hist = counts.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).orderBy(F.desc("step")).collect()
+    above, cut, share = 0, None, 0.0
+    for r in hist:
+        if above + r.rows > n:
+            cut, share = r.step, (n - above) / r.rows
+            break
+        above += r.rows
+    if cut is None:
+        return counts
+    edge = F.pmod(F.xxhash64(*[c for c in counts.columns if c != count and counts.schema[c].dataType.typeName()
+                               in ("string", "binary", "long", "integer")]), F.lit(1 << 30)) < int(share * (1 << 30))
+    return counts.filter((step > cut) | ((step == cut) & edge))
