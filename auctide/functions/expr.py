@@ -197,7 +197,7 @@ def round_half_up(c: Column, digits: int) -> Column:
     return F.when(F.abs(c) < ROUND_LIMIT, F.floor(c * scale + 0.5) / scale).otherwise(c)
 
 
-SIGNIFICANT, TINY = 9, 1e-12
+SIGNIFICANT, TINY = 7, 1e-12
 
 
 def round_stable(c: Column, digits: int) -> Column:

@@ -61,7 +61,7 @@ def rnd(n: str, d: int | None = None) -> str:
     d = Q.DIGITS.get(n) if d is None else d
     x = qi(n)
     if d is None:
-        scale = f"POW(10e0, GREATEST(6e0, 8e0 - FLOOR(LOG10(ABS({x})))))"
+        scale = f"POW(10e0, GREATEST(6e0, 6e0 - FLOOR(LOG10(ABS({x})))))"
         return (f"(CASE WHEN ABS({x}) < 1e-12 THEN 0e0 WHEN ABS({x}) < 1e9 THEN FLOOR({x} * {scale} + 0.5e0) / {scale} "
                 f"ELSE {x} END) AS {x}")
     return f"(CASE WHEN ABS({x}) < 1e9 THEN FLOOR({x} * 1e{d} + 0.5e0) / 1e{d} ELSE {x} END) AS {x}"

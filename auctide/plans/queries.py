@@ -27,7 +27,7 @@ from auctide.streaming import online
 
 K = ["stock_id", "time_id"]
 
-# fixed parameters of the registered queries (the test panel has 47 dates of 55 days, 0..46)
+# fixed parameters of the registered queries (the test panel has 46 dates of 55 days, 0..45)
 SPLIT_DAY = 35
 N_FOLDS = 3
 GAP = 1
