@@ -18,6 +18,7 @@ segments are remembered by each worker, within a bound.
 from __future__ import annotations
 
 import hashlib
+import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,8 +32,8 @@ from auctide.llm.common import small_batches
 from auctide.llm.merges import Merges, Recent, trie
 
 MARK = "▁"
-#: Segments a worker remembers; a full table starts over.
-MEMORY = 600_000
+#: Segments (and as many parts of segments) and pairs of pieces that a worker remembers.
+MEMORY, PAIRS = 500_000, 400_000
 #: Tropical semiring: weights add along a path, the smaller total wins.
 ZERO, ONE = float("inf"), 0.0
 
@@ -57,9 +58,11 @@ class PieceTransducer:
         self.longest = max(map(len, plain))
         inner = {p[k:k + 2] for p in plain for k in range(len(p) - 1)}
         self.inner = frozenset(inner)
-        self.runs = MARK * 2 in inner
+        self.letters = frozenset(p for p in plain if len(p) == 1)
         self.merges = Merges(_Joins(plain), self.rank, _Parts(self))
-        self.trie = trie(plain)
+        self.arcs = _arc_trie(plain)
+        self.size = [len(p) for p in self.names]
+        self.parts = Recent(MEMORY)
         self.known: dict[int, bool] = {}
         self.segments = Recent(MEMORY)
         self.out = [self._surface(i) for i in range(n)]
@@ -69,7 +72,7 @@ class PieceTransducer:
     def weight(self, left: str | None, right: str) -> float:
         """Tropical weight of the arc ``right`` in a state whose last piece is ``left``."""
         if left is None:
-            return ONE
+            return ONE if self.whole(right) else ZERO
         if MARK * 2 in left or MARK * 2 in right:  # runs of marks share one rank: merge to see
             return ONE if self.apart(left, right) else ZERO
         return ONE if self.merges.stable(left, right) else ZERO
@@ -93,17 +96,6 @@ class PieceTransducer:
 
     # -- shortest path ----------------------------------------------------------
 
-    def arcs(self, s: str, at: int) -> list[int]:
-        """Ids of the pieces that begin at a position, shortest first."""
-        node, out = self.trie, []
-        for c in s[at:at + self.longest]:
-            node = node.get(c)
-            if node is None:
-                break
-            if "" in node:
-                out.append(node[""])
-        return out
-
     def path(self, s: str) -> list[int]:
         """Ids on the shortest path through the lattice of one segment.
 
@@ -112,32 +104,41 @@ class PieceTransducer:
         first, and visits a position once. A character without a piece is a
         segment of its own and takes its bytes.
         """
-        if len(s) == 1 and s not in self.ids:
-            return self.fallback(s)
-        n, at, path, open_arcs = len(s), 0, [], [self.arcs(s, 0)]
-        known, names = self.known, self.names
+        n = len(s)
+        if n == 1:
+            return [self.ids[s]] if s in self.ids else self.fallback(s)
+        root, longest, known, size = self.arcs, self.longest, self.known, self.size
+        path: list[int] = []
+        rest: list[tuple] = []  # arcs not yet tried at each position of the path
+        at, left, tries = 0, -1, None
         while at < n:
-            arcs = open_arcs[-1]
-            while arcs:
-                right = arcs.pop()
-                if path:
-                    key = path[-1] << 16 | right
-                    free = known.get(key)
-                    if free is None:
-                        if len(known) >= MEMORY:
-                            known.clear()
-                        free = known[key] = self.weight(names[path[-1]], names[right]) == ONE
-                    if not free:
-                        continue
-                elif not self.whole(names[right]):
-                    continue
-                path.append(right)
-                at += len(names[right])
-                open_arcs.append(self.arcs(s, at))
-                break
+            if tries is None:
+                node = root
+                for c in s[at:at + longest]:
+                    down = node.get(c)
+                    if down is None:
+                        break
+                    node = down
+                arcs = node[""]
+                tries = len(arcs)
+            while tries:
+                tries -= 1
+                right = arcs[tries]
+                key = left << 16 | right
+                free = known.get(key)
+                if free is None:
+                    if len(known) >= PAIRS:
+                        known.clear()
+                    free = known[key] = self.weight(self.names[left] if path else None, self.names[right]) == ONE
+                if free:
+                    path.append(right)
+                    rest.append((arcs, tries))
+                    at, left, tries = at + size[right], right, None
+                    break
             else:
-                open_arcs.pop()
-                at -= len(names[path.pop()])
+                at -= size[path.pop()]
+                left = path[-1] if path else -1
+                arcs, tries = rest.pop()
         return path
 
     @lru_cache(maxsize=40_000)  # noqa: B019  (one transducer per worker)
@@ -146,7 +147,22 @@ class PieceTransducer:
         return self.merge(piece) == [piece]
 
     def cut(self, s: str) -> list[str]:
-        """Segments between neighbours that no piece contains."""
+        """Segments between runs of letters and of others whose border no piece contains.
+
+        A segment with a character that has no piece is cut at every such
+        border, which sets that character apart.
+        """
+        inner, out = self.inner, []
+        for run in _RUNS(s):
+            if out and out[-1][-1] + run[0] in inner:
+                out[-1] += run
+            else:
+                out.append(run)
+        if self.letters.issuperset(s):
+            return out
+        return [x for part in out for x in ([part] if self.letters.issuperset(part) else self._cut_all(part))]
+
+    def _cut_all(self, s: str) -> list[str]:
         inner, out, at = self.inner, [], 0
         for k in range(1, len(s)):
             if s[k - 1:k + 1] not in inner:
@@ -159,10 +175,18 @@ class PieceTransducer:
         """Packed ids of the mark and a run without spaces."""
         got = self.segments.get(raw)
         if got is None:
-            got = array("H", [i for part in self.cut(MARK + raw) for i in self.path(part)]).tobytes()
+            seen, part = self.parts.young.get, self.part
+            got = b"".join([seen(p) or part(p) for p in self.cut(MARK + raw)])
             self.segments.put(raw, got)
         return got
 
+    def part(self, s: str) -> bytes:
+        got = self.parts.get(s)
+        if got is None:
+            got = array("H", self.path(s)).tobytes()
+            self.parts.put(s, got)
+        return got
+
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of a text, ``uint16``; none for null or empty."""
         if not text:
@@ -211,6 +235,18 @@ class PieceTransducer:
         return (out[1:] if out[:1] == b" " else out).decode("utf-8", "replace")
 
 
+def _arc_trie(ids: dict) -> dict:
+    """Trie of the pieces; a node holds the ids of all pieces on its way, shortest first."""
+    root = trie(ids)
+    todo = [(root, ())]
+    while todo:
+        node, above = todo.pop()
+        above = above + ((node[""],) if "" in node else ())
+        todo += [(down, above) for c, down in node.items() if c]
+        node[""] = above
+    return root
+
+
 class _Joins:
     """Merge table of a model whose merges are named by their result."""
 
@@ -246,6 +282,9 @@ class _Parts:
         return (parts[0], "".join(parts[1:]))
 
 
+_RUNS = re.compile(r"[^\W\d_]+|[\W\d_]+").findall
+
+
 @lru_cache(maxsize=2)
 def transducer(path: str) -> PieceTransducer:
     return PieceTransducer(path)
