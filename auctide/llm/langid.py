@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auctide.llm.common import crc_mod, small_batches
+from auctide.llm.common import bounded_sample, crc_mod, most_frequent, small_batches, stored
 from auctide.llm.crf import Adagrad, batch_marginals, chain_marginals
 
 #: Bounds of the model and of its fit.
@@ -129,7 +129,7 @@ class Labeller:
 
 
 def lexicon_counts(train: DataFrame) -> DataFrame:
-    """``word, n, counts (map lang -> n)`` of the LEXICON most frequent words of all training rows."""
+    """``word, n, counts (map lang -> n)`` of about LEXICON most frequent words of all training rows."""
     small_batches(train.sparkSession)
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,9 +149,9 @@ def lexicon_counts(train: DataFrame) -> DataFrame:
 
     parts = train.select("text", "lang").mapInPandas(count, "lang string, word string, n long")
     per = parts.groupBy("word", "lang").agg(F.sum("n").alias("n"))
-    return (per.groupBy("word").agg(F.sum("n").alias("n"), F.map_from_entries(
+    words = per.groupBy("word").agg(F.sum("n").alias("n"), F.map_from_entries(
         F.collect_list(F.struct("lang", "n"))).alias("counts"))
-        .orderBy(F.desc("n"), "word").limit(LEXICON))
+    return most_frequent(stored(words, "lang-words"), LEXICON)
 
 
 def _partial(sums: dict) -> pd.DataFrame:
@@ -162,9 +162,8 @@ def _partial(sums: dict) -> pd.DataFrame:
 def fit_from(docs: DataFrame, held_out) -> Model | None:
     """Model from the rows of ``docs (doc_id, text, lang)`` outside ``held_out``; None without any."""
     train = docs.filter(~held_out & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    lex = lexicon_counts(train).collect()
-    sample = (train.filter(F.length("text").between(1, FIT_CHARS))
-              .orderBy(F.md5(F.col("doc_id").cast("string").cast("binary")), "text").limit(FIT_DOCS)
+    lex = sorted(lexicon_counts(train).collect(), key=lambda r: (-r.n, r.word))[:LEXICON]
+    sample = (bounded_sample(train.filter(F.length("text").between(1, FIT_CHARS)), FIT_DOCS, "doc_id", "text")
               .select("text", "lang").collect())
     languages = sorted({lang for r in lex for lang in r.counts} | {r.lang for r in sample})
     if not languages:
