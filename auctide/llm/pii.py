@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from auctide.llm.common import stored, text_or_empty
+from auctide.llm.common import bounded_sample, stored, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 #: Candidates used to fit and to calibrate the trees (half each), chosen by hash.
@@ -151,9 +151,8 @@ def fit(candidates: DataFrame) -> SpanModel:
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
     checked = candidates.filter(F.col("generator").isin(*KINDS))
-    sample = (checked.withColumn("h", F.xxhash64("hit", "left", "right"))
-              .orderBy("h", "hit", "left", "right").limit(FIT_ROWS)
-              .withColumn("part", F.pmod(F.xxhash64("h"), F.lit(2))))
+    sample = (bounded_sample(checked, FIT_ROWS, "hit", "left", "right")
+              .withColumn("part", F.pmod(F.xxhash64("hit", "left", "right"), F.lit(2))))
     rows, names = _features(sample)
     rows = stored(rows.select("part", F.col("base").cast("double").alias("y"), *names), "pii-fit")
     sides = {(r.part, r.y) for r in rows.select("part", "y").distinct().collect()}

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auctide.llm.common import small_batches
+from auctide.llm.common import bounded_sample, small_batches
 from auctide.llm.crf import Adagrad, batch_marginals, viterbi
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -169,10 +169,9 @@ def fit(texts: list[str], good: list[int]) -> LineField:
 
 def fit_from(docs: DataFrame, labels: DataFrame) -> LineField:
     """Fit on at most FIT_DOCS labelled documents of at most FIT_CHARS characters, chosen by hash."""
-    chosen = (labels.filter("doc_id is not null and quality is not null")
-              .groupBy("doc_id").agg(F.min("quality").alias("quality"))
-              .orderBy(F.md5(F.col("doc_id").cast("string").cast("binary"))).limit(FIT_DOCS)
-              .select(F.col("doc_id").alias("__id"), "quality"))
+    known = (labels.filter("doc_id is not null and quality is not null")
+             .groupBy("doc_id").agg(F.min("quality").alias("quality")))
+    chosen = bounded_sample(known, FIT_DOCS, "doc_id").select(F.col("doc_id").alias("__id"), "quality")
     rows = (docs.select("doc_id", "text").filter(F.length("text") <= FIT_CHARS)
             .join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))
             .select("doc_id", "text", "quality").orderBy("doc_id", "text").limit(2 * FIT_DOCS).collect())
