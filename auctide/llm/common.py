@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auctide.session import scratch_path
+from auctide.session import drop_at_exit, scratch_path
 
 #: A word: a longest run without ASCII white space (Java and RE2 spelling).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -17,13 +17,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Paths that ``stored`` has written in this process, in order.
+written: list[str] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: cuts lineage, survives lost executors."""
+    """``df`` written to the shared folder and read back: cuts lineage, survives lost executors.
+
+    The table goes when the session ends, or with ``drop_tables``.
+    """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    drop_at_exit(df.sparkSession, path)
+    written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete stored tables; frames that read them end here."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+
+
 def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 

@@ -138,9 +138,12 @@ def drop_near_copies(docs: DataFrame, max_bits: int = 2, shingle: int = 3) -> Da
     cols = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("__row"),
                        F.col("doc_id").alias("doc_id"), F.col("text").alias("__text"))
-    rows = stored(fingerprints(rows, shingle, "__text").select("__row", "doc_id", "fp"), "simhash-rows")
-    by_fp = classes(rows.select("doc_id", "fp"), max_bits)
-    kept = (rows.join(by_fp, F.col("fp") == F.col("fp_"))
-            .filter(F.col("doc_id").eqNullSafe(F.col("component_id"))))
-    one = kept.dropDuplicates(["component"])
-    return one.select(*[F.col(f"__row.`{c}`").alias(c) for c in cols])
+    rows = stored(fingerprints(rows, shingle, "__text").select("__row", "doc_id", "fp")
+                  .withColumn("uid", F.monotonically_increasing_id()), "simhash-rows")
+    narrow = rows.select("uid", "doc_id", "fp")
+    by_fp = classes(narrow, max_bits)
+    kept = (narrow.join(by_fp, F.col("fp") == F.col("fp_"))
+            .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+            .groupBy("component").agg(F.min("uid").alias("uid")).select("uid"))
+    return (rows.select("uid", "__row").join(kept, "uid", "left_semi")
+            .select(*[F.col(f"__row.`{c}`").alias(c) for c in cols]))

@@ -2,18 +2,23 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
 written and read again as the next stage's ``docs``. All stages but the last
-return the columns of ``docs``. ``ORACLE_SQL`` is None: line fields, boosted
+return the columns of ``docs``. A stage first deletes the working tables of the
+stage before it, whose result has been written by then: write the result of a
+stage before calling the next one. ``ORACLE_SQL`` is None: line fields, boosted
 trees and piece encoding are not SQL; tests hold the rows of ``run`` against a
 brute-force version.
 """
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from auctide.llm import mix, pii, piece_wfst, quality, simhash
-from auctide.llm.common import stored, table
+from auctide.llm.common import drop_tables, table, written
 from auctide.llm.queries import tokenizer_file
+from auctide.session import stored
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
@@ -43,8 +48,23 @@ def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return piece_wfst.encode(docs, tokenizer_file(PIECE_MODEL))
 
 
+_working: list[str] = []  # tables of the stage that ran last
+
+
+def _after_the_last(stage):
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_tables(spark, _working)
+        before = len(written)
+        out = stage(spark, docs, sf_dir)
+        _working[:] = written[before:]
+        return out
+    return run_stage
+
+
 STAGES = [("quality_rules", quality_rules), ("simhash_dedup", simhash_dedup), ("personal_data", personal_data),
           ("source_mix", source_mix), ("sentencepiece", pieces)]
+STAGES = [(name, _after_the_last(stage)) for name, stage in STAGES]
 
 ORACLE_SQL = None
 
