@@ -33,7 +33,7 @@ from auctide.llm.merges import Merges, Recent, trie
 
 MARK = "▁"
 #: Segments (and as many parts of segments) and pairs of pieces that a worker remembers.
-MEMORY, PAIRS = 500_000, 400_000
+MEMORY, PAIRS = 400_000, 400_000
 #: Tropical semiring: weights add along a path, the smaller total wins.
 ZERO, ONE = float("inf"), 0.0
 
