@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from auctide.llm import chat, crf, embed_dedup, langid, lm_score, piece_wfst, pii, quality, simhash, token_count
 from auctide.llm import queries as Q
@@ -430,3 +431,30 @@ def test_pipeline_against_brute_force(spark):
                 want[(i, hashlib.sha256(t.encode()).hexdigest())] += 1
     rows = P.run(spark, SF).collect()
     assert Counter((r.doc_id, r.decoded_sha256) for r in rows) == want
+
+
+def test_language_model_learns_from_every_row(spark):
+    rng = random.Random(12)
+    ring = [f"ring{i}" for i in range(12)]
+    rows = [(i, " ".join(rng.choice(ring) for _ in range(30))) for i in range(40)]
+    rows += [(100 + i, " ".join(ring[(i + k) % 12] for k in range(4500))) for i in range(8)]  # over 20,000 characters
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    held = [r for r in lm_score.score(docs).collect() if r.held_out and r.doc_id >= 100]
+    assert held and all(r.score > 0.3 * r.base_score for r in held)
+    _, lex, net = lm_score.fit_from(docs, F.lit(False))
+    assert lex.n == sum(len(t.split()) + 1 for _, t in rows)
+    assert lm_score.learn(docs, lex, net) == 2 * lex.n
+
+
+def test_blocks_hold_every_document_whole():
+    rng = np.random.default_rng(13)
+    docs = [rng.integers(0, 99, n) for n in (1, 700, 3, 40, 129, 64, 2)]
+    lanes = [[] for _ in range(3)]
+    for tgt, new in lm_score.blocks(docs, 3, 16):
+        for k in range(3):
+            for x, first in zip(tgt[:, k], new[:, k]):
+                if first:
+                    lanes[k].append([])
+                if x >= 0:
+                    lanes[k][-1].append(int(x))
+    assert sorted(d for lane in lanes for d in lane) == sorted(d.tolist() for d in docs)
