@@ -7,9 +7,10 @@ and learned transitions; forward-backward gives each word's distribution, so
 code-switched text gets a label per word. A text's language is the label with
 the largest mean probability over its words, and that mean is its score.
 
-Lexicon counts cover every training document. Weights are fitted on a bounded
-sample of them, cut into windows of which half join two languages, so the
-transitions learn that text may switch.
+Lexicon counts cover every training document; each language keeps its own most
+frequent words. Weights are fitted on a bounded sample per language (all of a
+language with fewer texts), cut into windows of which half join two languages,
+so the transitions learn that text may switch.
 """
 
 from __future__ import annotations
@@ -22,11 +23,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auctide.llm.common import bounded_sample, crc_mod, most_frequent, small_batches, stored
+from auctide.llm.common import crc_mod, small_batches, stored
 from auctide.llm.crf import Adagrad, batch_marginals, chain_marginals
 
-#: Bounds of the model and of its fit.
-FIT_DOCS, FIT_CHARS, LEXICON, BUCKETS = 1500, 20_000, 20_000, 1 << 15
+#: Bounds of the model and of its fit, shared equally by the languages: texts, their spans, lexicon words.
+FIT_DOCS, FIT_SPANS, LEXICON, BUCKETS = 1500, 30_000, 20_000, 1 << 15
+#: Least share of a language.
+LEAST_DOCS, LEAST_SPANS, LEAST_WORDS = 50, 1000, 500
 #: Longest run labelled as one word (bytes); longer ones are labelled in pieces of this size.
 PIECE = 24
 SPAN = 32
@@ -128,8 +131,8 @@ class Labeller:
         return names, scores
 
 
-def lexicon_counts(train: DataFrame) -> DataFrame:
-    """``word, n, counts (map lang -> n)`` of about LEXICON most frequent words of all training rows."""
+def lexicon_counts(train: DataFrame, quota: int) -> DataFrame:
+    """``word, n, counts (map lang -> n)`` of about ``quota`` most frequent words of every language, over all rows."""
     small_batches(train.sparkSession)
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,9 +152,54 @@ def lexicon_counts(train: DataFrame) -> DataFrame:
 
     parts = train.select("text", "lang").mapInPandas(count, "lang string, word string, n long")
     per = parts.groupBy("word", "lang").agg(F.sum("n").alias("n"))
-    words = per.groupBy("word").agg(F.sum("n").alias("n"), F.map_from_entries(
-        F.collect_list(F.struct("lang", "n"))).alias("counts"))
-    return most_frequent(stored(words, "lang-words"), LEXICON)
+    per = stored(per, "lang-words")
+    step = F.floor(F.log2("n") * 16)
+    hist = per.groupBy("lang", step.alias("step")).agg(F.count("*").alias("rows")).collect()
+    cuts = []
+    for lang in {r.lang for r in hist}:
+        above, cut = 0, (-1, 1.0)  # the step that is taken in part, and the part
+        for r in sorted((r for r in hist if r.lang == lang), key=lambda r: -r.step):
+            if above + r.rows > quota:
+                cut = (r.step, (quota - above) / r.rows)
+                break
+            above += r.rows
+        cuts.append((lang, *cut))
+    cuts = train.sparkSession.createDataFrame(cuts, "lang string, cut long, share double")
+    edge = F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < F.col("share") * (1 << 30)
+    return (per.join(F.broadcast(cuts), "lang")
+            .withColumn("top", (step > F.col("cut")) | ((step == F.col("cut")) & edge))
+            .groupBy("word").agg(F.sum("n").alias("n"), F.max("top").alias("top"), F.map_from_entries(
+                F.collect_list(F.struct("lang", "n"))).alias("counts")).filter("top").drop("top"))
+
+
+def _thinned(rows: DataFrame, totals: dict, quota: int, *by: str) -> DataFrame:
+    """About 1.2 ``quota`` rows of every language by a hash of ``by``; all of one with no more."""
+    edges = [(lang, min(1 << 30, int(1.2 * quota / max(1, n) * (1 << 30)) + 1)) for lang, n in totals.items()]
+    edges = rows.sparkSession.createDataFrame(edges, "lang string, edge long")
+    return (rows.join(F.broadcast(edges), "lang")
+            .filter(F.pmod(F.xxhash64(F.lit("sample"), *by), F.lit(1 << 30)) < F.col("edge")).drop("edge"))
+
+
+def sample_spans(train: DataFrame, totals: dict) -> DataFrame:
+    """``lang, words``: spans of a bounded number of different texts of every language in ``totals``.
+
+    Copies of a text count once. Texts of any length are cut into spans in the
+    tasks; what is kept of them is chosen by hash, from their whole length.
+    """
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for lang, key, text in zip(f["lang"], f["key"], f["text"]):
+                w = words_of(text)
+                rows = [(lang, key, i, b" ".join(w[i:i + SPAN])) for i in range(0, len(w), SPAN)]
+                yield pd.DataFrame(rows, columns=["lang", "key", "no", "words"])
+
+    texts = train.select("lang", "text", F.xxhash64("text").alias("key"))
+    texts = (_thinned(texts, totals, max(LEAST_DOCS, FIT_DOCS // len(totals)), "key")
+             .groupBy("lang", "key").agg(F.first("text").alias("text")))
+    spans = stored(texts.select("lang", "key", "text").mapInPandas(
+        cut, "lang string, key long, no long, words binary"), "lang-spans")
+    number = {r.lang: r["count"] for r in spans.groupBy("lang").count().collect()}
+    return _thinned(spans, number, max(LEAST_SPANS, FIT_SPANS // len(totals)), "key", "no").orderBy("lang", "key", "no")
 
 
 def _partial(sums: dict) -> pd.DataFrame:
@@ -162,21 +210,25 @@ def _partial(sums: dict) -> pd.DataFrame:
 def fit_from(docs: DataFrame, held_out) -> Model | None:
     """Model from the rows of ``docs (doc_id, text, lang)`` outside ``held_out``; None without any."""
     train = docs.filter(~held_out & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    lex = sorted(lexicon_counts(train).collect(), key=lambda r: (-r.n, r.word))[:LEXICON]
-    sample = (bounded_sample(train.filter(F.length("text").between(1, FIT_CHARS)), FIT_DOCS, "doc_id", "text")
-              .select("text", "lang").collect())
-    languages = sorted({lang for r in lex for lang in r.counts} | {r.lang for r in sample})
+    totals = {r.lang: r.n for r in train.groupBy("lang").agg(
+        F.approx_count_distinct(F.xxhash64("text"), 0.02).alias("n")).collect()}
+    languages = sorted(totals)
     if not languages:
         return None
-    return fit([(r.text, languages.index(r.lang)) for r in sample], languages,
+    at = {x: i for i, x in enumerate(languages)}
+    lex = sorted(lexicon_counts(train, max(LEAST_WORDS, LEXICON // len(languages))).collect(),
+                 key=lambda r: (-r.n, r.word))
+    sample = sample_spans(train, totals).collect()
+    return fit([(bytes(r.words), at[r.lang]) for r in sample], languages,
                [(r.word.encode(), [r.counts.get(x, 0) for x in languages]) for r in lex])
 
 
 def fit(sample: list, languages: list, lexicon: list, rounds: int = 2) -> Model:
+    """Model from ``sample`` of (text, or its words joined by spaces as bytes; number of the language)."""
     k = len(languages)
     counts = np.array([c for _, c in lexicon], float).reshape(-1, k)
     total = counts.sum(axis=0, keepdims=True) + 1
-    share = (counts + 0.5) / total
+    share = (counts + 0.5 * total / total.max()) / total  # an unseen word has the same share in a rare language
     lex = np.log(share / share.mean(axis=1, keepdims=True)).clip(-4, 4) if len(counts) else share
     model = Model(languages, np.zeros((BUCKETS + 1, k)), {w: i for i, (w, _) in enumerate(lexicon)},
                   np.concatenate([lex.reshape(-1, k), np.zeros((1, k))]), np.full(k, 0.3),
@@ -184,7 +236,7 @@ def fit(sample: list, languages: list, lexicon: list, rounds: int = 2) -> Model:
     rng = np.random.default_rng(9)
     spans = []
     for text, lang in sample:
-        w = words_of(text)
+        w = words_of(text) if isinstance(text, str) else text.split()
         spans += [(w[i:i + SPAN], lang) for i in range(0, len(w), SPAN)]
     opt = Adagrad(0.1)
     for _ in range(rounds):

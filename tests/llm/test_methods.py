@@ -458,3 +458,29 @@ def test_blocks_hold_every_document_whole():
                 if x >= 0:
                     lanes[k][-1].append(int(x))
     assert sorted(d for lane in lanes for d in lane) == sorted(d.tolist() for d in docs)
+
+
+def invented(rng, n, letters):
+    return ["".join(rng.choice(letters) for _ in range(rng.randrange(3, 8))) for _ in range(n)]
+
+
+def test_rare_language_is_learned(spark, monkeypatch):
+    rng = random.Random(14)
+    common, rare = invented(rng, 3000, "abcdefghij"), invented(rng, 60, "abcdeuvwxy")
+    rows = [(i, " ".join(rng.choice(common) for _ in range(40)), "aa") for i in range(4000)]
+    rows += [(9000 + i, " ".join(rng.choice(rare) for _ in range(40)), "bb") for i in range(6)]
+    rows += [(9100, " ".join(rng.choice(rare) for _ in range(6000)), "bb")]  # over 20,000 characters
+    rows += [(9200, rows[0][1], "aa")] * 1500  # copies
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    monkeypatch.setattr(langid, "LEXICON", 400)
+    monkeypatch.setattr(langid, "FIT_DOCS", 400)
+    monkeypatch.setattr(langid, "LEAST_WORDS", 100)
+    totals = {"aa": 4000, "bb": 7}
+    spans = langid.sample_spans(docs, totals).collect()
+    assert len({r.key for r in spans if r.lang == "bb"}) == 7 and sum(r.lang == "bb" for r in spans) == 6 * 2 + 188
+    assert 150 < len({r.key for r in spans if r.lang == "aa"}) < 350
+    words = langid.lexicon_counts(docs, 200).collect()
+    assert {r.word for r in words} >= set(rare) and len(words) < 500
+    got = {r.doc_id: r.lang_pred for r in langid.identify(docs).collect()}
+    assert {v for i, v in got.items() if 9000 <= i <= 9100} == {"bb"}
+    assert sum(got[i] == "aa" for i in range(4000)) > 3960
