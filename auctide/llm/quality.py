@@ -6,7 +6,8 @@ document stays. The field is fitted here on a bounded sample of labelled
 documents: lines of good documents are content, and in bad documents the lines
 that a first model separates from good ones are boilerplate (at least one per
 document); then transitions and features are trained together. The retention
-threshold is the largest at which all but ``LOSS`` of the good documents stay.
+threshold is the largest at which all but ``LOSS`` of the good documents stay,
+read off the content shares of all good labelled documents.
 """
 
 from __future__ import annotations
@@ -15,10 +16,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auctide.llm.common import bounded_sample, small_batches
+from auctide.llm.common import bounded_sample, small_batches, stored
 from auctide.llm.crf import Adagrad, batch_marginals, viterbi
 
 SPACE = " \t\n\x0b\x0c\r"
@@ -106,7 +107,6 @@ class LineField:
     def __init__(self):
         self.w = np.zeros((N_FEATURES, 2))
         self.trans, self.start = np.zeros((2, 2)), np.zeros(2)
-        self.threshold = 0.0
 
     def share(self, text: str) -> float:
         x, sizes = line_features(text)
@@ -162,24 +162,35 @@ def fit(texts: list[str], good: list[int]) -> LineField:
             opt.step("w", field.w, np.einsum("btf,btk->fk", xs, ys - u) / n - 1e-4 * field.w)
             opt.step("t", field.trans, (pairs - p) / n - 1e-3 * field.trans)
             opt.step("s", field.start, (first - s) / len(part) - 1e-3 * field.start)
-    kept = sorted(field.share(t) for t, g in zip(texts, good) if g)
-    field.threshold = min(0.8, kept[int(LOSS * len(kept))])
     return field
 
 
+def _known(labels: DataFrame) -> DataFrame:
+    return (labels.filter("doc_id is not null and quality is not null")
+            .groupBy(F.col("doc_id").alias("__id")).agg(F.min("quality").alias("quality")))
+
+
 def fit_from(docs: DataFrame, labels: DataFrame) -> LineField:
-    """Fit on at most FIT_DOCS labelled documents of at most FIT_CHARS characters, chosen by hash."""
-    known = (labels.filter("doc_id is not null and quality is not null")
-             .groupBy("doc_id").agg(F.min("quality").alias("quality")))
-    chosen = bounded_sample(known, FIT_DOCS, "doc_id").select(F.col("doc_id").alias("__id"), "quality")
+    """Fit on at most FIT_DOCS labelled documents of at most FIT_CHARS characters, chosen by hash; one text per id."""
+    chosen = bounded_sample(_known(labels), FIT_DOCS, "__id")
     rows = (docs.select("doc_id", "text").filter(F.length("text") <= FIT_CHARS)
             .join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))
-            .select("doc_id", "text", "quality").orderBy("doc_id", "text").limit(2 * FIT_DOCS).collect())
+            .groupBy("doc_id", "quality").agg(F.min("text").alias("text")).collect())
+    rows = sorted(rows, key=lambda r: r.doc_id)
     return fit([r.text for r in rows], [int(r.quality == 1) for r in rows])
 
 
+def threshold_from(shares: DataFrame, labels: DataFrame) -> float:
+    """Threshold from ``shares (doc_id, content_share)`` of all rows; an id that repeats counts once, by its lowest."""
+    good = _known(labels).filter("quality = 1")
+    lowest = shares.groupBy("doc_id").agg(F.min("content_share").alias("content_share"))
+    at = (lowest.join(good, F.col("doc_id") == F.col("__id"), "left_semi")
+          .agg(F.percentile_approx("content_share", LOSS, 100_000)).first()[0])
+    return 0.0 if at is None else min(0.8, at)
+
+
 SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-          "content_share double, base_failed boolean, kept boolean")
+          "content_share double, base_failed boolean")
 
 
 def _assess(field: LineField):
@@ -191,8 +202,7 @@ def _assess(field: LineField):
                 t = t or ""
                 c = base_counts(t)
                 failed = c[0] < MIN_WORDS or 100 * c[4] > MAX_REPEAT * c[0]
-                share = field.share(t)
-                rows.append((*c, share, failed, not failed and share >= field.threshold))
+                rows.append((*c, field.share(t), failed))
             yield pd.DataFrame(rows, columns=[x.split()[0] for x in SCHEMA.split(", ")])
     return assess
 
@@ -207,14 +217,27 @@ def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     small_batches(docs.sparkSession)
     verdict = _assess(fit_from(docs, labels))
-    return docs.select("doc_id", verdict("text").alias("v")).select("doc_id", "v.*")
+    judged = stored(docs.select("doc_id", verdict("text").alias("v")).select("doc_id", "v.*"), "quality-verdicts")
+    return judged.withColumn("kept", _stays(threshold_from(judged, labels)))
+
+
+def _stays(threshold: float, of: str = "") -> Column:
+    return ~F.col(f"{of}base_failed") & (F.col(f"{of}content_share") >= threshold)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of ``docs`` that the rules keep, columns unchanged (extra ones included)."""
     small_batches(docs.sparkSession)
-    verdict = _assess(fit_from(docs, labels))
+    field = fit_from(docs, labels)
+    verdict = _assess(field)
+
+    @F.pandas_udf("double")
+    def share(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in texts:
+            yield pd.Series([field.share(t or "") for t in s], dtype="float64")
+
+    threshold = threshold_from(docs.select("doc_id", share("text").alias("content_share")), labels)
     cols = docs.columns
     return (docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("__row"),
-                        verdict("text").alias("__v")).filter("__v.kept")
+                        verdict("text").alias("__v")).filter(_stays(threshold, "__v."))
             .select(*[F.col(f"__row.`{c}`").alias(c) for c in cols]))

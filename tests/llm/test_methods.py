@@ -484,3 +484,26 @@ def test_rare_language_is_learned(spark, monkeypatch):
     got = {r.doc_id: r.lang_pred for r in langid.identify(docs).collect()}
     assert {v for i, v in got.items() if 9000 <= i <= 9100} == {"bb"}
     assert sum(got[i] == "aa" for i in range(4000)) > 3960
+
+
+def test_quality_fit_with_a_repeated_id(spark, monkeypatch):
+    rng = random.Random(15)
+    monkeypatch.setattr(quality, "FIT_DOCS", 40)
+    junk = ["BUY NOW !!! $$$ ***", "| | | # # # |", "CLICK HERE !!! <<< >>>"]
+
+    def text(good, odd):
+        lines = [" ".join(rng.choice(["wort", "haus", "und", "mit", "baum", "weg"]) + str(rng.randrange(50))
+                          for _ in range(12)) for _ in range(6)]
+        return "\n".join(lines + [rng.choice(junk) for _ in range(odd if good else 12)])
+
+    rows = [(i, text(i % 2 == 0, 30 if i % 100 == 10 else 0), 1 - i % 2) for i in range(2000)]
+    labels = spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int")
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(0, rows[0][1])] * 3000,
+                                 "doc_id long, text string").repartition(3)
+    some = labels.filter("doc_id < 40")
+    assert quality.fit_from(docs, some).w.any()  # the copies of one id push nobody out
+    out = [r for r in quality.assess(docs, labels).collect() if r.doc_id % 2 == 0 and not r.base_failed]
+    lost = {r.doc_id for r in out if not r.kept}
+    assert len(lost) <= 0.002 * 1000  # a fiftieth of the good documents is odd, most of them not in the fit
+    assert {r.doc_id for r in quality.keep_good(docs, labels).collect() if r.doc_id % 2 == 0} == \
+        {r.doc_id for r in out if r.kept}
