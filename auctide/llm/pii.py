@@ -2,13 +2,15 @@
 
 Generators with high recall propose spans (they may overlap). Base spans are
 the candidates of the four fixed patterns that pass their checks; they always
-stay. Every other candidate is scored by gradient-boosted trees on format
-features (digits, groups, separators, checksums) and context features
-(neighbouring characters, cue words); the trees are fitted here, with the
-outcome of the checks as labels, on a bounded sample of candidates, and the
-threshold is calibrated on another part of that sample so that none of its
-failed candidates is taken. Candidates above it that touch no base span are
-added.
+stay. Candidates of the other generators (obfuscated mail, phones without the
+plus sign) have no check; boosted trees score them on format features (digits,
+groups, separators) and context features (neighbouring characters, cue words).
+Their labelled examples are made from the table: base mails and phones rewritten
+into these forms in their real context are positive, look-alike numbers and
+phrases in the context of base spans and of failed digit runs negative. The trees
+are fitted on a bounded sample; the threshold of each kind is the lowest with
+``PRECISION`` over all examples outside the half that the sample comes from.
+Candidates above it that touch no base span are added.
 
 Positions come from splitting a text at the matches of a pattern: the pieces
 between matches and the matches themselves, in order, give running lengths.
@@ -23,8 +25,8 @@ from pyspark.sql import functions as F
 from auctide.llm.common import bounded_sample, stored, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
-#: Candidates used to fit and to calibrate the trees (half each), chosen by hash.
-FIT_ROWS = 20_000
+#: Examples used to fit the trees, chosen by hash; precision of added spans, and positives that show it at least.
+FIT_ROWS, PRECISION, SHOWN = 20_000, 0.99, 20
 #: Characters kept on each side of a candidate.
 CONTEXT = 24
 _LOCAL = "A-Za-z0-9._%+-"
@@ -121,6 +123,7 @@ def _features(c: DataFrame) -> tuple[DataFrame, list[str]]:
         "seps": F.length(F.regexp_replace(hit, r"[^\x20().-]", "")), "dots": F.length(F.regexp_replace(hit, "[^.]", "")),
         "groups": F.regexp_count(hit, F.lit("[0-9]+")), "luhn": _luhn("hit") & digits.between(12, 19),
         "octets": _octets("hit"),
+        "domain": hit.rlike(r"(?i)(?:\.|dot[)\]}]\x20?)(?:com|org|net|edu|gov|info|[a-z]{2})$"),
         "longest": F.coalesce(F.array_max(F.transform(F.split(hit, "[^0-9]+"), lambda p: F.length(p))), F.lit(0)),
         "before": kind_of(F.right("left", F.lit(1))), "after": kind_of(F.substring("right", 1, 1)),
         **{n: F.concat_ws(" ", "left", "right").rlike(p) for n, p in CUES.items()},
@@ -129,10 +132,10 @@ def _features(c: DataFrame) -> tuple[DataFrame, list[str]]:
 
 
 class SpanModel:
-    """Boosted trees and calibrated threshold; ``trees`` is None where there was nothing to learn from."""
+    """Boosted trees and a threshold per kind; ``trees`` is None where there was nothing to learn from."""
 
-    def __init__(self, trees=None, threshold: float = 1.0):
-        self.trees, self.threshold = trees, threshold
+    def __init__(self, trees=None, thresholds: dict | None = None):
+        self.trees, self.thresholds = trees, thresholds or {}
 
     def score(self, candidates: DataFrame) -> DataFrame:
         """Adds ``score``: probability that a candidate is personal data of its kind."""
@@ -145,34 +148,85 @@ class SpanModel:
         out = self.trees.transform(rows).withColumn("score", vector_to_array("probability")[1])
         return out.select(*candidates.columns, "score")
 
+    def added(self, candidates: DataFrame) -> DataFrame:
+        """Candidates without a check whose score reaches the threshold of their kind."""
+        least = F.lit(2.0)
+        for kind, t in self.thresholds.items():
+            least = F.when(F.col("kind") == kind, t).otherwise(least)
+        return self.score(candidates.filter(~F.col("generator").isin(*KINDS))).filter(F.col("score") >= least)
+
+
+def examples(candidates: DataFrame) -> DataFrame:
+    """``kind, hit, left, right, y``: labelled examples for the generators without a check."""
+    h = F.xxhash64("hit", "left", "right")
+    n = F.lpad(F.pmod(h, F.lit(10**12)).cast("string"), 12, "7")
+
+    def one_of(*forms: Column, shift: int = 0) -> Column:
+        return F.element_at(F.array(*forms), (F.pmod(F.shiftright(h, shift), F.lit(len(forms))) + 1).cast("int"))
+
+    def groups(d: Column, sizes: tuple, sep: str) -> Column:
+        starts = [1 + sum(sizes[:i]) for i in range(len(sizes))]
+        return F.concat_ws(sep, *[F.substring(d, a, k) for a, k in zip(starts, sizes)])
+
+    at = one_of(*map(F.lit, (" [at] ", "(at)", " (at) ", "{at}")))
+    dot = one_of(*map(F.lit, (".", " [dot] ", "(dot)")), shift=4)
+    local, domain = F.split_part("hit", F.lit("@"), F.lit(1)), F.split_part("hit", F.lit("@"), F.lit(2))
+    mail = F.concat(local, at, F.regexp_replace(domain, F.lit(r"\."), dot))
+    d = F.right(_digits("hit"), F.lit(10))
+    phone = one_of(F.concat(F.lit("("), F.substring(d, 1, 3), F.lit(") "), F.substring(d, 4, 3), F.lit("-"),
+                            F.substring(d, 7, 4)), *[groups(d, (3, 3, 4), x) for x in "- ."])
+    word = F.regexp_extract("left", r"([A-Za-z]+)[^A-Za-z]*$", 1)
+    after = F.regexp_extract("right", r"([A-Za-z]+)", 1)
+    no_mail = one_of(F.concat(word, at, F.substring(n, 1, 3), F.lit("."), F.substring(n, 4, 2)),
+                     F.concat(word, at, after, F.lit("."), F.substring(n, 1, 2)),
+                     F.concat(word, at, after, F.lit(".The")), shift=8)
+    no_phone = one_of(*[groups(n, k, x) for k in ((2, 3, 3), (3, 3, 3), (4, 4, 4)) for x in ". "], shift=8)
+    g, base = F.col("generator"), F.col("base")
+
+    def example(kind: str, hit: Column, y: int, when: Column) -> Column:
+        return F.when(when, F.struct(F.lit(kind).alias("kind"), hit.alias("hit"), F.lit(float(y)).alias("y")))
+
+    spans = base & g.isin("email", "phone")
+    failed = (g == "card") & ~base
+    made = F.array_compact(F.array(
+        example("email", mail, 1, base & (g == "email")), example("phone", phone, 1, base & (g == "phone")),
+        example("email", no_mail, 0, spans | failed), example("phone", no_phone, 0, spans | failed)))
+    rows = candidates.select(F.explode(made).alias("e"), "left", "right").select("e.*", "left", "right")
+    form = {kind: pattern for name, kind, _, pattern in GENERATORS if name not in KINDS}
+    return rows.filter(
+        F.when(F.col("kind") == "email", F.col("hit").rlike(f"^(?:{form['email']})$"))
+        .otherwise(F.col("hit").rlike(f"^(?:{form['phone']})$")))
+
 
 def fit(candidates: DataFrame) -> SpanModel:
-    """Trees on half of a bounded sample of checked candidates, threshold on the other half."""
+    """Trees on a bounded sample of half of the examples, thresholds on all of the other half."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
-    checked = candidates.filter(F.col("generator").isin(*KINDS))
-    sample = (bounded_sample(checked, FIT_ROWS, "hit", "left", "right")
-              .withColumn("part", F.pmod(F.xxhash64("hit", "left", "right"), F.lit(2))))
-    rows, names = _features(sample)
-    rows = stored(rows.select("part", F.col("base").cast("double").alias("y"), *names), "pii-fit")
-    sides = {(r.part, r.y) for r in rows.select("part", "y").distinct().collect()}
-    if len(sides) < 4:
+    rows = examples(candidates).withColumn("part", F.pmod(F.xxhash64("hit", "left", "right"), F.lit(2)))
+    sample, names = _features(bounded_sample(rows.filter("part = 0"), FIT_ROWS, "hit", "left", "right"))
+    sample = stored(sample.select("y", *names), "pii-fit")
+    if sample.select("y").distinct().count() < 2:
         return SpanModel()
-    rows = VectorAssembler(inputCols=names, outputCol="x").transform(rows)
-    trees = GBTClassifier(featuresCol="x", labelCol="y", maxIter=10, maxDepth=4, stepSize=0.3, seed=3)
-    model = trees.fit(rows.filter("part = 0"))
-    model.setFeaturesCol("__x")
-    from pyspark.ml.functions import vector_to_array
-    rated = model.transform(rows.filter("part = 1").withColumn("__x", F.col("x")))
-    worst = rated.filter("y = 0").agg(F.max(vector_to_array("probability")[1])).first()[0]
-    return SpanModel(model, min(0.999, max(0.8, worst)))
+    sample = VectorAssembler(inputCols=names, outputCol="x").transform(sample)
+    trees = GBTClassifier(featuresCol="x", labelCol="y", maxIter=10, maxDepth=4, stepSize=0.3, seed=3).fit(sample)
+    trees.setFeaturesCol("__x")
+    model = SpanModel(trees)
+    steps = (model.score(rows.filter("part = 1")).groupBy("kind", F.floor(F.col("score") * 1000).alias("step"))
+             .agg(F.sum("y").alias("good"), F.count("*").alias("n")).collect())
+    for kind in KINDS:
+        good = n = 0
+        for r in sorted((r for r in steps if r.kind == kind), key=lambda r: -r.step):
+            good, n = good + r.good, n + r.n
+            if good >= SHOWN and good >= PRECISION * n and r.step >= 500:
+                model.thresholds[kind] = r.step / 1000
+    return model
 
 
 def _spans(rows: DataFrame) -> DataFrame:
     """``uid, kind, start, end, base`` of base spans and of added ones, from ``rows (uid, found)``."""
     c = stored(_located(rows), "pii-candidates")
     model = fit(c)
-    rest = model.score(c.filter(~F.col("base"))).filter(F.col("score") > model.threshold)
+    rest = model.added(c)
     base = c.filter("base").select("uid", "kind", "start", "end", "base")
     rest = rest.select("uid", "kind", "start", "end", "base")
     touch = base.select(F.col("uid").alias("u"), F.col("start").alias("s"), F.col("end").alias("e"))

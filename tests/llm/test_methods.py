@@ -507,3 +507,33 @@ def test_quality_fit_with_a_repeated_id(spark, monkeypatch):
     assert len(lost) <= 0.002 * 1000  # a fiftieth of the good documents is odd, most of them not in the fit
     assert {r.doc_id for r in quality.keep_good(docs, labels).collect() if r.doc_id % 2 == 0} == \
         {r.doc_id for r in out if r.kept}
+
+
+def test_obfuscated_personal_data_is_added(spark):
+    rng = random.Random(16)
+    words = "the cat sat on a mat and then it went home to eat some food with us".split()
+
+    def prose():
+        return " ".join(rng.choice(words) for _ in range(8))
+
+    def digits(n):
+        return "".join(rng.choice("123456789") for _ in range(n))
+
+    def mail():
+        return f"{rng.choice(words)}.{rng.choice(words)}", f"{rng.choice(words)}.example.com"
+
+    rows = []
+    for i in range(600):
+        a, b = mail()
+        rows.append(f"{prose()} {a}@{b} {prose()} +1 ({digits(3)}) {digits(3)}-{digits(4)} {prose()} {digits(6)} {prose()}")
+    a, b = mail()
+    planted = [f"{prose()} {a} [at] {b.replace('.', ' [dot] ')} {prose()}", f"{prose()} {a}(at){b} {prose()}",
+               f"{prose()} ({digits(3)}) {digits(3)}-{digits(4)} {prose()}"]
+    clean = [f"{prose()} 12.345.678 {prose()}", f"{prose()} 234 567 891 {prose()}", f"{prose()} 2010 2011 2012 {prose()}",
+             f"{prose()} (at) 250.50 {prose()}", f"{prose()} 4821 {prose()}"]
+    texts = rows + planted + clean
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.detect(docs).collect()}
+    assert [got[600 + i].n_added for i in range(3)] == [1, 1, 1]
+    assert [got[603 + i].n_added for i in range(5)] == [0] * 5
+    assert sum(got[i].n_added for i in range(600)) == 0
