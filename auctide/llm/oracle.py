@@ -81,5 +81,80 @@ FROM v JOIN comp USING (vec_id) LEFT JOIN n USING (vec_id)
 """
 
 
+
+
+def _nearest(vectors: str, books: str, name: str, by: str) -> str:
+    """CTE ``name``: the number ``c`` and squared distance ``d`` of the nearest of ``books`` per row of ``vectors``."""
+    return f"""
+{name} AS (
+  SELECT {by}, p, min(struct_pack(
+      d := (list_inner_product(p, p) - 2 * list_inner_product(p, q) + list_inner_product(q, q))::BIGINT, c := c)) AS b
+  FROM {vectors} JOIN {books} USING ({'part' if 'part' in by else 'one'}) GROUP BY ALL)"""
+
+
+def _moved(found: str, books: str, name: str, key: str) -> str:
+    """CTE ``name``: ``books`` after the floor of the mean of each entry's vectors."""
+    on = "part, c" if key == "part" else "c"
+    return f"""
+{name}_x AS (
+  SELECT {key}, b.c AS c, unnest(p)::BIGINT AS x, generate_subscripts(p, 1) AS i FROM {found}),
+{name}_m AS (
+  SELECT {key}, c, i, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::DOUBLE AS m
+  FROM {name}_x GROUP BY ALL),
+{name} AS (
+  SELECT {key}, c, coalesce(n.q, o.q) AS q FROM {books} o
+  LEFT JOIN (SELECT {on}, list(m ORDER BY i) AS q FROM {name}_m GROUP BY ALL) n USING ({on}))"""
+
+
+def _integers(scale: int, more: str = "") -> str:
+    return f"""v AS (
+  SELECT row_number() OVER () AS rid, 1 AS one, vec_id, label,
+         list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)) AS p
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 {more})"""
+
+
+def _op11() -> str:
+    steps = [_integers(1024), """
+parts AS (
+  SELECT rid, unnest([0, 1, 2, 3]) AS part, p AS whole FROM v),
+cut AS (
+  SELECT rid, part, whole[part * len(whole) // 4 + 1 : (part + 1) * len(whole) // 4] AS p FROM parts),
+firsts AS (
+  SELECT rid, row_number() OVER (ORDER BY vec_id, p) - 1 AS c FROM v QUALIFY c < 256),
+b0 AS (SELECT part, c, p AS q FROM cut JOIN firsts USING (rid))"""]
+    for k in range(4):
+        steps += [_nearest("cut", f"b{k}", f"a{k}", "rid, part"), _moved(f"a{k}", f"b{k}", f"b{k + 1}", "part")]
+    steps += [_nearest("cut", "b4", "a4", "rid, part"), """
+coded AS (
+  SELECT rid, string_agg(lpad(lower(to_hex(b.c)), 2, '0'), '' ORDER BY part) AS code, sum(b.d)::BIGINT AS error
+  FROM a4 GROUP BY rid),
+books AS (
+  SELECT sha256(string_agg(list_aggregate(list_transform(q, lambda x: x::BIGINT), 'string_agg', ','), ','
+                           ORDER BY part, c)) AS codebooks_sha256 FROM b4)"""]
+    return "WITH " + ",".join(steps) + """
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM v JOIN coded USING (rid), books"""
+
+
+def _op12() -> str:
+    steps = [_integers(64, "AND len(embedding) = 64"), """
+b0 AS (
+  SELECT 1 AS one, row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, 'null')), p) - 1 AS c, p AS q
+  FROM v QUALIFY c < 16)"""]
+    for k in range(3):
+        steps += [_nearest("v", f"b{k}", f"a{k}", "rid, one"), _moved(f"a{k}", f"b{k}", f"b{k + 1}", "one")]
+    steps += [_nearest("v", "b3", "a3", "rid, one"), """
+names AS (
+  SELECT c, sha256(list_aggregate(list_transform(q, lambda x: x::BIGINT), 'string_agg', ',')) AS centroid_sha256
+  FROM b3)"""]
+    return "WITH " + ",".join(steps) + """
+SELECT vec_id, b.c::INTEGER AS cluster, b.d AS distance,
+       (sum(b.d) OVER (PARTITION BY b.c))::BIGINT AS cluster_inertia, (sum(b.d) OVER ())::BIGINT AS inertia,
+       centroid_sha256
+FROM a3 JOIN v USING (rid) JOIN names ON names.c = b.c"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": OP1, "op4_embedding_dedup": OP4, "op7_chat_format": OP7}
+    return {"op1_mix_sources": OP1, "op4_embedding_dedup": OP4, "op7_chat_format": OP7,
+            "op11_vector_codes": _op11(), "op12_centroid_clusters": _op12()}

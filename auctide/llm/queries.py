@@ -79,6 +79,26 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all embeddings: 4 parts, codebooks of 256 entries, 4 rounds."""
+    from auctide.llm.hilbert_codes import encode_vectors
+    return encode_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings in 16 clusters after 3 rounds."""
+    from auctide.llm.ptolemaic import cluster
+    return cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by the byte-level BPE and decoded again."""
+    from auctide.llm.byte_bpe import decode, digests, encode
+    path = tokenizer_file("byte_bpe_50k.json")
+    return digests(decode(encode(table(spark, sf_dir, "documents"), path), path))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_simhash, op3_personal_data, op4_embedding_dedup, op5_token_counts, op6_lm_score,
-    op7_chat_format, op8_quality_rules, op9_language_id, op10_sentencepiece)}
+    op7_chat_format, op8_quality_rules, op9_language_id, op10_sentencepiece, op11_vector_codes,
+    op12_centroid_clusters, op13_byte_bpe)}
