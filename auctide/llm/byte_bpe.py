@@ -11,17 +11,22 @@ from the longest to the shortest, and the ids of the word are read off
 backwards, each token pointing to the prefix it follows.
 
 Merging never crosses pre-tokens. Cuts are made at a space before a character
-that is no white space, always the start of a pre-token; the runs between such
-cuts are remembered by each worker, within a bound on their characters.
+that is no white space, always the start of a pre-token. A worker takes the
+distinct runs between such cuts of a batch of texts, and the distinct pre-tokens
+of the runs it does not remember go through the same dynamic programming side by
+side, prefix by prefix, in numpy arrays; a prefix that several of them share is
+worked out once. Memories are bounded.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import struct
 from collections import deque
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +36,12 @@ from pyspark.sql import functions as F
 from auctide.llm.common import small_batches
 from auctide.llm.merges import Merges
 
-#: Characters of runs that a worker remembers, and the longest run it remembers.
-MEMORY, LONGEST_RUN = 8_000_000, 64
-#: Pairs of neighbouring tokens that a worker remembers.
-PAIRS = 300_000
+#: Runs, and pre-tokens, that a worker remembers, and the most characters one may have.
+RUNS, WORDS, LONGEST = 500_000, 500_000, 48
+#: Pairs of neighbouring tokens that a worker remembers; pre-tokens that go side by side.
+PAIRS, SIDE_BY_SIDE = 1 << 20, 1 << 15
+#: Fewer new pre-tokens than this are done one by one.
+FEW = 48
 
 
 class SuffixAutomaton:
@@ -118,40 +125,177 @@ class SuffixAutomaton:
             p = link[p]
         return part
 
-    def read(self, s: bytes) -> Iterator[tuple[int, tuple]]:
-        """Per byte: how much of what was read lies inside a string, and the strings that may end here."""
-        step, link, length, ends = self.step, self.link, self.length, self.ends
-        state = matched = 0
-        for b in s:
-            to = step.get(state << 8 | b)
-            while to is None and state:
-                state = link[state]
-                matched = length[state]
-                to = step.get(state << 8 | b)
-            if to is None:
-                state = matched = 0
-            else:
-                state, matched = to, matched + 1
-            yield matched, ends[state]
+
+class IntTable:
+    """A fixed map from non-negative 64-bit keys to 32-bit values, looked up for whole arrays (open addressing)."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(4, int(np.ceil(np.log2(max(1, len(keys))))) + 2)
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+        keys, values = keys.astype(np.int64), values.astype(np.int32)
+        slot = self._slot(keys)
+        while len(keys):
+            # of the keys that meet at a free slot the first takes it, the others go on
+            first = np.zeros(len(keys), bool)
+            first[np.unique(slot, return_index=True)[1]] = True
+            put = first & (self.keys[slot] < 0)
+            self.keys[slot[put]], self.values[slot[put]] = keys[put], values[put]
+            keys, values, slot = keys[~put], values[~put], (slot[~put] + 1) & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The values of ``keys``, -1 for those that are not there."""
+        slot = self._slot(keys)
+        there = self.keys[slot]
+        out = np.where(there == keys, self.values[slot], -1)
+        open_ = np.flatnonzero((there != keys) & (there >= 0))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & self.mask
+            there = self.keys[slot[open_]]
+            hit = there == keys[open_]
+            out[open_[hit]] = self.values[slot[open_[hit]]]
+            open_ = open_[~hit & (there >= 0)]
+        return out
+
+
+class SideBySide:
+    """The dynamic programming of many pre-tokens at once: a row per byte, a column per pre-token."""
+
+    def __init__(self, automaton: SuffixAutomaton, merges: Merges, size: int):
+        step = automaton.step
+        self.step = IntTable(np.fromiter(step.keys(), np.int64, len(step)), np.fromiter(step.values(), np.int64, len(step)))
+        self.link, self.longest = np.array(automaton.link, np.int32), np.array(automaton.length, np.int32)
+        # candidates of all states behind one another
+        counts = np.array([len(e) for e in automaton.ends])
+        self.first = np.concatenate([[0], np.cumsum(counts)[:-1]])
+        flat = np.array([x for e in automaton.ends for x in e], np.int32).reshape(-1, 2)
+        self.lengths, self.tokens = flat[:, 0].copy(), flat[:, 1].copy()
+        self.size = np.zeros(size, np.int32)
+        self.size[self.tokens] = self.lengths
+        self.rank = np.full(size, -1.0)
+        self.left, self.right = np.full(size, -1, np.int32), np.full(size, -1, np.int32)
+        for t, (l, r) in merges.parts.items():
+            self.rank[t], self.left[t], self.right[t] = merges.rank[t], l, r
+        pairs = np.array([(l << 32 | r, t) for (l, r), t in merges.join.items()], np.int64).reshape(-1, 2)
+        self.join = IntTable(pairs[:, 0], pairs[:, 1])
+        self.seen_pair, self.seen_apart = np.full(PAIRS, -1, np.int64), np.zeros(PAIRS, bool)
+
+    def words(self, words: list[bytes]) -> Iterator[bytes]:
+        """Packed ids of each pre-token; ``words`` come in order, so that neighbours share prefixes."""
+        for at in range(0, len(words), SIDE_BY_SIDE):
+            yield from self._columns(words[at:at + SIDE_BY_SIDE])
+
+    def _columns(self, words: list[bytes]) -> Iterator[bytes]:
+        sizes = np.array([len(w) for w in words])
+        deep, m = int(sizes.max()), len(words)
+        raw = np.frombuffer(b"".join([w.ljust(deep, b"\0") for w in words]), np.uint8).reshape(m, deep)
+        # a prefix is worked out where it first occurs: bytes that a word shares with the one before it
+        differs = raw[1:] != raw[:-1]
+        shared = np.where(differs.any(axis=1), differs.argmax(axis=1), deep)
+        shared = np.concatenate([[0], np.minimum(shared, np.minimum(sizes[1:], sizes[:-1]))])
+        last = np.zeros((deep + 1, m), np.int32)
+        state, matched = np.zeros(m, np.int32), np.zeros(m, np.int32)
+        for i in range(1, deep + 1):
+            rows = np.flatnonzero(sizes >= i)
+            fresh = shared[rows] < i
+            first = rows[fresh]
+            s, k = state[first], matched[first]
+            self._read(raw[first, i - 1].astype(np.int64), s, k)
+            t = self._choose(i, s, k, last, first)
+            of = np.cumsum(fresh) - 1
+            state[rows], matched[rows], last[i, rows] = s[of], k[of], t[of]
+        # the way back, one token of every pre-token at a time
+        steps, at, columns = [], sizes.copy(), np.arange(m)
+        while at.any():
+            t = np.where(at > 0, last[at, columns], -1)
+            steps.append(t)
+            at = np.where(at > 0, at - self.size[t], 0)
+        tokens = np.array(steps[::-1], "<i4").T
+        used = tokens >= 0
+        flat, ends = tokens[used].tobytes(), 4 * np.cumsum(used.sum(axis=1))
+        start = 0
+        for end in ends.tolist():
+            yield flat[start:end]
+            start = end
+
+    def _read(self, byte: np.ndarray, state: np.ndarray, matched: np.ndarray) -> None:
+        """One step of the automaton in every column, in place."""
+        to = self.step.find(state.astype(np.int64) << 8 | byte)
+        lost = np.flatnonzero(to < 0)
+        while len(lost):
+            state[lost] = self.link[state[lost]]
+            matched[lost] = self.longest[state[lost]]
+            to[lost] = self.step.find(state[lost].astype(np.int64) << 8 | byte[lost])
+            lost = lost[to[lost] < 0]
+        state[:] = to
+        matched += 1
+
+    def _choose(self, i: int, state: np.ndarray, matched: np.ndarray, last: np.ndarray,
+                columns: np.ndarray) -> np.ndarray:
+        """The last token of the prefixes of ``i`` bytes: the first candidate that is compatible."""
+        out = np.zeros(len(state), np.int32)
+        todo = np.arange(len(state))
+        at = self.first[state]
+        while len(todo):
+            length, t = self.lengths[at], self.tokens[at]
+            fits = length <= matched[todo]
+            before = np.where(fits, i - length, 0)
+            ask = np.flatnonzero(before > 0)
+            fits[ask] = self._apart(last[before[ask], columns[todo[ask]]], t[ask])
+            out[todo[fits]] = t[fits]
+            todo, at = todo[~fits], at[~fits] + 1
+        return out
+
+    def _apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        pair = left.astype(np.int64) << 32 | right
+        slot = (pair * 0x9E3779B1 >> 7) % PAIRS
+        out = self.seen_apart[slot]
+        new = np.flatnonzero(self.seen_pair[slot] != pair)
+        if len(new):
+            out[new] = found = self._stable(left[new], right[new])
+            self.seen_pair[slot[new]], self.seen_apart[slot[new]] = -1, False
+            # of pairs that share a slot one is remembered, with its own answer
+            keep = np.unique(slot[new], return_index=True)[1]
+            self.seen_pair[slot[new[keep]]], self.seen_apart[slot[new[keep]]] = pair[new[keep]], found[keep]
+        return out
+
+    def _stable(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``Merges.fresh`` of many pairs: undo merges along the border and look for an earlier one across."""
+        out = np.zeros(len(left), bool)
+        todo, before = np.arange(len(left)), np.full(len(left), np.inf)
+        while len(todo):
+            across = self.join.find(left.astype(np.int64) << 32 | right)
+            goes_on = (across < 0) | (self.rank[across] >= before)
+            l, r = self.rank[left], self.rank[right]
+            done = goes_on & (l < 0) & (r < 0)
+            out[todo[done]] = True
+            on = np.flatnonzero(goes_on & ~done)
+            todo, left, right, l, r = todo[on], left[on], right[on], l[on], r[on]
+            undo_left = (r < 0) | (l > r)
+            before = np.where(undo_left, l, r + 0.5)
+            left, right = np.where(undo_left, self.right[left], left), np.where(undo_left, right, self.left[right])
+        return out
 
 
-class _Runs:
-    """Ids of recent runs: two generations, bounded by the characters of their keys."""
+class _Recent:
+    """Packed ids of recent strings, none longer than ``LONGEST``: two generations of a bounded number."""
 
     def __init__(self, size: int):
-        self.size, self.young, self.old, self.held = size // 2, {}, {}, 0
+        self.size, self.young, self.old = size // 2, {}, {}
 
-    def find(self, run: str):
-        got = self.old.get(run)
-        if got is not None:
-            self.put(run, got)
-        return got
+    def find(self, keys: Iterable[str]) -> dict[str, bytes]:
+        young, old = self.young.get, self.old.get
+        found = {k: ids for k in keys if (ids := young(k) or old(k)) is not None}
+        self.put(found)
+        return found
 
-    def put(self, run: str, ids) -> None:
-        if self.held >= self.size:
-            self.old, self.young, self.held = self.young, {}, 0
-        self.young[run] = ids
-        self.held += len(run) + 8
+    def put(self, found: dict[str, bytes]) -> None:
+        if len(self.young) + len(found) > self.size:
+            self.old, self.young = self.young, {}
+        self.young.update({k: ids for k, ids in found.items() if len(k) <= LONGEST})
 
 
 class ByteBpe:
@@ -182,9 +326,14 @@ class ByteBpe:
             if t in rank:
                 raise ValueError("two merges make one token")
             rank[t], parts[t] = i, (vocab[a], vocab[b])
-        self.merges = Merges(join, rank, parts, PAIRS)
-        self.automaton = SuffixAutomaton({self.surface[i]: i for i in vocab.values()
-                                          if i in rank or len(self.surface[i]) == 1})
+        self.merges = Merges(join, rank, parts)
+        usable = {i for i in vocab.values() if i not in rank and len(self.surface[i]) == 1}
+        for t in sorted(rank, key=rank.__getitem__):
+            if usable.issuperset(parts[t]) and self.merges.reached(t):
+                usable.add(t)
+        self.whole = {self.surface[i]: i for i in usable}
+        self.automaton = SuffixAutomaton(self.whole)
+        self.side_by_side = SideBySide(self.automaton, self.merges, size)
         self.special = {}
         for t in spec["added_tokens"]:
             if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]:
@@ -196,28 +345,27 @@ class ByteBpe:
         space = r"\p{White_Space}"
         self.words = regex.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?\p{{L}}+| ?\p{{N}}+| ?[^{space}\p{{L}}\p{{N}}]+"
                                    rf"|{space}+(?!\P{{White_Space}})|{space}+").findall
-        self.runs = _Runs(MEMORY)
+        self.runs, self.cache = _Recent(RUNS), _Recent(WORDS)
 
     def word(self, s: bytes) -> list[int]:
         """Ids of one pre-token: the last token of every prefix, then the way back."""
-        n = len(s)
-        last = [-1] * (n + 1)
-        size = [0] * (n + 1)
-        seen, stable = self.merges.seen, self.merges.stable
-        for i, (matched, candidates) in enumerate(self.automaton.read(s), 1):
-            for length, t in candidates:
-                if length > matched:
-                    continue
+        auto, stable = self.automaton, self.merges.stable
+        step, link, longest, ends = auto.step, auto.link, auto.length, auto.ends
+        n, state, matched = len(s), 0, 0
+        last, size = [-1] * (n + 1), [0] * (n + 1)
+        for i, b in enumerate(s, 1):
+            to = step.get(state << 8 | b)
+            while to is None:
+                state = link[state]
+                matched = longest[state]
+                to = step.get(state << 8 | b)
+            state = to
+            matched += 1
+            for length, t in ends[state]:
                 j = i - length
-                if j:
-                    left = last[j]
-                    free = seen.get((left, t))
-                    if free is None:
-                        free = stable(left, t)
-                    if not free:
-                        continue
-                last[i], size[i] = t, length
-                break
+                if length <= matched and (not j or stable(last[j], t)):
+                    last[i], size[i] = t, length
+                    break
         out = []
         while n:
             out.append(last[n])
@@ -225,44 +373,71 @@ class ByteBpe:
         out.reverse()
         return out
 
-    def run(self, run: str) -> list[int]:
-        out: list[int] = []
-        for w in self.words(run):
-            out += self.word(w.encode())
+    def _packed(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of pre-tokens: remembered ones, whole tokens, very long ones by themselves, the rest side by side."""
+        out = self.cache.find(words)
+        raw = {w.encode(): w for w in words if w not in out}
+        new = {raw[r]: _pack([self.whole[r]]) for r in raw if r in self.whole}
+        rest = sorted(r for r in raw if r not in self.whole)
+        few = len(rest) < FEW
+        for r in rest:
+            if few or len(r) > 4 * LONGEST:
+                new[raw[r]] = _pack(self.word(r))
+        rest = [] if few else [r for r in rest if len(r) <= 4 * LONGEST]
+        new.update(zip([raw[r] for r in rest], self.side_by_side.words(rest)))
+        self.cache.put(new)
+        return out | new
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Packed ids (32 bits each) of each text; a null text has none."""
+        plans, heads, wanted = [], {}, set()
+        for text in texts:
+            plan: list = []  # packed special ids, and lists of runs
+            if text:
+                special = any(s in text for s in self.special)
+                for k, part in enumerate(self.cut_special(text) if special else [text]):
+                    if k % 2:
+                        plan.append(_pack([self.special[part]]))
+                    elif part:
+                        runs = _CUT(part) if _ODD_SPACE(part) else part.split(" ")
+                        plan.append(runs)
+                        if runs[0] not in heads:
+                            heads[runs[0]] = self.words(runs[0])
+                        wanted.update(runs[1:])
+            plans.append(plan)
+        # ids of every distinct run of the batch
+        ids_of = self.runs.find(wanted)
+        alone, marked, mixed = {}, {}, {}
+        for run in wanted:
+            if run not in ids_of:
+                plain = _PLAIN(run)
+                if plain is None:
+                    mixed[run] = self.words(" " + run)
+                elif plain[2]:
+                    marked[run] = " " + plain[1]
+                else:
+                    alone[run] = " " + run
+        known = self._packed({*alone.values(), *marked.values(), *MARKS,
+                              *chain.from_iterable(chain(mixed.values(), heads.values()))})
+        new = {run: known[w] for run, w in alone.items()}
+        new |= {run: known[w] + known[run[-1]] for run, w in marked.items()}
+        new |= {run: b"".join([known[w] for w in ws]) for run, ws in mixed.items()}
+        self.runs.put(new)
+        ids_of |= new
+        out = []
+        for plan in plans:
+            parts = []
+            for part in plan:
+                if isinstance(part, bytes):
+                    parts.append(part)
+                else:
+                    parts += [known[w] for w in heads[part[0]]]
+                    parts += [ids_of[run] for run in part[1:]]
+            out.append(b"".join(parts))
         return out
 
-    def plain(self, text: str, out: list[int]) -> None:
-        """Append the ids of a text without special strings."""
-        if _ODD_SPACE(text):
-            first, *rest = _CUT(text)
-        else:
-            first, *rest = text.split(" ")
-        if first:
-            out += self.run(first)
-        runs = self.runs
-        for run in rest:
-            ids = runs.young.get(run)
-            if ids is None:
-                ids = runs.find(run)
-                if ids is None:
-                    ids = self.run(" " + run)
-                    if len(run) <= LONGEST_RUN:
-                        runs.put(run, ids)
-            out += ids
-
     def encode(self, text: str | None) -> list[int]:
-        out: list[int] = []
-        if not text:
-            return out
-        if any(s in text for s in self.special):
-            for k, part in enumerate(self.cut_special(text)):
-                if k % 2:
-                    out.append(self.special[part])
-                elif part:
-                    self.plain(part, out)
-        else:
-            self.plain(text, out)
-        return out
+        return np.frombuffer(self.encode_all([text])[0], "<i4").tolist()
 
     def decode(self, ids) -> str:
         surface = self.surface
@@ -272,6 +447,13 @@ class ByteBpe:
 #: A space before white space or the end, where ``str.split`` at spaces would cut inside a run of white space.
 _ODD_SPACE = re.compile(r" (?:\s|\Z)").search
 _CUT = re.compile(r" (?=\S)").split
+#: Latin letters, then at most one mark: two pre-tokens at most, whatever the version of the character tables.
+MARKS = ".,;:!?"
+_PLAIN = re.compile(rf"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+)([{MARKS}]?)\Z").match
+
+
+def _pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}i", *ids)
 
 
 def _bytes_by_letter() -> dict[str, int]:
@@ -292,13 +474,10 @@ def token_ids(path: str, text: Column) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = byte_bpe(path)
         for texts in batches:
-            sizes, flat = np.zeros(len(texts) + 1, np.int32), []
-            for k, t in enumerate(texts, 1):
-                ids = bpe.encode(t.as_py())
-                sizes[k] = len(ids)
-                flat.append(np.array(ids, np.int32))
-            values = np.concatenate(flat) if flat else np.zeros(0, np.int32)
-            yield pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), pa.array(values))
+            ids = bpe.encode_all(texts.to_pylist())
+            ends = np.cumsum([0, *map(len, ids)], dtype=np.int64) // 4
+            yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)),
+                                           pa.array(np.frombuffer(b"".join(ids), "<i4")))
     return encode(text)
 
 

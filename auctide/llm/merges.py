@@ -32,9 +32,17 @@ class Merges:
             got = self.seen[key] = self._stable(left, right)
         return got
 
-    def _stable(self, left, right) -> bool:
+    def fresh(self, left, right) -> bool:
+        """``stable`` without the memory, for callers that keep their own."""
+        return self._stable(left, right)
+
+    def reached(self, token) -> bool:
+        """Whether merging a token's own text ends with the token; its parts are taken to be reached."""
+        return token not in self.parts or self._stable(*self.parts[token], self.rank[token])
+
+    def _stable(self, left, right, before: float = float("inf")) -> bool:
+        """``before``: a crossing merge below this rank would have come first."""
         join, rank, parts = self.join, self.rank, self.parts
-        before = float("inf")  # a crossing merge below this bound would have come first
         while True:
             crossing = join.get((left, right))
             if crossing is not None and rank[crossing] < before:
