@@ -197,30 +197,33 @@ def round_half_up(c: Column, digits: int) -> Column:
     return F.when(F.abs(c) < ROUND_LIMIT, F.floor(c * scale + 0.5) / scale).otherwise(c)
 
 
-SIGNIFICANT, TINY = 7, 1e-12
+SIGNIFICANT, TINY = 9, 1e-12
 
 
-def round_stable(c: Column, digits: int) -> Column:
-    """At least ``digits`` decimals and at least ``SIGNIFICANT`` significant digits.
+def round_stable(c: Column, digits: int, significant: int = SIGNIFICANT) -> Column:
+    """At least ``digits`` decimals and at least ``significant`` significant digits.
 
     Small values get more decimals, so a column of ratios around 1e-7 keeps
     its values; magnitudes below ``TINY`` are floating-point noise and become 0.
     """
     size = F.abs(c)
-    places = F.greatest(F.lit(float(digits)), F.lit(SIGNIFICANT - 1.0) - F.floor(F.log10(size)))
+    places = F.greatest(F.lit(float(digits)), F.lit(significant - 1.0) - F.floor(F.log10(size)))
     scale = F.pow(F.lit(10.0), places)
     return (F.when(size < TINY, F.lit(0.0)).when(size < ROUND_LIMIT, F.floor(c * scale + 0.5) / scale)
             .otherwise(c))
 
 
-def round_doubles(df, digits: int = 6, overrides: dict[str, int] | None = None):
-    """Round floating columns for cross-engine comparison (``round_stable``); columns in
-    ``overrides``, whose values carry cancellation noise, to absolute decimals (``round_half_up``)."""
+def round_doubles(df, digits: int = 6, overrides: dict[str, int] | None = None,
+                  significant: Callable[[str], int] = lambda name: SIGNIFICANT):
+    """Round floating columns for cross-engine comparison (``round_stable`` with the column's
+    ``significant`` digits); columns in ``overrides``, whose values carry cancellation noise, to
+    absolute decimals (``round_half_up``)."""
     from pyspark.sql import types as T
     overrides = overrides or {}
     out = {}
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             c = F.col(f"`{f.name}`")
-            out[f.name] = round_half_up(c, overrides[f.name]) if f.name in overrides else round_stable(c, digits)
+            out[f.name] = (round_half_up(c, overrides[f.name]) if f.name in overrides
+                           else round_stable(c, digits, significant(f.name)))
     return df.withColumns(out) if out else df

@@ -2,20 +2,21 @@
 
 A window ``PARTITION BY stock_id ORDER BY time_id`` sends every row of a stock
 to one task; with one stock holding a third of the data that task is the job.
-Here a stock's series is cut into chunks -- one per (stock_id, date_id), at
-most 55 rows each because seconds_in_bucket <= 540 in steps of 10 and
-(stock, date, second) is a key -- and each chunk gets a *halo*: the ``lookback``
-rows that precede it in the stock's series, whichever earlier chunks they sit
-in. Window expressions are then evaluated over ``PARTITION BY (stock_id,
-chunk)``; with ``lookback`` at least the longest reach of the expressions, the
-values on the chunk's own rows are exact. Halo rows are dropped afterwards.
+Here a stock's series is cut into blocks of whole dates with about ``ROWS`` rows
+each, by the number of rows that come before a date. Window expressions are
+evaluated over ``PARTITION BY (stock_id, block)``, where a block also holds a
+*halo*: the dates before it that its first ``lookback`` earlier rows lie in.
+With ``lookback`` at least the longest reach of the expressions, the values on
+the block's own rows are exact; halo rows are dropped afterwards. A halo is
+some dates against some hundred rows.
 
 Forward fill has no bounded reach, so it is done in two levels: the last
-non-NULL value inside the chunk so far, else the last non-NULL value of the
-earlier chunks, carried along the small per-chunk table.
+non-NULL value inside the block so far, else the last non-NULL value of the
+earlier dates, carried along the small per-date table.
 
-The per-chunk table holds one row per (stock, date); its windows are the only
-per-stock sequential step and see 1/55 of a stock's rows with 4-6 columns.
+The per-date table holds one row per (stock, date); its windows are the only
+per-stock sequential step and see a fraction of a stock's rows with a few
+columns. A window over single dates needs no halo (``day_window``).
 """
 
 from __future__ import annotations
@@ -28,11 +29,14 @@ from pyspark.sql import functions as F
 Stage = Callable[[WindowSpec], dict[str, Column]]
 
 KEY, CHUNK, ORDER = "stock_id", "date_id", "time_id"
+#: Column with the number of a row's block, and rows of a block.
+BLOCK, ROWS = "_block", 512
 
 
-def day_window(key: str = KEY, chunk: str = CHUNK, order: str = ORDER) -> WindowSpec:
-    """Per (stock, date) window: bounded groups, evaluated directly."""
-    return Window.partitionBy(key, chunk).orderBy(order)
+def day_window(key: str = KEY, chunk: str = CHUNK, order: str = ORDER, block: str | None = None) -> WindowSpec:
+    """Per (stock, date) window: bounded groups, evaluated directly. After ``stock_windows`` with
+    ``keep_block`` the column ``block`` saves a shuffle and a sort: a date lies in one block."""
+    return Window.partitionBy(key, *([block] if block else []), chunk).orderBy(order)
 
 
 def apply_stages(df: DataFrame, w: WindowSpec, stages: Sequence[Stage]) -> DataFrame:
@@ -41,44 +45,37 @@ def apply_stages(df: DataFrame, w: WindowSpec, stages: Sequence[Stage]) -> DataF
     return df
 
 
-def _chunk_positions(df: DataFrame, ffill: Sequence[str], key: str, chunk: str,
-                     order: str) -> tuple[DataFrame, DataFrame]:
-    """Rows with their position inside the stock's series, and the per-chunk table."""
-    wc = Window.partitionBy(key, chunk).orderBy(order)
-    whole = wc.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    upto = wc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cols = {"_rn": F.row_number().over(wc), "_cnt": F.count(F.lit(1)).over(whole)}
-    for c in ffill:
-        cols[f"_ffw_{c}"] = F.last(c, ignorenulls=True).over(upto)
-    rows = df.withColumns(cols)
-
-    # per-chunk table by a hash aggregate over a narrow projection (partial aggregation);
-    # max_by skips NULL orderings, so it yields the chunk's last non-NULL value
+def _per_chunk(df: DataFrame, ffill: Sequence[str], key: str, chunk: str, order: str) -> DataFrame:
+    """The per-date table: rows (``_cnt``), rows before (``_start``) and last known values before (``_carry_*``)."""
+    # a hash aggregate over a narrow projection (partial aggregation); max_by skips NULL
+    # orderings, so it yields the date's last non-NULL value
     ends = df.groupBy(key, chunk).agg(
         F.count(F.lit(1)).alias("_cnt"),
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_cl_{c}") for c in ffill])
     wk = Window.partitionBy(key).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    chunks = ends.withColumns({
+    return ends.withColumns({
         "_start": F.coalesce(F.sum("_cnt").over(wk), F.lit(0)).cast("long"),
         **{f"_carry_{c}": F.last(f"_cl_{c}", ignorenulls=True).over(wk) for c in ffill},
     }).drop(*[f"_cl_{c}" for c in ffill])
-    return rows, chunks
+
+
+def _filled(columns: Sequence[str], suffix: str, w: WindowSpec) -> dict[str, Column]:
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return {f"{c}{suffix}": F.coalesce(F.last(c, ignorenulls=True).over(upto), F.col(f"_carry_{c}")) for c in columns}
 
 
 def ffill_columns(df: DataFrame, columns: Sequence[str], suffix: str = "_ffill", key: str = KEY,
                   chunk: str = CHUNK, order: str = ORDER) -> DataFrame:
     """Forward fill per ``key`` in ``order`` (unbounded reach), without a per-key task."""
-    rows, chunks = _chunk_positions(df, columns, key, chunk, order)
-    carry = chunks.select(key, chunk, *[f"_carry_{c}" for c in columns])
-    out = rows.join(carry, [key, chunk])
-    out = out.withColumns({f"{c}{suffix}": F.coalesce(F.col(f"_ffw_{c}"), F.col(f"_carry_{c}"))
-                           for c in columns})
-    return out.drop("_rn", "_cnt", *[f"_ffw_{c}" for c in columns], *[f"_carry_{c}" for c in columns])
+    carry = [f"_carry_{c}" for c in columns]
+    out = df.join(_per_chunk(df, columns, key, chunk, order).select(key, chunk, *carry), [key, chunk])
+    return out.withColumns(_filled(columns, suffix, day_window(key, chunk, order))).drop(*carry)
 
 
 def stock_windows(df: DataFrame, stages: Sequence[Stage], lookback: int,
                   ffill: Sequence[str] = (), ffill_suffix: str = "_ffill",
-                  key: str = KEY, chunk: str = CHUNK, order: str = ORDER) -> DataFrame:
+                  key: str = KEY, chunk: str = CHUNK, order: str = ORDER, rows: int = ROWS,
+                  keep_block: bool = False) -> DataFrame:
     """Evaluate window ``stages`` as if over ``PARTITION BY key ORDER BY order``.
 
     ``stages`` are callables ``w -> {name: Column}`` applied one after another
@@ -87,47 +84,50 @@ def stock_windows(df: DataFrame, stages: Sequence[Stage], lookback: int,
     largest number of earlier rows any expression reaches. ``ffill`` columns
     get a forward-filled twin ``{c}{ffill_suffix}`` before the stages run.
     ``order`` must sort chunks the same way ``chunk`` does (time_id vs date_id).
+    ``rows``: about how many rows a block has. The output is partitioned by
+    ``key`` and block; ``keep_block`` leaves the block's number in ``BLOCK``.
     """
     if lookback < 1:
         raise ValueError("lookback must be >= 1")
-    rows, chunks = _chunk_positions(df, ffill, key, chunk, order)
-    rows = rows.join(chunks.select(key, chunk, "_start", *[f"_carry_{c}" for c in ffill]), [key, chunk])
-    rows = rows.withColumns({
-        "_pos": F.col("_start") + F.col("_rn") - 1,
-        "_tail": F.col("_cnt") - F.col("_rn"),
-        **{f"{c}{ffill_suffix}": F.coalesce(F.col(f"_ffw_{c}"), F.col(f"_carry_{c}")) for c in ffill},
-    }).drop("_rn", "_cnt", "_start", *[f"_ffw_{c}" for c in ffill], *[f"_carry_{c}" for c in ffill])
-
-    # positions each chunk needs from earlier chunks: [start - lookback, start - 1]
-    need = (chunks.filter(F.col("_start") > 0)
-            .select(F.col(key).alias("_nk"), F.col(chunk).alias("_target"),
-                    F.explode(F.sequence(F.greatest(F.col("_start") - lookback, F.lit(0)).cast("long"),
-                                         F.col("_start") - 1)).alias("_p")))
-    cand = rows.filter(F.col("_tail") < lookback)
-    # a halo row takes the chunk value of the chunk it serves, so the final window (and its
-    # output partitioning) is on (key, chunk) itself and later per-chunk windows reuse it
-    halo = (cand.join(need, (cand[key] == need["_nk"]) & (cand["_pos"] == need["_p"]))
-            .withColumn(chunk, F.col("_target"))
-            .drop("_nk", "_p", "_target").withColumn("_halo", F.lit(True)))
-    own = rows.withColumn("_halo", F.lit(False))
-    both = own.unionByName(halo)
-
-    w = Window.partitionBy(key, chunk).orderBy(order)
-    out = apply_stages(both, w, stages)
-    return out.filter(~F.col("_halo")).drop("_halo", "_pos", "_tail")
-
-
-def tail_per_key(df: DataFrame, n: int, key: str = KEY, chunk: str = CHUNK,
-                 order: str = ORDER) -> DataFrame:
-    """Last ``n`` rows of each ``key`` by ``order`` (``groupby(key).tail(n)``).
+    carry = [f"_carry_{c}" for c in ffill]
+    wk = Window.partitionBy(key).orderBy(chunk)
+    dates = _per_chunk(df, ffill, key, chunk, order).withColumn("_own", F.floor(F.col("_start") / rows))
+    dates = dates.withColumn("_opens", F.coalesce(F.lag("_own").over(wk) != F.col("_own"), F.lit(True)))
+    # a date serves the blocks that open within `lookback` rows after its last row; as a date has a row
+    # at least, these open within as many dates
+    ahead = F.collect_list(F.when(F.col("_opens"), F.struct("_start", "_own"))).over(wk.rowsBetween(1, lookback))
+    reach = F.filter(ahead, lambda b: b["_start"] - lookback < F.col("_start") + F.col("_cnt"))
+    dates = dates.withColumn("_in", F.concat(F.array("_own"), F.transform(reach, lambda b: b["_own"])))
+
+    both = (df.join(dates.select(key, chunk, "_own", "_in", *carry), [key, chunk])
+            .withColumn(BLOCK, F.explode("_in")).drop("_in"))
+    w = Window.partitionBy(key, BLOCK).orderBy(chunk, order)
+    if ffill:
+        both = both.withColumns(_filled(ffill, ffill_suffix, w)).drop(*carry)
+    out = apply_stages(both, w, stages).filter(F.col(BLOCK) == F.col("_own")).drop("_own")
+    return out if keep_block else out.drop(BLOCK)
+
+
+def rank_from_end(df: DataFrame, key: str = KEY, chunk: str = CHUNK, order: str = ORDER,
+                  within: int | None = None) -> DataFrame:
+    """``df`` with ``_rk``: 1 for the last row of each ``key`` by ``order``, 2 for the one before, and so on.
 
     Rows are ranked from the end inside their chunk; the per-chunk table adds
-    the number of rows in later chunks. No key is gathered in one task.
+    the number of rows in later chunks. No key is gathered in one task. Only
+    chunks with a rank up to ``within`` are kept, if given.
     """
     wc = Window.partitionBy(key, chunk).orderBy(F.col(order).desc())
     rows = df.withColumn("_rk", F.row_number().over(wc))
     counts = df.groupBy(key, chunk).agg(F.count(F.lit(1)).alias("_cnt"))
     wk = Window.partitionBy(key).orderBy(F.col(chunk).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    later = counts.withColumn("_later", F.coalesce(F.sum("_cnt").over(wk), F.lit(0))).filter(F.col("_later") < n)
+    later = counts.withColumn("_later", F.coalesce(F.sum("_cnt").over(wk), F.lit(0)))
+    if within is not None:
+        later = later.filter(F.col("_later") < within)
     return (rows.join(later.select(key, chunk, "_later"), [key, chunk])
-            .filter(F.col("_later") + F.col("_rk") <= n).drop("_rk", "_later"))
+            .withColumn("_rk", F.col("_rk") + F.col("_later")).drop("_later"))
+
+
+def tail_per_key(df: DataFrame, n: int, key: str = KEY, chunk: str = CHUNK,
+                 order: str = ORDER) -> DataFrame:
+    """Last ``n`` rows of each ``key`` by ``order`` (``groupby(key).tail(n)``)."""
+    return rank_from_end(df, key, chunk, order, within=n).filter(F.col("_rk") <= n).drop("_rk")

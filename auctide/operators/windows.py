@@ -5,7 +5,7 @@ Two partitionings occur in the reference:
     at most 55 rows, so a plain window is used;
   * per stock across days -- lags, differences, returns and rolling
     statistics of v2 and the notebook; these go through
-    ``series.stock_windows`` (chunks with look-back halos) so no stock is
+    ``series.stock_windows`` (blocks with look-back halos) so no stock is
     gathered in one task.
 All frames are ROWS frames ordered by ``time_id``.
 """
@@ -61,9 +61,9 @@ def wap_lag_block(w: WindowSpec, on_zero: str = "null") -> dict[str, Column]:
 
 
 def v1_rolling(df: DataFrame, columns: Sequence[str] = ("wap", *V1_ROLL_COLUMNS),
-               with_wap_lags: bool = True, on_zero: str = "null") -> DataFrame:
+               with_wap_lags: bool = True, on_zero: str = "null", block: str | None = None) -> DataFrame:
     """v1 rolling features per (stock, date): 7 per column, plus wap lags and lag ratios."""
-    w = day_window()
+    w = day_window(block=block)
     first, second = {}, {}
     for c in columns:
         a, b = rolling_block(c, w)
@@ -204,5 +204,5 @@ def file_order_movement(df: DataFrame) -> DataFrame:
     place = F.col("time_id").cast("long") * F.lit(1 << 32) + F.col("stock_id")
     d = df.withColumns({"_all": F.lit(0), "_at": place})
     out = stock_windows(d, [lambda w: {"mid_price_movement": sign_int(diff("mid_price", w, 5))}], 5,
-                        key="_all", chunk="time_id", order="_at")
+                        key="_all", chunk="time_id", order="_at", rows=8192)
     return out.drop("_all", "_at")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from auctide.functions.expr import clean_inf
 from auctide.operators import book, joins, windows
 from auctide.operators.aggregates import add_stock_unit_stats, global_stock_stats, stock_unit_stats
-from auctide.operators.series import stock_windows
+from auctide.operators.series import BLOCK, stock_windows
 
 
 def _window_inputs(df: DataFrame) -> DataFrame:
@@ -29,9 +29,9 @@ def features_v1(df: DataFrame, weights: DataFrame, keep_stock_id: bool = False,
                 parity: bool = False, stats: DataFrame | None = None) -> DataFrame:
     """v1: windows inside (stock, date); division by zero gives NULL.
 
-    Plan order: all window work first on the narrow panel (the chunked per-stock
-    stage leaves the rows partitioned by (stock_id, date_id), which the
-    per-day rolling stage reuses without another exchange), then the wide
+    Plan order: all window work first on the narrow panel (the per-stock stage
+    leaves the rows partitioned and sorted by (stock_id, block, date_id), which
+    the per-day rolling stage reuses without another exchange), then the wide
     per-row projections. ``parity=True`` reproduces the two name-binding slips
     of the reference: ``imbalance_momentum`` overwrites ``imbalance_size`` and
     ``spread_depth_ratio`` overwrites ``ask_price``, and later steps read the
@@ -45,8 +45,8 @@ def features_v1(df: DataFrame, weights: DataFrame, keep_stock_id: bool = False,
         stats = stock_unit_stats(df)
     df = joins.add_index_wap(df)
     df = _window_inputs(df)
-    df = stock_windows(df, [windows.momentum_stage(z, with_wap_momentum=False)], lookback=5)
-    df = windows.v1_rolling(df, on_zero=z)
+    df = stock_windows(df, [windows.momentum_stage(z, with_wap_momentum=False)], lookback=5, keep_block=True)
+    df = windows.v1_rolling(df, on_zero=z, block=BLOCK).drop(BLOCK)
     df = joins.add_weighted_wap(df)
     df = book.pair_features(df, book.PRICES_V1_COMBOS, z)
     df = book.triplet_features(df, book.PRICES_V1_COMBOS, z, nulls="skip" if parity else "strict")

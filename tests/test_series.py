@@ -31,10 +31,39 @@ def test_stock_windows_equal_plain_window(spark):
     plain = df.withColumns(_stages(w))
     st2 = lambda w: {"y_d2_s4": roll_std("y_d2", 4, w)}
     plain = plain.withColumns(st2(w))
-    chunked = stock_windows(df, [_stages, st2], lookback=5)
     a = plain.orderBy("stock_id", "time_id").toPandas()
-    b = chunked.select(*a.columns).orderBy("stock_id", "time_id").toPandas()
-    pd.testing.assert_frame_equal(a, b)
+    for rows in (1, 2, 7, 512):  # blocks of one date each, of a few, and one block per stock
+        chunked = stock_windows(df, [_stages, st2], lookback=5, rows=rows)
+        b = chunked.select(*a.columns).orderBy("stock_id", "time_id").toPandas()
+        pd.testing.assert_frame_equal(a, b)
+
+
+def test_blocks_with_crowded_and_thin_dates(spark):
+    """A date larger than a block, and blocks smaller than the reach."""
+    sizes = [1, 30, 1, 1, 2, 25, 1, 1, 1, 1, 40, 3]
+    rows, t = [], 0
+    for date, n in enumerate(sizes):
+        for _ in range(n):
+            rows.append((1, date, t, float(t * t % 17), None if t % 9 else float(t)))
+            t += 1
+    df = spark.createDataFrame(rows, "stock_id int, date_id int, time_id int, y double, x double")
+    w = Window.partitionBy("stock_id").orderBy("time_id")
+    st = lambda w: {"y_l12": F.lag("y", 12).over(w), "y_m6": roll_mean("y", 6, w),
+                    "x_l9": F.lag("x_ffill", 9).over(w)}
+    filled = F.last("x", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    a = df.withColumn("x_ffill", filled).withColumns(st(w)).orderBy("time_id").toPandas()
+    for size in (3, 10, 50):
+        b = stock_windows(df, [st], 12, ffill=["x"], rows=size).select(*a.columns).orderBy("time_id").toPandas()
+        pd.testing.assert_frame_equal(a, b)
+
+
+def test_halo_is_small(spark, panel):
+    """Rows that the windows see beyond the panel's own: under a tenth."""
+    seen = stock_windows(panel, [lambda w: {"n": F.count(F.lit(1)).over(w.rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing))}], 19, keep_block=True)
+    per = seen.groupBy("stock_id", "_block").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("own"))
+    all_, own = per.agg(F.sum("n"), F.sum("own")).first()
+    assert own == panel.count() and own <= all_ < 1.1 * own
 
 
 def test_ffill_unbounded(spark):

@@ -81,7 +81,7 @@ def test_no_per_stock_window_over_the_panel(spark, panel):
     for line in plan.splitlines():
         if "Window [" in line and "windowspecdefinition(stock_id" in line:
             spec = line.split("windowspecdefinition(")[1]
-            if not spec.split(",")[1].strip().startswith("date_id"):
-                # not a (stock, date) window: must run on a small table -- the chunk table
-                # (start offsets / carried values) or the median's bucket counts
-                assert any(t in line for t in ("_start", "_carry_", "sum(_c#", "sum(_vc#")), line
+            if not spec.split(",")[1].strip().startswith(("date_id", "_block")):
+                # neither a (stock, date) nor a (stock, block) window: must run on a small table -- the
+                # per-date table (rows before / carried values / blocks ahead) or the median's bucket counts
+                assert any(t in line for t in ("_start", "_carry_", "_own", "_opens", "sum(_c#", "sum(_vc#")), line
