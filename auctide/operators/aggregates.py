@@ -13,14 +13,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from auctide.session import stored
+
 
 def _medians(df: DataFrame, cols, how: str) -> DataFrame:
     """Per-stock medians of ``cols`` as one row per stock (``median_{c}`` columns)."""
-    if how == "distributed":
+    if how in ("distributed", "descent"):
         long = df.select("stock_id", F.explode(F.array(*[
             F.struct(F.lit(c).alias("_var"), F.col(c).cast("double").alias("_v")) for c in cols])).alias("_s"))
         long = long.select("stock_id", "_s._var", "_s._v")
-        med = distributed_median(long, ["stock_id", "_var"], "_v", name="_med")
+        find = distributed_median if how == "distributed" else median_by_descent
+        med = find(long, ["stock_id", "_var"], "_v", name="_med")
         wide = med.groupBy("stock_id").pivot("_var", list(cols)).agg(F.first("_med"))
         return wide.select("stock_id", *[F.col(c).alias(f"median_{c}") for c in cols])
     f = (lambda c: F.percentile_approx(c, 0.5, 10000)) if how == "approx" else F.median
@@ -32,7 +35,8 @@ def stock_unit_stats(df: DataFrame, median: str = "distributed", ptp_price: str
     """Six per-stock statistics of sizes and prices.
 
     ``median``: ``"distributed"`` (exact, no group gathered in one task; default),
-    ``"exact"`` (``F.median``, buffers a group's values), ``"approx"`` (sketch).
+    ``"descent"`` (the same for values of any distribution, runs jobs), ``"exact"``
+    (``F.median``, buffers a group's values), ``"approx"`` (sketch).
     ``ptp_price="bid"``: max(bid_price) - min(bid_price) (v1, v2);
     ``ptp_price="bid-ask"``: max(bid_price) - min(ask_price) (notebook).
     """
@@ -114,6 +118,17 @@ def mae_by(df: DataFrame, label: str, prediction: str, by: Sequence[str]) -> Dat
 MEDIAN_STEPS = 64
 
 
+def _value_counts(df: DataFrame, g: list[str], col: str) -> DataFrame:
+    """``g, _x, _vc``: the values of each group and how often they occur."""
+    return (df.select(*g, F.col(col).alias("_x")).filter(F.col("_x").isNotNull())
+            .groupBy(*g, "_x").agg(F.count(F.lit(1)).alias("_vc")))
+
+
+def _octave_step(x: Column) -> Column:
+    return F.when(x == 0, F.lit(0)).otherwise(
+        F.signum(x).cast("int") * (F.floor(F.log2(F.abs(x)) * MEDIAN_STEPS) + F.lit(100_000)))
+
+
 def distributed_median(df: DataFrame, group, col: str, name: str | None = None) -> DataFrame:
     """Exact interpolated median of ``col`` per ``group`` without one task holding a group.
 
@@ -124,15 +139,12 @@ def distributed_median(df: DataFrame, group, col: str, name: str | None = None)
        buckets of the two middle ranks;
     3. ranks inside those buckets only, by a window over (group, bucket).
     One lazy plan: the value counts are shuffled once and reused. The result
-    equals ``F.median`` (interpolation between the two middle values).
+    equals ``F.median`` (interpolation between the two middle values). Where a
+    group may have very many values within 1/64 octave, use ``median_by_descent``.
     """
     name = name or f"median_{col}"
     g = [group] if isinstance(group, str) else list(group)
-    x = F.col("_x")
-    step = F.when(x == 0, F.lit(0)).otherwise(
-        F.signum(x).cast("int") * (F.floor(F.log2(F.abs(x)) * MEDIAN_STEPS) + F.lit(100_000)))
-    vals = (df.select(*g, F.col(col).alias("_x")).filter(F.col("_x").isNotNull())
-            .groupBy(*g, "_x").agg(F.count(F.lit(1)).alias("_vc")).withColumn("_k", step))
+    vals = _value_counts(df, g, col).withColumn("_k", _octave_step(F.col("_x")))
     wg = Window.partitionBy(*g)
     wk = wg.orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
     buckets = (vals.groupBy(*g, "_k").agg(F.sum("_vc").alias("_c"))
@@ -152,3 +164,59 @@ def distributed_median(df: DataFrame, group, col: str, name: str | None = None)
     med = F.when(F.col("_lo") == F.col("_hi"), F.col("_vlo")).otherwise(
         0.5 * F.col("_vlo") + 0.5 * F.col("_vhi"))
     return picked.select(*g, med.alias(name))
+
+
+#: Parts of a range in one step of the descent; values that a last step may rank in one task.
+SPLIT, FEW_VALUES = 1024, 100_000
+
+
+def median_by_descent(df: DataFrame, group, col: str, name: str | None = None, few: int = FEW_VALUES) -> DataFrame:
+    """Exact interpolated median of ``col`` per ``group``, whatever the distribution of a group's values.
+
+    As in ``distributed_median`` the first step finds, per group, the ranges of
+    1/64 octave that hold the two middle ranks. While some range holds more than
+    ``few`` values it is cut into ``SPLIT`` equal parts between its smallest and
+    its largest value, and the part that holds the rank is kept. Doubles are
+    evenly spaced inside such a range, so five steps at most reach single values.
+    Each step is an aggregate of counts per part over the values still in a
+    range; the ranges, one or two per group, are a table.
+    """
+    name = name or f"median_{col}"
+    g = [group] if isinstance(group, str) else list(group)
+    x = F.col("_x")
+    vals = stored(_value_counts(df, g, col).withColumn("_k", _octave_step(x)), "median-values")
+
+    def narrow(near: DataFrame, keys: list[str]) -> DataFrame:
+        """Per rank (``g, _r``) the part of its range that holds it: bounds, rows before it, values in it."""
+        part = near.groupBy(*g, "_r", *keys).agg(F.sum("_vc").alias("_c"), F.count(F.lit(1)).alias("_values"),
+                                                 F.min("_x").alias("_min"), F.max("_x").alias("_max"),
+                                                 F.first("_before").alias("_base"))
+        before = F.sum("_c").over(Window.partitionBy(*g, "_r").orderBy(keys[-1])
+                                  .rowsBetween(Window.unboundedPreceding, -1))  # as many rows as parts
+        part = part.withColumn("_before", F.col("_base") + F.coalesce(before, F.lit(0)))
+        inside = (F.col("_r") >= F.col("_before")) & (F.col("_r") < F.col("_before") + F.col("_c"))
+        return stored(part.filter(inside).select(*g, "_r", "_min", "_max", "_before", "_values"), "median-ranges")
+
+    n = vals.groupBy(*g).agg(F.sum("_vc").alias("_n"))
+    pos = (F.col("_n") - 1) / 2.0
+    ranks = n.select(*g, F.explode(F.array_distinct(F.array(F.floor(pos), F.ceil(pos)))).alias("_r"))
+    steps = vals.groupBy(*g, "_k").agg(F.sum("_vc").alias("_vc"), F.min("_x").alias("_x"), F.max("_x").alias("_top"),
+                                       F.count(F.lit(1)).alias("_values"))
+    # the first step reads the counts per range of 1/64 octave instead of the values
+    wk = Window.partitionBy(*g, "_r").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    first = steps.join(ranks, g).withColumn("_before", F.coalesce(F.sum("_vc").over(wk), F.lit(0)))
+    ranges = stored(first.filter((F.col("_r") >= F.col("_before")) & (F.col("_r") < F.col("_before") + F.col("_vc")))
+                    .select(*g, "_r", F.col("_x").alias("_min"), F.col("_top").alias("_max"), "_before", "_values"),
+                    "median-ranges")
+    values = vals.select(*g, "_x", "_vc")
+    while (ranges.agg(F.max(F.when(F.col("_min") < F.col("_max"), F.col("_values")))).first()[0] or 0) > few:
+        near = values.join(ranges, g).filter(x.between(F.col("_min"), F.col("_max")))
+        width = F.col("_max") - F.col("_min")
+        part = F.when(width > 0, F.least(F.floor((x - F.col("_min")) / width * SPLIT), F.lit(SPLIT - 1))).otherwise(F.lit(0))
+        ranges = narrow(near.withColumn("_part", part), ["_part"])
+    near = values.join(ranges, g).filter(x.between(F.col("_min"), F.col("_max")))
+    upto = Window.partitionBy(*g, "_r").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = (near.withColumn("_cum", F.col("_before") + F.sum("_vc").over(upto)).filter(F.col("_cum") > F.col("_r"))
+             .groupBy(*g, "_r").agg(F.min("_x").alias("_v")))
+    middle = F.when(F.min("_r") == F.max("_r"), F.min("_v")).otherwise(0.5 * F.min("_v") + 0.5 * F.max("_v"))
+    return found.groupBy(*g).agg(middle.alias(name))

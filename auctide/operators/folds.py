@@ -1,28 +1,41 @@
 """Leak-safe validation splits as fold tables ``(fold, role, key)``.
 
 A fold table is joined back to the panel (``assign``), never turned into row
-index arrays. Fold tables are built from the *distinct* keys: dates
-(bounded by the calendar) or stocks (bounded by the instrument list). The
-ordinal of a date is a window over the distinct dates only. Each key is
-expanded to the folds by ``explode`` over a fold-id array and tagged by a
-range predicate -- no cross join. Parameters that shape the table (counts,
-sizes) come from one scalar count when the rule needs it.
+index arrays. Fold tables are built from the *distinct* keys, of any number and
+type; a key's place among them is a distributed rank (``ranks.ordinals``), and
+contiguous blocks of keys follow from it by arithmetic. Each key is expanded to
+the folds by ``explode`` over a fold-id array and tagged by a range predicate --
+no cross join. Parameters that shape the table (counts, sizes) come from one
+scalar count when the rule needs it.
 """
 
 from __future__ import annotations
 
 import math
-from itertools import combinations
+from itertools import accumulate, combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from auctide.operators.ranks import global_rank, ordinals
+
 INF = math.inf
 
 
 def _ordinals(df: DataFrame, key: str) -> DataFrame:
-    keys = df.select(key).distinct()
-    return keys.withColumn("_i", (F.row_number().over(Window.orderBy(key)) - 1).cast("int"))
+    return ordinals(df, key, name="_i").withColumn("_i", F.col("_i").cast("int"))
+
+
+def _blocks(df: DataFrame, key: str, n: int) -> DataFrame:
+    """Distinct keys in ``n`` contiguous blocks, the first ones a key larger where they do not divide:
+    ``_b`` the block, ``_r`` the key's place in it, ``_len`` the block's keys."""
+    keys = _ordinals(df, key)
+    size, larger = divmod(keys.count(), n)
+    i, cut = F.col("_i"), larger * (size + 1)
+    b = F.when(i < cut, F.floor(i / (size + 1))).otherwise(larger + F.floor((i - cut) / max(size, 1)))
+    return keys.withColumn("_b", b.cast("int")).withColumns({
+        "_r": (i - F.col("_b") * size - F.least(F.col("_b"), F.lit(larger))).cast("int"),
+        "_len": F.lit(size) + F.when(F.col("_b") < larger, 1).otherwise(0)})
 
 
 def _n_keys(df: DataFrame, key: str) -> int:
@@ -38,10 +51,8 @@ def _expand(keys: DataFrame, n_folds: int, role: Column, key: str, fold_name: st
 
 def kfold(df: DataFrame, n_splits: int = 5, key: str = "date_id") -> DataFrame:
     """Contiguous blocks of sorted distinct keys; the first ``n % k`` blocks hold one more."""
-    keys = df.select(key).distinct().withColumn(
-        "_b", (F.ntile(n_splits).over(Window.orderBy(key)) - 1).cast("int"))
     role = F.when(F.col("_f") == F.col("_b"), F.lit("valid")).otherwise(F.lit("train"))
-    return _expand(keys, n_splits, role, key)
+    return _expand(_blocks(df, key, n_splits), n_splits, role, key)
 
 
 def time_series_split(df: DataFrame, n_splits: int = 5, gap: int = 0, key: str = "date_id",
@@ -137,19 +148,21 @@ def group_kfold(df: DataFrame, n_splits: int = 5, group: str = "stock_id") -> Da
 
     The greedy pass runs over the histogram of group sizes (one row per
     distinct size reaches the driver); a group finds its fold by its rank
-    among the groups of its size.
+    among the groups of its size, which is its rank among all groups less
+    the groups that are larger.
     """
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
     hist = [(r["_n"], r["count"]) for r in counts.groupBy("_n").count().orderBy(F.col("_n").desc()).collect()]
     if sum(m for _, m in hist) < n_splits:
         raise ValueError(f"{sum(m for _, m in hist)} groups cannot fill {n_splits} folds")
-    runs = df.sparkSession.createDataFrame(_greedy_runs(hist, n_splits),
-                                           "_size long, _from long, _to long, _turn array<int>")
-    rank = F.row_number().over(Window.partitionBy("_n").orderBy(group)) - 1
-    table = (counts.withColumn("_r", rank)
-             .join(runs, (F.col("_n") == F.col("_size")) & (F.col("_r") >= F.col("_from")) & (F.col("_r") < F.col("_to")))
-             .select(group, F.element_at("_turn", ((F.col("_r") - F.col("_from")) % F.size("_turn") + 1).cast("int"))
-                     .alias("_b")))
+    larger = dict(zip([size for size, _ in hist], accumulate([0, *[m for _, m in hist]])))
+    runs = df.sparkSession.createDataFrame(
+        [(size, larger[size] + lo, larger[size] + hi, turn) for size, lo, hi, turn in _greedy_runs(hist, n_splits)],
+        "_size long, _from long, _to long, _turn array<int>")
+    r = F.col("_rank")
+    table = (global_rank(counts, F.col("_n").desc(), F.col(group), name="_rank")
+             .join(runs, (F.col("_n") == F.col("_size")) & (r >= F.col("_from")) & (r < F.col("_to")))
+             .select(group, F.element_at("_turn", ((r - F.col("_from")) % F.size("_turn") + 1).cast("int")).alias("_b")))
     role = F.when(F.col("_f") == F.col("_b"), F.lit("valid")).otherwise(F.lit("train"))
     return _expand(table, n_splits, role, group)
 
@@ -173,15 +186,10 @@ def cpcv(df: DataFrame, n_splits: int = 5, n_tests: int = 2, purge_gap: int | fl
         raise TypeError("gaps counted in keys must be whole numbers; use gap_kind='value' for lengths")
     combos = [list(c) for c in combinations(range(n_splits), n_tests)]
     n_comb = len(combos)
-    keys = (df.select(key).distinct()
-            .withColumn("_b", (F.ntile(n_splits).over(Window.orderBy(key)) - 1).cast("int")))
-    wb = Window.partitionBy("_b")
-    keys = keys.withColumns({
-        "_r": (F.row_number().over(wb.orderBy(key)) - 1).cast("int"),
-        "_len": F.count(F.lit(1)).over(wb),
-        "_lo": F.min(key).over(wb),
-        "_hi": F.max(key).over(wb),
-    })
+    keys = _blocks(df, key, n_splits)
+    if gap_kind == "value":
+        edges = keys.groupBy("_b").agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
+        keys = keys.join(F.broadcast(edges), "_b")  # n_splits rows
     combos_lit = F.array(*[F.array(*[F.lit(b) for b in c]) for c in combos])
     x = keys.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(n_comb - 1))))
     test_set = F.element_at(combos_lit, F.col("_s") + 1)

@@ -4,9 +4,8 @@ The reference reads one CSV of closing-auction snapshots. The test data has no
 such table, so ``snapshots_from_lineitem`` derives one of the same shape from
 ``lineitem`` (rules in FIXTURES.md): a supplier's shipping day is one snapshot,
 55 consecutive days are one date, so no row of ``lineitem`` is left out and
-(stock, date, second) is a key. Everything is lazy; the only single-partition
-step is the ordinal over *distinct* (date, second) keys, whose size is bounded
-by dates x 55 and not by the row count.
+(stock, date, second) is a key. The panel is one lazy plan; its only
+single-partition step sees one row per date of the calendar.
 """
 
 from __future__ import annotations
@@ -15,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from auctide.operators.ranks import ordinals
+
 KEY = ["stock_id", "time_id"]
 
 # fixed values: column order and Spark types of the snapshot table
@@ -129,24 +130,31 @@ def _book(daily: DataFrame) -> DataFrame:
 
 
 def snapshot_ordinals(df: DataFrame) -> DataFrame:
-    """Dense 0-based ``time_id`` over distinct (date_id, seconds_in_bucket).
-
-    The window has no partition key on purpose: it runs on the distinct keys
-    only (at most dates x 55 rows), never on the panel itself.
-    """
-    keys = df.select("date_id", "seconds_in_bucket").distinct()
-    w = Window.orderBy("date_id", "seconds_in_bucket")
-    return keys.withColumn("time_id", (F.row_number().over(w) - 1).cast("int"))
+    """Dense 0-based ``time_id`` over distinct (date_id, seconds_in_bucket), any number of them: a
+    distributed rank, which runs a job."""
+    return ordinals(df, "date_id", "seconds_in_bucket", name="time_id").withColumn("time_id", F.col("time_id").cast("int"))
 
 
-def add_time_id(df: DataFrame) -> DataFrame:
+def add_time_id(df: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """Attach ``time_id`` by an equi join on (date_id, seconds_in_bucket).
 
     The key table is small; AQE turns the join into a broadcast when its
     measured size is under the broadcast threshold and keeps a shuffle join
-    otherwise.
+    otherwise. ``keys``: a table of (date_id, seconds_in_bucket, time_id) made before.
     """
-    return df.join(snapshot_ordinals(df), ["date_id", "seconds_in_bucket"])
+    return df.join(snapshot_ordinals(df) if keys is None else keys, ["date_id", "seconds_in_bucket"])
+
+
+def _calendar(book: DataFrame) -> DataFrame:
+    """``time_id`` of the derived panel as one lazy plan: the window without a partition sees one
+    row per date, and the seconds of a date are numbered inside it."""
+    seconds = book.select("date_id", "seconds_in_bucket").distinct()
+    dates = seconds.groupBy("date_id").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("date_id").rowsBetween(Window.unboundedPreceding, -1))
+    place = F.row_number().over(Window.partitionBy("date_id").orderBy("seconds_in_bucket")) - 1
+    return (seconds.withColumn("_i", place)
+            .join(dates.select("date_id", F.coalesce(before, F.lit(0)).alias("_before")), "date_id")
+            .select("date_id", "seconds_in_bucket", (F.col("_before") + F.col("_i")).cast("int").alias("time_id")))
 
 
 def row_id(date_id: Column, seconds: Column, stock_id: Column) -> Column:
@@ -155,7 +163,7 @@ def row_id(date_id: Column, seconds: Column, stock_id: Column) -> Column:
 
 def snapshots_from_lineitem(lineitem: DataFrame) -> DataFrame:
     book = _book(_daily(lineitem))
-    with_t = add_time_id(book)
+    with_t = add_time_id(book, _calendar(book))
     cols = [n for n, _ in SNAPSHOT_FIELDS if n != "row_id"]
     return with_t.select(*cols, row_id(F.col("date_id"), F.col("seconds_in_bucket"),
                                        F.col("stock_id")).alias("row_id"))
