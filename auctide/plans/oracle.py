@@ -9,11 +9,31 @@ evaluation. Floating outputs are rounded like the Spark side.
 
 from __future__ import annotations
 
+import re
 from itertools import combinations
 
-from auctide.operators import windows as W
-from auctide.operators.book import NB_TRIPLET_PRICES, PRICES, PRICES_V1_COMBOS, SIZES
-from auctide.plans import queries as Q
+# fixed values: column lists, steps and parameters, stated here once more so that the SQL takes nothing from the engine
+PRICES = ["reference_price", "far_price", "near_price", "ask_price", "bid_price", "wap"]
+SIZES = ["matched_size", "bid_size", "ask_size", "imbalance_size"]
+PRICES_V1_COMBOS = ["wap", "bid_price", "ask_price", "near_price", "far_price", "reference_price"]
+NB_TRIPLET_PRICES = ["ask_price", "bid_price", "wap", "reference_price"]
+V1_ROLL_COLUMNS = ["imbalance_size", "matched_size", "bid_size", "ask_size", "bid_price", "ask_price", "near_price",
+                   "far_price", "reference_price"]
+LAG_COLUMNS = ["matched_size", "imbalance_size", "reference_price", "imbalance_buy_sell_flag"]
+DIFF_COLUMNS = ["ask_price", "bid_price", "ask_size", "bid_size", "weighted_wap", "price_spread"]
+ROLL_DIFF_COLUMNS = ["bid_price", "ask_price", "bid_size", "ask_size"]
+BOOK_COLS = ["volume", "mid_price", "size_imbalance", "liquidity_imbalance", "matched_imbalance"]
+PRESSURE_COLS = ["price_spread", "price_pressure", "market_urgency", "depth_pressure", "spread_depth_ratio",
+                 "micro_price", "relative_spread"]
+ROLLED = ["30s_rolling_mean", "60s_rolling_mean", "30s_rolling_std", "60s_rolling_std", "diff",
+          "diff_30s_rolling_mean", "diff_60s_rolling_mean"]
+STEPS, ROLL_STEPS, WAP_LAGS = [1, 3, 5, 10], [3, 5, 10], [1, 2, 3, 4, 5, 6]
+SPLIT_DAY, N_FOLDS, ML_FOLDS, GAP, TAIL_ROWS, HEAD_ROWS = 35, 3, 5, 1, 21, 5
+CPCV_SPLITS, CPCV_TESTS, CPCV_PURGE, CPCV_EMBARGO = 4, 2, 1, 1
+DECAY = [1 / 32, 1 / 32, 1 / 16, 1 / 8, 1 / 4, 1 / 2]
+DIGITS = {"all_prices_skew": 4, "all_prices_kurt": 4, "all_sizes_skew": 4, "all_sizes_kurt": 4}
+INT_BOUNDS = [("tinyint", -128, 127), ("smallint", -32768, 32767),
+              ("int", -2147483648, 2147483647), ("bigint", -9223372036854775808, 9223372036854775807)]
 
 FIXTURE_CTES = """d AS (
  SELECT l_suppkey AS stock_id, CAST(l_shipdate AS DATE) AS d, MAX(l_extendedprice) AS mx, MIN(l_extendedprice) AS mn,
@@ -58,10 +78,11 @@ def qi(n: str) -> str:
 
 
 def rnd(n: str, d: int | None = None) -> str:
-    d = Q.DIGITS.get(n) if d is None else d
+    d = DIGITS.get(n) if d is None else d
     x = qi(n)
     if d is None:
-        scale = f"POW(10e0, GREATEST(6e0, 6e0 - FLOOR(LOG10(ABS({x})))))"
+        kept = 6 if re.search("rolling|stock_unit_|global_|index|^all_|_mae|^mae$|prediction|mean", n) else 8
+        scale = f"POW(10e0, GREATEST(6e0, {kept}e0 - FLOOR(LOG10(ABS({x})))))"
         return (f"(CASE WHEN ABS({x}) < 1e-12 THEN 0e0 WHEN ABS({x}) < 1e9 THEN FLOOR({x} * {scale} + 0.5e0) / {scale} "
                 f"ELSE {x} END) AS {x}")
     return f"(CASE WHEN ABS({x}) < 1e9 THEN FLOOR({x} * 1e{d} + 0.5e0) / 1e{d} ELSE {x} END) AS {x}"
@@ -166,7 +187,6 @@ def o_filter_target():
 
 
 def o_downcast_schema():
-    from auctide.sources.side_tables import INT_BOUNDS
     ints = ["stock_id", "date_id", "seconds_in_bucket", "imbalance_buy_sell_flag", "time_id"]
     parts = []
     for c in [x for x in SNAP_COLS if x != "row_id"]:
@@ -181,7 +201,7 @@ def o_downcast_schema():
 
 
 def o_split_offline():
-    return sql(final=f"SELECT stock_id, time_id, date_id, CASE WHEN date_id <= {Q.SPLIT_DAY} THEN 'train' "
+    return sql(final=f"SELECT stock_id, time_id, date_id, CASE WHEN date_id <= {SPLIT_DAY} THEN 'train' "
                      "ELSE 'valid' END AS role FROM snap")
 
 
@@ -238,8 +258,16 @@ def o_stock_unit_stats():
     return sql(x, final=sel("x", [f"stock_unit_{n}" for n in STAT_NAMES], keys=["stock_id"]))
 
 
+def o_stock_median_descent():
+    return o_stock_unit_stats()
+
+
+def o_global_rank():
+    return sql(final="SELECT stock_id, time_id, ROW_NUMBER() OVER (ORDER BY wap, stock_id, time_id) - 1 AS place FROM snap")
+
+
 def o_global_stock_stats():
-    x = (f"tr AS (SELECT * FROM tsnap WHERE date_id <= {Q.SPLIT_DAY}), "
+    x = (f"tr AS (SELECT * FROM tsnap WHERE date_id <= {SPLIT_DAY}), "
          f"x AS ({_stock_stats_sql('tr', 'global_', 'MAX(bid_price) - MIN(ask_price)')})")
     return sql(x, final=sel("x", [f"global_{n}" for n in STAT_NAMES], keys=["stock_id"]))
 
@@ -308,7 +336,7 @@ def _cols(d: dict[str, str]) -> str:
 
 def o_book_imbalance():
     x = f"x AS (SELECT stock_id, time_id, {_cols(book_sql())} FROM snap)"
-    return sql(x, final=sel("x", Q.BOOK_COLS))
+    return sql(x, final=sel("x", BOOK_COLS))
 
 
 def o_harmonic_imbalance():
@@ -319,7 +347,7 @@ def o_harmonic_imbalance():
 def o_pressure():
     b = f"b AS (SELECT *, {_cols(book_sql())} FROM snap)"
     x = f"x AS (SELECT stock_id, time_id, {_cols(pressure_sql())} FROM b)"
-    return sql(b, x, final=sel("x", Q.PRESSURE_COLS))
+    return sql(b, x, final=sel("x", PRESSURE_COLS))
 
 
 def time_sql(naming: str = "v1") -> dict[str, str]:
@@ -356,12 +384,12 @@ def o_wap_diff_rolling():
 
 
 def o_wap_lags():
-    cols = {f"wap_shift_{k}": lag("wap", k, WSD) for k in W.WAP_LAGS}
+    cols = {f"wap_shift_{k}": lag("wap", k, WSD) for k in WAP_LAGS}
     return sql(f"x AS (SELECT stock_id, time_id, {_cols(cols)} FROM snap)", final=sel("x", list(cols)))
 
 
 def o_wap_lag_ratio():
-    cols = {f"wap_shift_{k}_ratio": div(lag("wap", k, WSD), "wap") for k in W.WAP_LAGS}
+    cols = {f"wap_shift_{k}_ratio": div(lag("wap", k, WSD), "wap") for k in WAP_LAGS}
     return sql(f"x AS (SELECT stock_id, time_id, {_cols(cols)} FROM snap)", final=sel("x", list(cols)))
 
 
@@ -379,7 +407,7 @@ def v1_rolling_sql(src: str, name: str, columns) -> list[str]:
 
 
 def o_book_rolling():
-    return sql(*v1_rolling_sql("snap", "br", W.V1_ROLL_COLUMNS), final=sel("br", Q.book_rolling_names()))
+    return sql(*v1_rolling_sql("snap", "br", V1_ROLL_COLUMNS), final=sel("br", [f"{c}_{r}" for c in V1_ROLL_COLUMNS for r in ROLLED]))
 
 
 def o_lead_label():
@@ -440,11 +468,11 @@ def o_wap_momentum():
 
 
 def lags_sql() -> dict[str, str]:
-    return {f"{c}_shift_{k}": lag(c, k, WS) for c in W.LAG_COLUMNS for k in W.STEPS}
+    return {f"{c}_shift_{k}": lag(c, k, WS) for c in LAG_COLUMNS for k in STEPS}
 
 
 def returns_sql(z: str = "zero") -> dict[str, str]:
-    return {f"{c}_ret_{k}": pct(f"{c}_ff", lag(f"{c}_ff", k, WS), z) for c in W.LAG_COLUMNS for k in W.STEPS}
+    return {f"{c}_ret_{k}": pct(f"{c}_ff", lag(f"{c}_ff", k, WS), z) for c in LAG_COLUMNS for k in STEPS}
 
 
 def ffill_sql(cols) -> dict[str, str]:
@@ -459,7 +487,7 @@ def o_book_lags():
 
 
 def o_book_returns():
-    f = f"f AS (SELECT *, {_cols(ffill_sql(W.LAG_COLUMNS))} FROM snap)"
+    f = f"f AS (SELECT *, {_cols(ffill_sql(LAG_COLUMNS))} FROM snap)"
     cols = returns_sql()
     return sql(f, f"x AS (SELECT stock_id, time_id, {_cols(cols)} FROM f)", final=sel("x", list(cols)))
 
@@ -474,21 +502,21 @@ def diffs_sql(cols, steps) -> dict[str, str]:
 
 
 def o_book_diffs():
-    cols = diffs_sql(W.DIFF_COLUMNS, W.STEPS)
+    cols = diffs_sql(DIFF_COLUMNS, STEPS)
     return sql(_diff_base(), f"x AS (SELECT stock_id, time_id, {_cols(cols)} FROM j)", final=sel("x", list(cols)))
 
 
 def change_sql() -> dict[str, str]:
     out = {}
-    for k in W.ROLL_STEPS:
+    for k in ROLL_STEPS:
         out[f"price_change_diff_{k}"] = f"bid_price_diff_{k} - ask_price_diff_{k}"
-    for k in W.ROLL_STEPS:
+    for k in ROLL_STEPS:
         out[f"size_change_diff_{k}"] = f"bid_size_diff_{k} - ask_size_diff_{k}"
     return out
 
 
 def o_change_diff():
-    d = diffs_sql(["bid_price", "ask_price", "bid_size", "ask_size"], W.ROLL_STEPS)
+    d = diffs_sql(["bid_price", "ask_price", "bid_size", "ask_size"], ROLL_STEPS)
     x1 = f"x1 AS (SELECT stock_id, time_id, {_cols(d)} FROM j)"
     c = change_sql()
     return sql(_diff_base(), x1, f"x AS (SELECT stock_id, time_id, {_cols(c)} FROM x1)", final=sel("x", list(c)))
@@ -496,15 +524,15 @@ def o_change_diff():
 
 def rolling_diff_sql() -> dict[str, str]:
     out = {}
-    for c in W.ROLL_DIFF_COLUMNS:
-        for k in W.ROLL_STEPS:
+    for c in ROLL_DIFF_COLUMNS:
+        for k in ROLL_STEPS:
             out[f"rolling_diff_{c}_{k}"] = roll("AVG", f"{c}_diff_{k}", k, WS)
             out[f"rolling_std_diff_{c}_{k}"] = roll("STDDEV_SAMP", f"{c}_diff_{k}", k, WS)
     return out
 
 
 def o_rolling_diff():
-    d = diffs_sql(W.ROLL_DIFF_COLUMNS, W.ROLL_STEPS)
+    d = diffs_sql(ROLL_DIFF_COLUMNS, ROLL_STEPS)
     x1 = f"x1 AS (SELECT stock_id, time_id, {_cols(d)} FROM snap)"
     r = rolling_diff_sql()
     return sql(x1, f"x AS (SELECT stock_id, time_id, {_cols(r)} FROM x1)", final=sel("x", list(r)))
@@ -513,7 +541,7 @@ def o_rolling_diff():
 def o_tail_per_stock():
     x = ("x AS (SELECT stock_id, time_id, date_id, seconds_in_bucket, "
          "ROW_NUMBER() OVER (PARTITION BY stock_id ORDER BY time_id DESC) AS rk FROM snap)")
-    return sql(x, final=f"SELECT stock_id, time_id, date_id, seconds_in_bucket FROM x WHERE rk <= {Q.TAIL_ROWS}")
+    return sql(x, final=f"SELECT stock_id, time_id, date_id, seconds_in_bucket FROM x WHERE rk <= {TAIL_ROWS}")
 
 
 # ---------------------------------------------------------------- sorts, limits, unions, checks
@@ -524,14 +552,14 @@ def o_sorted_panel():
 
 def o_head_rows():
     return sql(final=sel("snap", ["wap"], ["date_id", "seconds_in_bucket"],
-                         tail=f"ORDER BY date_id, seconds_in_bucket, stock_id LIMIT {Q.HEAD_ROWS}"))
+                         tail=f"ORDER BY date_id, seconds_in_bucket, stock_id LIMIT {HEAD_ROWS}"))
 
 
 def o_append_snapshot():
     last = "(SELECT MAX(time_id) FROM snap)"
     h = (f"h AS (SELECT stock_id, time_id, date_id, wap, target, ROW_NUMBER() OVER "
          f"(PARTITION BY stock_id ORDER BY time_id DESC) AS rk FROM snap WHERE time_id < {last})")
-    u = (f"u AS (SELECT stock_id, time_id, date_id, wap, target FROM h WHERE rk <= {Q.TAIL_ROWS} "
+    u = (f"u AS (SELECT stock_id, time_id, date_id, wap, target FROM h WHERE rk <= {TAIL_ROWS} "
          f"UNION ALL SELECT stock_id, time_id, date_id, wap, CAST(NULL AS DOUBLE) AS target FROM snap "
          f"WHERE time_id = {last})")
     return sql(h, u, final=sel("u", ["wap", "target"], ["date_id"]))
@@ -575,16 +603,16 @@ def _fold_ids(k: int) -> str:
 
 
 def o_cv_kfold():
-    b = (f"b AS (SELECT date_id, CAST(NTILE({Q.N_FOLDS}) OVER (ORDER BY date_id) - 1 AS INT) AS blk "
+    b = (f"b AS (SELECT date_id, CAST(NTILE({N_FOLDS}) OVER (ORDER BY date_id) - 1 AS INT) AS blk "
          f"FROM (SELECT DISTINCT date_id FROM snap))")
     per = "per AS (SELECT date_id, COUNT(*) AS n_rows FROM snap GROUP BY date_id)"
     return sql(b, per, final=f"SELECT f.fold, CASE WHEN f.fold = b.blk THEN 'valid' ELSE 'train' END AS role, "
-                             f"b.date_id, per.n_rows FROM b CROSS JOIN {_fold_ids(Q.N_FOLDS)} f "
+                             f"b.date_id, per.n_rows FROM b CROSS JOIN {_fold_ids(N_FOLDS)} f "
                              f"JOIN per ON per.date_id = b.date_id")
 
 
 def o_cv_group_kfold():
-    k = Q.N_FOLDS
+    k = N_FOLDS
     g = ("g AS (SELECT stock_id, COUNT(*) AS n, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, stock_id) AS i "
          "FROM snap GROUP BY stock_id)")
     zeros = "[" + ", ".join(["0"] * k) + "]::BIGINT[]"
@@ -599,7 +627,7 @@ def o_cv_group_kfold():
 
 
 def o_cv_time_series():
-    k, gap = Q.N_FOLDS, Q.GAP
+    k, gap = N_FOLDS, GAP
     ts = f"(dt.n - {k} * (dt.n // {k + 1}) + f.fold * (dt.n // {k + 1}))"
     role = (f"CASE WHEN dt.i >= {ts} AND dt.i < {ts} + (dt.n // {k + 1}) THEN 'valid' "
             f"WHEN dt.i < {ts} - {gap} THEN 'train' END")
@@ -608,7 +636,7 @@ def o_cv_time_series():
 
 
 def o_cv_purged_block():
-    nf, gap = Q.N_FOLDS, Q.GAP
+    nf, gap = N_FOLDS, GAP
     fs = f"(SELECT COUNT(DISTINCT date_id) FROM snap) // {nf}"
     st, en = f"(f.fold * ({fs}))", f"(f.fold * ({fs}) + ({fs}))"
     test = f"(dt.date_id >= {en} AND dt.date_id < {en} + ({fs}))"
@@ -620,7 +648,7 @@ def o_cv_purged_block():
 
 
 def o_cv_purged_group():
-    k, gap = Q.N_FOLDS, Q.GAP
+    k, gap = N_FOLDS, GAP
     gts = f"(dt.n // {k + 1})"
     s = f"(dt.n - {k} * {gts} + f.fold * {gts})"
     role = f"CASE WHEN dt.i >= {s} AND dt.i < {s} + {gts} THEN 'valid' WHEN dt.i < {s} - {gap} THEN 'train' END"
@@ -629,7 +657,7 @@ def o_cv_purged_group():
 
 
 def _cpcv_ctes() -> list[str]:
-    n = Q.CPCV_SPLITS
+    n = CPCV_SPLITS
     blk = (f"blk AS (SELECT date_id, CAST(NTILE({n}) OVER (ORDER BY date_id) - 1 AS INT) AS b "
            f"FROM (SELECT DISTINCT date_id FROM snap))")
     pos = ("pos AS (SELECT date_id, b, ROW_NUMBER() OVER (PARTITION BY b ORDER BY date_id) - 1 AS r, "
@@ -645,8 +673,8 @@ def _cpcv_ctes() -> list[str]:
             "EXISTS (SELECT 1 FROM mem m WHERE m.split = c.split AND m.b = p.b - 1) AS after_test, "
             "(SELECT COUNT(*) FROM mem m WHERE m.split <= c.split AND m.b = p.b) AS path_no "
             "FROM pos p CROSS JOIN (SELECT DISTINCT split FROM comb) c)")
-    role = (f"CASE WHEN in_test THEN 'valid' WHEN NOT ((before_test AND r >= len - {Q.CPCV_PURGE}) OR "
-            f"(after_test AND r < {Q.CPCV_EMBARGO})) THEN 'train' END")
+    role = (f"CASE WHEN in_test THEN 'valid' WHEN NOT ((before_test AND r >= len - {CPCV_PURGE}) OR "
+            f"(after_test AND r < {CPCV_EMBARGO})) THEN 'train' END")
     cv = (f"cv AS (SELECT split, {role} AS role, date_id, b AS block, "
           f"CASE WHEN in_test THEN CAST(path_no AS INT) END AS path FROM grid)")
     return [blk, pos, comb, mem, grid, cv]
@@ -669,7 +697,7 @@ def _preds() -> str:
 def o_mae_by_fold():
     ps = ", ".join(f"COALESCE(target, 0e0) + {k} * (wap - 1) * 100 AS p{k}" for k in range(1, 7))
     pr = f"pr AS (SELECT date_id, target, {ps} FROM tsnap)"
-    b = (f"b AS (SELECT date_id, CAST(NTILE({Q.N_FOLDS}) OVER (ORDER BY date_id) - 1 AS INT) AS fold "
+    b = (f"b AS (SELECT date_id, CAST(NTILE({N_FOLDS}) OVER (ORDER BY date_id) - 1 AS INT) AS fold "
          f"FROM (SELECT DISTINCT date_id FROM tsnap))")
     lg = "lg AS (" + " UNION ALL ".join(
         f"SELECT b.fold, pr.target, 'p{k}' AS model, pr.p{k} AS p FROM pr JOIN b USING (date_id)"
@@ -690,21 +718,18 @@ def o_ensemble_mean():
 
 
 def o_ensemble_decay():
-    from auctide.operators.post import decay_weights
-    return sql(_preds(), f"x AS (SELECT stock_id, time_id, {_ens(decay_weights(6))} AS prediction FROM pr)",
+    return sql(_preds(), f"x AS (SELECT stock_id, time_id, {_ens(DECAY)} AS prediction FROM pr)",
                final=sel("x", ["prediction"]))
 
 
 def o_demean_snapshot():
-    from auctide.operators.post import decay_weights
-    e = f"e AS (SELECT stock_id, time_id, {_ens(decay_weights(6))} AS p FROM pr)"
+    e = f"e AS (SELECT stock_id, time_id, {_ens(DECAY)} AS p FROM pr)"
     x = "x AS (SELECT stock_id, time_id, p - AVG(p) OVER (PARTITION BY time_id) AS prediction FROM e)"
     return sql(_preds(), e, x, final=sel("x", ["prediction"]))
 
 
 def o_clip_predictions():
-    from auctide.operators.post import decay_weights
-    e = f"e AS (SELECT stock_id, time_id, ({_ens(decay_weights(6))}) * 2 AS p FROM pr)"
+    e = f"e AS (SELECT stock_id, time_id, ({_ens(DECAY)}) * 2 AS p FROM pr)"
     x = "x AS (SELECT stock_id, time_id, LEAST(GREATEST(p, -64e0), 64e0) AS prediction FROM e)"
     return sql(_preds(), e, x, final=sel("x", ["prediction"]))
 
@@ -727,13 +752,37 @@ def o_movement_file_order():
 def o_stream_tail():
     x = "x AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY stock_id ORDER BY time_id DESC) AS rk FROM snap)"
     others = [c for c in SNAP_COLS if c not in SNAP_DOUBLES and c not in KEYS]
-    return sql(x, final=sel("x", SNAP_DOUBLES, others, tail=f"WHERE rk <= {Q.TAIL_ROWS}"))
+    return sql(x, final=sel("x", SNAP_DOUBLES, others, tail=f"WHERE rk <= {TAIL_ROWS}"))
 
 
 def o_stream_features():
     return o_features_v2()
 
 
+def o_stream_start_state():
+    stale = ("tsnap AS (SELECT * REPLACE (CASE WHEN date_id < (SELECT MAX(date_id) FROM snap WHERE target IS NOT NULL) - 3 "
+             "THEN reference_price END AS reference_price) FROM snap WHERE target IS NOT NULL AND NOT isnan(target))")
+    head, tail = o_features_v2().split("tsnap AS (", 1)
+    depth, at = 1, 0
+    while depth:  # the end of the panel's definition
+        depth += {"(": 1, ")": -1}.get(tail[at], 0)
+        at += 1
+    return head + stale + tail[at:] + " WHERE date_id = (SELECT MAX(date_id) FROM tsnap)"
+
+
+def o_stream_reordered():
+    planted = "date_id < 5 AND (stock_id * 7 + time_id) % 53 = 0"
+    cols = {f"{c}_shift_{k}": lag(c, k, WS) for c in ("bid_price", "bid_size") for k in (1, 3, 5, 10)}
+    x = f"x AS (SELECT stock_id, time_id, {_cols(cols)}, FALSE AS late FROM snap WHERE NOT ({planted}))"
+    y = (f"y AS (SELECT * FROM x UNION ALL BY NAME SELECT stock_id, time_id, TRUE AS late FROM snap WHERE {planted})")
+    return sql(x, y, final=sel("y", list(cols), ["late"]))
+
+
+def o_stream_metrics():
+    return sql(final="SELECT COUNT(*) AS rows_new, CAST(0 AS BIGINT) AS rows_late, TRUE AS all_timed, "
+                     "COUNT(*) AS rows_read, COUNT(*) AS rows_in FROM snap")
+
+
 # ---------------------------------------------------------------- CSV, fold rows, models
 
 def o_scan_csv():
@@ -741,7 +790,7 @@ def o_scan_csv():
 
 
 def o_cv_fold_rows():
-    b = (f"b AS (SELECT date_id, CAST(NTILE({Q.N_FOLDS}) OVER (ORDER BY date_id) - 1 AS INT) AS fold "
+    b = (f"b AS (SELECT date_id, CAST(NTILE({N_FOLDS}) OVER (ORDER BY date_id) - 1 AS INT) AS fold "
          "FROM (SELECT DISTINCT date_id FROM snap))")
     return sql(b, final="SELECT stock_id, time_id, fold FROM snap JOIN b USING (date_id)")
 
@@ -760,19 +809,39 @@ def o_cv_cpcv_value():
 _MODEL_ROWS = "m AS (SELECT tsnap.* FROM tsnap JOIN wts USING (stock_id))"
 
 
+def _model_folds():
+    return (f"b AS (SELECT date_id, CAST(NTILE({ML_FOLDS}) OVER (ORDER BY date_id) - 1 AS INT) AS fold "
+            "FROM (SELECT DISTINCT date_id FROM m))")
+
+
+def _constant(src: str, by: str, label: str = "target") -> list[str]:
+    """CTEs up to ``con``: per group its rows and the mean distance from the median."""
+    return [f"mid AS (SELECT {by}, MEDIAN({label}) AS med FROM {src} GROUP BY {by})",
+            f"con AS (SELECT {by}, COUNT(*) AS n, AVG(ABS({label} - med)) AS constant_mae "
+            f"FROM {src} JOIN mid USING ({by}) GROUP BY {by})"]
+
+
 def o_gbt_cv():
-    b = (f"b AS (SELECT date_id, CAST(NTILE({Q.ML_FOLDS}) OVER (ORDER BY date_id) - 1 AS INT) AS fold "
-         "FROM (SELECT DISTINCT date_id FROM m))")
-    return sql(_MODEL_ROWS, b, final="SELECT fold, COUNT(*) AS n_valid, (SELECT COUNT(*) FROM m) - COUNT(*) AS n_train, "
-                                     "TRUE AS beats_constant FROM m JOIN b USING (date_id) GROUP BY fold")
+    x = "x AS (SELECT m.*, b.fold FROM m JOIN b USING (date_id))"
+    return sql(_MODEL_ROWS, _model_folds(), x, *_constant("x", "fold"),
+               final=f"SELECT fold, n AS n_valid, (SELECT COUNT(*) FROM m) - n AS n_train, {rnd('constant_mae')}, "
+                     "TRUE AS beats_constant FROM con")
+
+
+def o_gbt_early_stopping():
+    return sql(_MODEL_ROWS, _model_folds(),
+               final="SELECT fold, COUNT(*) AS n_valid, TRUE AS best_is_minimum, 0e0 AS above_minimum, "
+                     "TRUE AS rule_kept, 0e0 AS oof_gap FROM m JOIN b USING (date_id) GROUP BY fold")
 
 
 def o_refit_full():
-    return sql(_MODEL_ROWS, final="SELECT 'gbt' AS kind, COUNT(*) AS n, TRUE AS beats_constant FROM m")
+    x = "x AS (SELECT 'gbt' AS kind, target FROM m)"
+    return sql(_MODEL_ROWS, x, *_constant("x", "kind"),
+               final=f"SELECT kind, n, {rnd('constant_mae')}, TRUE AS beats_constant FROM con")
 
 
 def o_model_roundtrip():
-    return sql(_MODEL_ROWS, final="SELECT stock_id, time_id, TRUE AS same FROM m")
+    return sql(_MODEL_ROWS, final=f"SELECT stock_id, time_id, {ML_FOLDS} + 1 AS models_that_agree FROM m")
 
 
 def o_index_weights():
@@ -781,14 +850,27 @@ def o_index_weights():
                         "WHERE later IS NOT NULL AND target IS NOT NULL GROUP BY stock_id")
 
 
+def o_index_weights_planted():
+    r = f"ahead AS (SELECT stock_id, time_id, target, (LEAD(wap, 6) OVER ({WSD}) / wap - 1) * 10000 AS ret FROM snap)"
+    x = ("x AS (SELECT stock_id, time_id, ret, COALESCE(weight, 0) AS weight FROM ahead LEFT JOIN wts USING (stock_id) "
+         "WHERE ret IS NOT NULL AND target IS NOT NULL)")
+    y = "y AS (SELECT time_id, SUM(ret * weight) + 3 AS index_ret FROM x GROUP BY time_id)"
+    r2 = "g AS (SELECT 1 - 9e0 * COUNT(*) / SUM((index_ret - mean) ** 2) AS r2_index FROM y, (SELECT AVG(index_ret) AS mean FROM y))"
+    z = "z AS (SELECT stock_id, COUNT(*) AS n_obs, ANY_VALUE(weight) AS weight_est, ANY_VALUE(r2_index) AS r2_index FROM x, g GROUP BY stock_id)"
+    return sql(r, x, y, r2, z, final=f"SELECT stock_id, n_obs, {rnd('weight_est')}, {rnd('r2_index')} FROM z")
+
+
 def o_objective_change():
-    r = f"ahead AS (SELECT LEAD(wap, 6) OVER ({WSD}) AS later FROM m)"
-    return sql(_MODEL_ROWS, r, final="SELECT st.stage, COUNT(*) AS n, TRUE AS ok FROM ahead, "
-               "(VALUES ('via_index'), ('stacked')) st(stage) WHERE later IS NOT NULL GROUP BY st.stage")
+    r = f"ahead AS (SELECT target, LEAD(wap, 6) OVER ({WSD}) AS later FROM m)"
+    x = ("x AS (SELECT 'wap_ahead' AS stage, later AS label FROM ahead WHERE later IS NOT NULL "
+         "UNION ALL SELECT 'stacked', target FROM ahead WHERE later IS NOT NULL)")
+    return sql(_MODEL_ROWS, r, x, *_constant("x", "stage", "label"),
+               final=f"SELECT stage, n, {rnd('constant_mae')}, TRUE AS beats_constant FROM con")
 
 
 def o_stream_score():
-    return sql(_MODEL_ROWS, final="SELECT stock_id, time_id, date_id, TRUE AS centred_snapshot, TRUE AS in_range "
+    return sql(_MODEL_ROWS, final="SELECT stock_id, time_id, date_id, COUNT(*) OVER (PARTITION BY time_id) AS n_scored, "
+                                  "0e0 AS centre, TRUE AS in_range "
                                   "FROM m WHERE date_id = (SELECT MAX(date_id) FROM tsnap)")
 
 
@@ -796,7 +878,7 @@ def o_stream_score():
 
 PIPE_INTS = {"stock_id", "date_id", "seconds_in_bucket", "imbalance_buy_sell_flag", "time_id", "mid_price_movement",
              "day_of_week", "seconds", "minutes", "dow", "minute", "time_to_market_close",
-             *[f"imbalance_buy_sell_flag_shift_{k}" for k in W.STEPS]}
+             *[f"imbalance_buy_sell_flag_shift_{k}" for k in STEPS]}
 
 
 def _pipeline_final(src: str, cols: list[str], clean: bool) -> list[str] | str:
@@ -811,10 +893,10 @@ def _pipeline_final(src: str, cols: list[str], clean: bool) -> list[str] | str:
 
 def _pipe_windows(prefix: str, src: str, z: str, movement_missing: str) -> tuple[list[str], list[str]]:
     """Per-stock stage of v2/nb as CTEs; returns (ctes, new column names)."""
-    ffc = [*W.LAG_COLUMNS, "weighted_wap"]
+    ffc = [*LAG_COLUMNS, "weighted_wap"]
     ff = {f"{c}_ff": ffill(c) for c in ffc}
     w1 = {**momentum_sql(z, movement_missing), "wap_momentum": pct("weighted_wap_ff", lag("weighted_wap_ff", 6, WS), z),
-          **lags_sql(), **returns_sql(z), **diffs_sql(W.DIFF_COLUMNS, W.STEPS)}
+          **lags_sql(), **returns_sql(z), **diffs_sql(DIFF_COLUMNS, STEPS)}
     w2 = {**change_sql(), **rolling_diff_sql()}
     excl = ", ".join(f"{c}_ff" for c in ffc)
     ctes = [f"{prefix}f AS (SELECT *, {_cols(ff)} FROM {src})",
@@ -839,13 +921,13 @@ def o_features_v1():
     mom = momentum_sql(z)
     ctes.append(f"v1m AS (SELECT *, {_cols(mom)} FROM v1b)")
     cols += list(mom)
-    roll_cols = ("wap", *W.V1_ROLL_COLUMNS)
+    roll_cols = ("wap", *V1_ROLL_COLUMNS)
     ctes += v1_rolling_sql("v1m", "v1r", roll_cols)
     cols += [n for c in roll_cols for n in (f"{c}_30s_rolling_mean", f"{c}_60s_rolling_mean", f"{c}_30s_rolling_std",
                                             f"{c}_60s_rolling_std", f"{c}_diff", f"{c}_diff_30s_rolling_mean",
                                             f"{c}_diff_60s_rolling_mean")]
-    wl = {**{f"wap_shift_{k}_ratio": div(lag("wap", k, WSD), "wap") for k in W.WAP_LAGS},
-          **{f"wap_shift_{k}": lag("wap", k, WSD) for k in W.WAP_LAGS}}
+    wl = {**{f"wap_shift_{k}_ratio": div(lag("wap", k, WSD), "wap") for k in WAP_LAGS},
+          **{f"wap_shift_{k}": lag("wap", k, WSD) for k in WAP_LAGS}}
     ctes.append(f"v1l AS (SELECT *, {_cols(wl)} FROM v1r)")
     cols += list(wl)
     pairs = {f"{a}_{b}_imb": div(f"{a} - {b}", f"{a} + {b}") for a, b in combinations(PRICES_V1_COMBOS, 2)}
@@ -927,7 +1009,7 @@ def o_features_nb():
     ctes.append(f'nbt AS (SELECT *, mid_price_movement * volume AS "mid_price*volume", '
                 f"{harmonic_sql(z)} AS harmonic_imbalance, {_cols(ts)} FROM nbrm)")
     cols += ["mid_price*volume", "harmonic_imbalance", *ts]
-    ctes.append(f"nbtr AS (SELECT * FROM tsnap WHERE date_id <= {Q.SPLIT_DAY})")
+    ctes.append(f"nbtr AS (SELECT * FROM tsnap WHERE date_id <= {SPLIT_DAY})")
     ctes.append(_stats_cte("nbst", "nbtr", "global_", "MAX(bid_price) - MIN(ask_price)"))
     ctes.append("nbx AS (SELECT * FROM nbt LEFT JOIN nbst USING (stock_id))")
     cols += [f"global_{n}" for n in STAT_NAMES]

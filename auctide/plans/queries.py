@@ -7,6 +7,7 @@ snapshot panel) and runs over the whole table. Floating outputs are rounded
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from auctide.functions.expr import clean_inf, diff, ratio, round_doubles
 from auctide.operators import aggregates as agg
-from auctide.operators import book, folds, joins, model, post, windows
+from auctide.operators import book, folds, index_fit, joins, model, post, ranks, trees, windows
 from auctide.operators.series import day_window, stock_windows, tail_per_key
 from auctide.plans.features import features_nb, features_v1, features_v2
 from auctide.plans.fixtures import predictions_by_rule, weights_by_rule
@@ -23,7 +24,7 @@ from auctide.sources.side_tables import downcast_plan
 from auctide.session import drop_at_exit, scratch_path, stored
 from auctide.sources.snapshots import (SNAPSHOT_SCHEMA, add_time_id, filter_target, preprocess,
                                        read_snapshots_csv, snapshots)
-from auctide.streaming import online
+from auctide.streaming import online, sink
 
 K = ["stock_id", "time_id"]
 
@@ -38,8 +39,16 @@ HEAD_ROWS = 5
 DIGITS = {f"all_{g}_{m}": 4 for g in ("prices", "sizes") for m in ("skew", "kurt")}
 
 
+#: Statistics are sums in an order that engines choose; deviations differ in the ninth digit.
+STATISTICS = re.compile(r"rolling|stock_unit_|global_|index|^all_|_mae|^mae$|prediction|mean")
+
+
+def significant(name: str) -> int:
+    return 7 if STATISTICS.search(name) else 9
+
+
 def out(df: DataFrame) -> DataFrame:
-    return round_doubles(df, 6, DIGITS)
+    return round_doubles(df, 6, DIGITS, significant)
 
 
 @dataclass(frozen=True)
@@ -130,6 +139,16 @@ def q_global_stock_stats(spark, sf):
     return out(agg.global_stock_stats(train))
 
 
+def q_stock_median_descent(spark, sf):
+    """The per-stock statistics with medians found by narrowing ranges of values."""
+    return out(agg.stock_unit_stats(filter_target(_snap(spark, sf)), median="descent"))
+
+
+def q_global_rank(spark, sf):
+    """Every row's place in the order of wap over the whole panel."""
+    return ranks.global_rank(_snap(spark, sf).select(*K, "wap"), "wap", *K, name="place").select(*K, "place")
+
+
 def q_add_time_id(spark, sf):
     s = _snap(spark, sf).drop("time_id")
     return add_time_id(s).select("stock_id", "date_id", "seconds_in_bucket", "time_id")
@@ -489,28 +508,81 @@ def _fitted(spark, sf, rows):
     return weights, stored(agg.stock_unit_stats(joins.join_weights(rows, weights)), "stats")
 
 
+def _online_v2(weights, stats):
+    return lambda b: online.new_rows(features_v2(b, weights, keep_stock_id=True, stats=stats))
+
+
 def q_stream_features(spark, sf):
     """The v2 feature set computed online: equal to the batch result."""
     s = filter_target(_snap(spark, sf))
     weights, stats = _fitted(spark, sf, s)
-    path, _ = online.run_stream(
-        spark, _stream_source(spark, s), SNAPSHOT_SCHEMA,
-        lambda b: online.new_rows(features_v2(b, weights, keep_stock_id=True, stats=stats)), ffill=FFILL,
-        name="stream-features")
-    return _read_stream_out(spark, path)
-
-
-def _read_stream_out(spark, path):
-    return out(spark.read.parquet(path).drop("batch_id"))
+    path, _ = online.run_stream(spark, _stream_source(spark, s), SNAPSHOT_SCHEMA, _online_v2(weights, stats),
+                                ffill=FFILL, files_per_trigger=1, name="stream-features")
+    return out(sink.read(spark, path))
 
 
 def q_stream_tail(spark, sf):
     """Keyed state after the stream: the last 21 rows per stock, read from the state store."""
     res, _ = online.run_stream(spark, _stream_source(spark, _snap(spark, sf)), SNAPSHOT_SCHEMA,
-                               lambda b: online.new_rows(b).select(*K), name="stream-tail")
+                               lambda b: online.new_rows(b).select(*K), files_per_trigger=1, name="stream-tail")
     return out(online.state_rows(spark, res).select(*[f.name for f in SNAPSHOT_SCHEMA.fields]))
 
 
+def q_stream_start_state(spark, sf):
+    """The v2 features of the last date, computed online by a stream whose state starts from a batch
+    table of the dates before. Reference prices stop three dates earlier, so each stock's last known
+    one is older than the rows the state keeps and must come from the carried values."""
+    s = filter_target(_snap(spark, sf))
+    last = s.agg(F.max("date_id")).first()[0]
+    s = stored(s.withColumn("reference_price", F.when(F.col("date_id") < last - 3, F.col("reference_price"))), "start-rows")
+    weights, stats = _fitted(spark, sf, s)
+    initial = stored(online.history_state(s.filter(F.col("date_id") < last), FFILL), "start-state")
+    path, _ = online.run_stream(spark, _stream_source(spark, s.filter(F.col("date_id") == last), 2), SNAPSHOT_SCHEMA,
+                                _online_v2(weights, stats), ffill=FFILL, files_per_trigger=1, name="stream-start",
+                                initial=initial)
+    return out(sink.read(spark, path))
+
+
+#: The unordered stream: rows come up to this many steps late, except that every 53rd early row comes last.
+STEPS_LATE, TOO_LATE, EARLY_DATES = 40, 53, 5
+
+
+def q_stream_reordered(spark, sf):
+    """Lagged values from a stream whose files hold rows out of order. Rows wait in the state until
+    the watermark has passed them, so the lags are those of the ordered series; rows that come after
+    everything else are listed (``late``) and take no part."""
+    s = _snap(spark, sf).select(*[f.name for f in SNAPSHOT_SCHEMA.fields])
+    last = s.agg(F.max("time_id")).first()[0]
+    spread = F.pmod(F.xxhash64("row_id"), F.lit(STEPS_LATE)).cast("int")
+    planted = (F.col("date_id") < EARLY_DATES) & ((F.col("stock_id") * 7 + F.col("time_id")) % TOO_LATE == 0)
+    step = last // 6 + 1
+    slot = F.when(planted, F.lit(6)).otherwise(F.floor(F.least(F.col("time_id") + spread, F.lit(last)) / step).cast("int"))
+    path = scratch_path(spark, "stream-src")
+    online.write_stream_files(stored(s.withColumn("slot", slot), "stream-rows"), path, by="slot", batches=7)
+    online.close_stream(spark, path, SNAPSHOT_SCHEMA, last + STEPS_LATE + 2)
+    drop_at_exit(spark, path)
+    res, _ = online.run_stream(
+        spark, path, SNAPSHOT_SCHEMA,
+        lambda b: online.new_rows(windows.lags(b, ["bid_price", "bid_size"], windows.STEPS)).drop("row_id"),
+        files_per_trigger=1, name="stream-reordered", delay=STEPS_LATE, list_late=True)
+    names = [f"{c}_shift_{k}" for c in ("bid_price", "bid_size") for k in windows.STEPS]
+    rows = sink.read(spark, res).select(*K, *names, F.lit(False).alias("late"))
+    late = sink.read(spark, res, "late").select(*K, F.lit(True).alias("late"))
+    return out(rows.unionByName(late, allowMissingColumns=True))
+
+
+def q_stream_metrics(spark, sf):
+    """What the stream's manifest says after all files: rows that came in, were new and were late, and
+    whether every committed batch took time and the rows read back are those it counted."""
+    path, progress = online.run_stream(spark, _stream_source(spark, _snap(spark, sf)), SNAPSHOT_SCHEMA,
+                                       lambda b: online.new_rows(b).select(*K), files_per_trigger=1, name="stream-metrics")
+    read = sink.read(spark, path).agg(F.count(F.lit(1)).alias("rows_read"))
+    per = sink.manifest(spark, path).agg(F.sum("rows_new").alias("rows_new"), F.sum("rows_late").alias("rows_late"),
+                                         F.every(F.col("seconds") > 0).alias("all_timed"))
+    return per.join(F.broadcast(read)).withColumn(  # one row each
+        "rows_in", F.lit(sum(p.numInputRows for p in progress)).cast("long"))
+
+
 # ------------------------------------------------------------------ models
 
 ML_FOLDS = 5
@@ -528,63 +600,93 @@ def _model_input(spark, sf, rows=None, stats=None):
 
 
 def _against_constant(rows, prediction, label, by):
-    """Per group: rows, and whether the prediction's error is below the best constant's."""
+    """Per group: rows, the error of the best constant, and whether the prediction's is no larger."""
     m = agg.mae_by(rows, label, prediction, by).join(model.constant_mae(rows, label, by), by)
-    return m.select(*by, "n", (F.col("mae") <= F.col("constant_mae")).alias("beats_constant"))
+    return out(m.select(*by, "n", "constant_mae", (F.col("mae") <= F.col("constant_mae")).alias("beats_constant")))
 
 
 def q_gbt_cv(spark, sf):
-    """K-fold by date: boosted trees (L1 loss, early stopping on the fold) and a forest;
-    rows per fold, and whether the averaged prediction beats the best constant."""
+    """Five folds by date, three model kinds; rows per fold, the error of the best constant,
+    and whether the averaged prediction beats it."""
+    d = _model_input(spark, sf)
+    fit = model.fit_cv(d, model_features(d), folds.kfold(d, ML_FOLDS), kinds=tuple(model.KINDS))
+    return (_against_constant(fit.oof, "prediction", "target", ["fold"]).withColumnRenamed("n", "n_valid")
+            .join(fit.scores.select("fold", "n_train"), "fold"))
+
+
+def q_gbt_early_stopping(spark, sf):
+    """Per fold: validation rows, and how the curve of the boosted trees ended. ``best_is_minimum``: the
+    kept stage has the smallest error of the curve; ``above_minimum``: that error less the curve's smallest;
+    ``rule_kept``: the curve ended ``PATIENCE`` stages behind its best, or at the limit; ``oof_gap``: mean
+    error of the cut model on the fold's rows less the curve's value at the kept stage."""
     d = _model_input(spark, sf)
-    _, oof, scores = model.fit_cv(d, model_features(d), folds.kfold(d, ML_FOLDS), kinds=("gbt", "rf"))
-    return (_against_constant(oof, "prediction", "target", ["fold"]).withColumnRenamed("n", "n_valid")
-            .join(scores.select("fold", "n_train"), "fold"))
+    fit = model.fit_cv(d, model_features(d), folds.kfold(d, ML_FOLDS))
+    ends = fit.curves.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("seen"), F.min("mae").alias("low"), F.min_by("stage", "mae").alias("low_at"),
+        F.max(F.when(F.col("best"), F.col("stage"))).alias("best"),
+        F.max(F.when(F.col("best"), F.col("mae"))).alias("kept"))
+    rule = (F.col("seen") == F.col("best") + 1 + model.PATIENCE) | (F.col("seen") == model.LIMIT)
+    return fit.scores.join(ends, "fold").select(
+        "fold", "n_valid", (F.col("best") == F.col("low_at")).alias("best_is_minimum"),
+        (F.col("kept") - F.col("low")).alias("above_minimum"), rule.alias("rule_kept"),
+        F.round(F.col("mae") - F.col("kept"), 9).alias("oof_gap"))
 
 
 def q_refit_full(spark, sf):
-    """Refit on all rows with the mean rescaled best iteration."""
+    """Refit on all rows with the mean rescaled best iteration of five folds."""
     d = _model_input(spark, sf)
     cols = model_features(d)
-    _, _, scores = model.fit_cv(d, cols, folds.kfold(d, 2))
-    m = model.refit(d, cols, "gbt", int(scores.agg(F.avg("best_iter_scaled")).first()[0]))
-    p = m.transform(model.assemble(d, cols)).withColumn("kind", F.lit("gbt"))
-    return _against_constant(p, "pred_gbt", "target", ["kind"])
+    found = model.fit_cv(d, cols, folds.kfold(d, ML_FOLDS))
+    p = model.predict_all(d, cols, {"pred": model.refit(d, cols, "gbt", found.scores)})
+    return _against_constant(p.withColumn("kind", F.lit("gbt")), "pred", "target", ["kind"])
 
 
 def q_model_roundtrip(spark, sf):
-    """Fold models written and read back; predictions must agree on every row."""
+    """Five fold models and the refit model written and read back; predictions must agree on every row."""
     d = _model_input(spark, sf)
     cols = model_features(d)
-    models, _, _ = model.fit_cv(d, cols, folds.kfold(d, 2))
-    ms = models["gbt"]
-    names = [f"gbt_fold{i}" for i in range(len(ms))]
+    _, ms = model.scoring_ensemble(d, cols, folds.kfold(d, ML_FOLDS))
     path = scratch_path(spark, "models")
-    model.save_models(ms, names, path)
+    trees.save(spark, ms, path)
     drop_at_exit(spark, path)
-    back = model.load_models(names, path, ["gbt"] * len(ms))
-    a = model.predict_all(d, cols, ms, [f"{n}_before" for n in names])
-    b = model.predict_all(a, cols, back, [f"{n}_after" for n in names])
-    same = F.lit(True)
-    for n in names:
-        same = same & (F.col(f"{n}_before") == F.col(f"{n}_after"))
-    return b.select(*K, same.alias("same"))
+    back = trees.load(spark, path)
+    both = model.predict_all(d, cols, {f"{n}_before": m for n, m in ms.items()}
+                             | {f"{n}_after": m for n, m in back.items()})
+    agree = [F.col(f"{n}_before").eqNullSafe(F.col(f"{n}_after")).cast("int") for n in ms]
+    return both.select(*K, sum(agree[1:], agree[0]).alias("models_that_agree"))
+
+
+def _returns(spark, sf):
+    r = agg.stock_and_index_return(_snap(spark, sf)).na.drop(subset=["stock_return", "index_return"])
+    return stored(r.select(*K, F.col("stock_return").alias("ret"), "index_return"), "returns")
 
 
 def q_index_weights(spark, sf):
     """Index-weight regression: the index return implied by return and target, on the stock
-    returns; per stock its observations, and whether the fit is finite and explains something."""
-    r = agg.stock_and_index_return(_snap(spark, sf)).na.drop(subset=["stock_return", "index_return"])
-    r = stored(r.select(*K, F.col("stock_return").alias("ret"), "index_return"), "returns")
+    returns; per stock its observations, and whether the fit is finite, at its optimum (no slope
+    is left) and explains something."""
+    r = _returns(spark, sf)
     idx = r.groupBy("time_id").agg(F.avg("index_return").alias("index_ret"))
-    coef, r2 = model.index_weight_regression(r.select(*K, "ret"), idx)
-    return coef.select("stock_id", "n_obs", (~F.isnan("weight_est") & F.lit(0 <= r2 <= 1)).alias("fitted"))
+    fit = index_fit.index_weight_regression(r.select(*K, "ret"), idx)
+    return fit.weights.select("stock_id", "n_obs", (~F.isnan("weight") & F.lit(fit.slope <= 1e-9)
+                                                    & F.lit(0 <= fit.r2 <= 1)).alias("fitted"))
+
+
+def q_index_weights_planted(spark, sf):
+    """The same regression on an index with known weights: each stock's estimated weight, and the
+    R^2 of the rounded weights once the planted constant of 3 bp is left out."""
+    r = _returns(spark, sf)
+    w = _weights(spark, sf)
+    idx = (r.join(w, "stock_id", "left").groupBy("time_id")
+           .agg((F.sum(F.col("ret") * F.coalesce("weight", F.lit(0.0))) + 3).alias("index_ret")))
+    fit = index_fit.index_weight_regression(r.select(*K, "ret"), idx)
+    return out(fit.weights.select("stock_id", "n_obs", "weight_est", F.lit(fit.r2).alias("r2_index")))
 
 
 def q_objective_change(spark, sf):
     """Train on the 60 s ahead wap, derive the target through the index, then stack the
-    prediction as a feature of a second fit on the target; rows per stage, and whether the
-    stage's error is below the best constant's (asked of the stacked stage)."""
+    prediction as a feature of a second fit on the target. Per stage: rows, the error of the best
+    constant for the label the stage was fitted on, and whether its out-of-fold error is no larger."""
     s = filter_target(_snap(spark, sf))
     extra = joins.add_index_wap(joins.join_weights(s, _weights(spark, sf))).select(
         *K, "weight", "index_wap", F.lead("wap", 6).over(day_window()).alias("stock_wap_t60"))
@@ -592,53 +694,51 @@ def q_objective_change(spark, sf):
     cols = model_features(f)
     d = stored(f.join(extra, K).na.drop(subset=["stock_wap_t60"]), "objective-rows")
     fl = folds.kfold(d, ML_FOLDS)
-    _, oof, _ = model.fit_cv(d, cols, fl, label="stock_wap_t60")
+    oof = model.fit_cv(d, cols, fl, label="stock_wap_t60").oof
     p = oof.select(*K, F.col("prediction").alias("pred_stock_wap_t60")).join(d, K)
     pi = p.groupBy("time_id").agg(F.sum(F.col("pred_stock_wap_t60") * F.col("weight")).alias("pred_index_wap_t60"))
     p = stored(p.join(pi, "time_id").withColumn(
         "pred_target", (F.try_divide(F.col("pred_stock_wap_t60"), F.col("wap"))
                         - F.try_divide(F.col("pred_index_wap_t60"), F.col("index_wap"))) * 10000), "stacked-rows")
-    _, oof2, _ = model.fit_cv(p, [*cols, "pred_stock_wap_t60"], fl)
-    first = agg.mae_by(p.withColumn("stage", F.lit("via_index")), "target", "pred_target", ["stage"])
+    oof2 = model.fit_cv(p, [*cols, "pred_stock_wap_t60", "pred_target"], fl).oof
+    first = _against_constant(oof.withColumn("stage", F.lit("wap_ahead")), "prediction", "stock_wap_t60", ["stage"])
     second = _against_constant(oof2.withColumn("stage", F.lit("stacked")), "prediction", "target", ["stage"])
-    return (first.select("stage", "n", F.col("mae").isNotNull().alias("beats_constant")).unionByName(second)
-            .withColumnRenamed("beats_constant", "ok"))
+    return first.unionByName(second)
 
 
-def score_last_day(spark, sf, files_per_trigger=4):
-    """Online scoring of the last date: fold models and statistics fitted on the days before
-    it; the keyed state starts from each stock's last rows of those days; decay-weighted
-    ensemble, de-meaned per snapshot (``centred``), clipped to [-64, 64] (``prediction``)."""
+def score_last_day(spark, sf, files_per_trigger=1):
+    """Online scoring of the last date: five fold models, the refit model and the statistics come from
+    the days before it, and so does the keyed state the stream starts with; decay-weighted ensemble,
+    de-meaned per snapshot (``centred``), clipped to [-64, 64] (``prediction``)."""
     s = stored(filter_target(_snap(spark, sf)), "score-rows")
     last = s.agg(F.max("date_id")).first()[0]
     hist = s.filter(F.col("date_id") < last)
     weights, stats = _fitted(spark, sf, hist)
     d = _model_input(spark, sf, hist, stats)
     cols = model_features(d)
-    models, _, _ = model.fit_cv(d, cols, folds.kfold(d, 2))
-    ms = models["gbt"]
-    names, wts = [f"m{i}" for i in range(len(ms))], post.decay_weights(len(ms))
+    _, ms = model.scoring_ensemble(d, cols, folds.kfold(d, ML_FOLDS))
+    decay = post.decay_weights(len(ms))
+    features = _online_v2(weights, stats)
 
     def score(batch):
-        f = online.new_rows(features_v2(batch, weights, keep_stock_id=True, stats=stats))
-        f = f.filter(F.col("date_id") == last)
-        p = post.ensemble(model.predict_all(f, cols, ms, names), names, wts)
-        return p.select(*K, "date_id", "prediction")
-
-    rows = tail_per_key(hist, TAIL_ROWS).unionByName(s.filter(F.col("date_id") == last))
-    path, _ = online.run_stream(spark, _stream_source(spark, rows, 2), SNAPSHOT_SCHEMA, score, ffill=FFILL,
-                                files_per_trigger=files_per_trigger, name="stream-score")
-    raw = spark.read.schema("stock_id int, time_id int, date_id int, prediction double").parquet(path)
-    centred = post.demean(raw, name="centred")
+        p = model.predict_all(features(batch), cols, ms)
+        return post.ensemble(p, list(ms), decay).select(*K, "date_id", "prediction")
+
+    initial = stored(online.history_state(hist, FFILL), "score-state")
+    path, _ = online.run_stream(spark, _stream_source(spark, s.filter(F.col("date_id") == last), 2), SNAPSHOT_SCHEMA,
+                                score, ffill=FFILL, files_per_trigger=files_per_trigger, name="stream-score",
+                                initial=initial)
+    centred = post.demean(sink.read(spark, path), name="centred")
     return post.clip(centred.withColumn("prediction", F.col("centred")))
 
 
 def q_stream_score(spark, sf):
-    """Scores of the last date: every snapshot is centred before the clip and in range after it."""
+    """Scores of the last date: rows of each snapshot, the mean of its centred scores, and whether
+    the clipped ones are in range."""
     p = stored(score_last_day(spark, sf), "scores")
-    mean = p.groupBy("time_id").agg((F.abs(F.avg("centred")) < 1e-6).alias("centred_snapshot"))
-    return p.join(mean, "time_id").select(*K, "date_id", "centred_snapshot",
-                                          F.col("prediction").between(-64, 64).alias("in_range"))
+    per = p.groupBy("time_id").agg(F.count(F.lit(1)).alias("n_scored"), F.round(F.avg("centred"), 6).alias("m"))
+    return p.join(per, "time_id").select(*K, "date_id", "n_scored", (F.col("m") + 0.0).alias("centre"),
+                                         F.col("prediction").between(-64, 64).alias("in_range"))
 
 
 def q_scan_csv(spark, sf):
