@@ -585,7 +585,8 @@ def q_stream_metrics(spark, sf):
 
 # ------------------------------------------------------------------ models
 
-ML_FOLDS = 5
+#: Folds, and the most trees of a fold: the registered queries stop at one fit of ``model.FIRST`` trees.
+ML_FOLDS, TREES = 5, 32
 
 
 def model_features(df):
@@ -609,7 +610,7 @@ def q_gbt_cv(spark, sf):
     """Five folds by date, three model kinds; rows per fold, the error of the best constant,
     and whether the averaged prediction beats it."""
     d = _model_input(spark, sf)
-    fit = model.fit_cv(d, model_features(d), folds.kfold(d, ML_FOLDS), kinds=tuple(model.KINDS))
+    fit = model.fit_cv(d, model_features(d), folds.kfold(d, ML_FOLDS), kinds=tuple(model.KINDS), limit=TREES)
     return (_against_constant(fit.oof, "prediction", "target", ["fold"]).withColumnRenamed("n", "n_valid")
             .join(fit.scores.select("fold", "n_train"), "fold"))
 
@@ -620,12 +621,12 @@ def q_gbt_early_stopping(spark, sf):
     ``rule_kept``: the curve ended ``PATIENCE`` stages behind its best, or at the limit; ``oof_gap``: mean
     error of the cut model on the fold's rows less the curve's value at the kept stage."""
     d = _model_input(spark, sf)
-    fit = model.fit_cv(d, model_features(d), folds.kfold(d, ML_FOLDS))
+    fit = model.fit_cv(d, model_features(d), folds.kfold(d, ML_FOLDS), limit=TREES)
     ends = fit.curves.groupBy("fold").agg(
         F.count(F.lit(1)).alias("seen"), F.min("mae").alias("low"), F.min_by("stage", "mae").alias("low_at"),
         F.max(F.when(F.col("best"), F.col("stage"))).alias("best"),
         F.max(F.when(F.col("best"), F.col("mae"))).alias("kept"))
-    rule = (F.col("seen") == F.col("best") + 1 + model.PATIENCE) | (F.col("seen") == model.LIMIT)
+    rule = (F.col("seen") == F.col("best") + 1 + model.PATIENCE) | (F.col("seen") == TREES)
     return fit.scores.join(ends, "fold").select(
         "fold", "n_valid", (F.col("best") == F.col("low_at")).alias("best_is_minimum"),
         (F.col("kept") - F.col("low")).alias("above_minimum"), rule.alias("rule_kept"),
@@ -636,7 +637,7 @@ def q_refit_full(spark, sf):
     """Refit on all rows with the mean rescaled best iteration of five folds."""
     d = _model_input(spark, sf)
     cols = model_features(d)
-    found = model.fit_cv(d, cols, folds.kfold(d, ML_FOLDS))
+    found = model.fit_cv(d, cols, folds.kfold(d, ML_FOLDS), limit=TREES)
     p = model.predict_all(d, cols, {"pred": model.refit(d, cols, "gbt", found.scores)})
     return _against_constant(p.withColumn("kind", F.lit("gbt")), "pred", "target", ["kind"])
 
@@ -645,7 +646,7 @@ def q_model_roundtrip(spark, sf):
     """Five fold models and the refit model written and read back; predictions must agree on every row."""
     d = _model_input(spark, sf)
     cols = model_features(d)
-    _, ms = model.scoring_ensemble(d, cols, folds.kfold(d, ML_FOLDS))
+    _, ms = model.scoring_ensemble(d, cols, folds.kfold(d, ML_FOLDS), limit=TREES)
     path = scratch_path(spark, "models")
     trees.save(spark, ms, path)
     drop_at_exit(spark, path)
@@ -694,13 +695,13 @@ def q_objective_change(spark, sf):
     cols = model_features(f)
     d = stored(f.join(extra, K).na.drop(subset=["stock_wap_t60"]), "objective-rows")
     fl = folds.kfold(d, ML_FOLDS)
-    oof = model.fit_cv(d, cols, fl, label="stock_wap_t60").oof
+    oof = model.fit_cv(d, cols, fl, label="stock_wap_t60", limit=TREES).oof
     p = oof.select(*K, F.col("prediction").alias("pred_stock_wap_t60")).join(d, K)
     pi = p.groupBy("time_id").agg(F.sum(F.col("pred_stock_wap_t60") * F.col("weight")).alias("pred_index_wap_t60"))
     p = stored(p.join(pi, "time_id").withColumn(
         "pred_target", (F.try_divide(F.col("pred_stock_wap_t60"), F.col("wap"))
                         - F.try_divide(F.col("pred_index_wap_t60"), F.col("index_wap"))) * 10000), "stacked-rows")
-    oof2 = model.fit_cv(p, [*cols, "pred_stock_wap_t60", "pred_target"], fl).oof
+    oof2 = model.fit_cv(p, [*cols, "pred_stock_wap_t60", "pred_target"], fl, limit=TREES).oof
     first = _against_constant(oof.withColumn("stage", F.lit("wap_ahead")), "prediction", "stock_wap_t60", ["stage"])
     second = _against_constant(oof2.withColumn("stage", F.lit("stacked")), "prediction", "target", ["stage"])
     return first.unionByName(second)
@@ -716,7 +717,7 @@ def score_last_day(spark, sf, files_per_trigger=1):
     weights, stats = _fitted(spark, sf, hist)
     d = _model_input(spark, sf, hist, stats)
     cols = model_features(d)
-    _, ms = model.scoring_ensemble(d, cols, folds.kfold(d, ML_FOLDS))
+    _, ms = model.scoring_ensemble(d, cols, folds.kfold(d, ML_FOLDS), limit=TREES)
     decay = post.decay_weights(len(ms))
     features = _online_v2(weights, stats)
 
