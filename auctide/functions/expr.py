@@ -12,7 +12,6 @@ No bare ``/`` on data columns is used anywhere in the engine.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, Window, WindowSpec
@@ -69,8 +68,18 @@ def sign_int(c: Column) -> Column:
     return F.signum(c).cast("int")
 
 
+def sql_ratio(a: str, b: str, on_zero: str = "null") -> str:
+    """``ratio`` of two SQL texts."""
+    if on_zero == "null":
+        return f"try_divide({a}, {b})"
+    if on_zero == "zero":
+        return f"CASE WHEN {b} = 0 THEN CASE WHEN {a} <> 0 THEN 0D END ELSE try_divide({a}, {b}) END"
+    raise ValueError(f"unknown division policy {on_zero!r}")
+
+
 def pair_imbalance(a: str, b: str, on_zero: str = "null") -> Column:
-    return ratio(F.col(a) - F.col(b), F.col(a) + F.col(b), on_zero)
+    a, b = _quoted(a), _quoted(b)
+    return F.expr(sql_ratio(f"({a} - {b})", f"({a} + {b})", on_zero))
 
 
 def pair_imbalances(names: Sequence[str], on_zero: str = "null") -> dict[str, Column]:
@@ -84,16 +93,13 @@ def triplet_imbalance(a: str, b: str, c: str, on_zero: str = "null", nulls: str
     ``nulls="skip"``: max/min skip NULLs and the sum counts NULL as 0, as the
     reference's horizontal operators do.
     """
-    xs = [F.col(a), F.col(b), F.col(c)]
-    mx, mn = F.greatest(*xs), F.least(*xs)
-    if nulls == "skip":
-        total = reduce(lambda p, q: p + q, [F.coalesce(x, F.lit(0.0)) for x in xs])
-    elif nulls == "strict":
-        total = reduce(lambda p, q: p + q, xs)
-    else:
+    xs = [_quoted(x) for x in (a, b, c)]
+    if nulls not in ("skip", "strict"):
         raise ValueError(f"unknown null rule {nulls!r}")
-    mid = total - mx - mn
-    return ratio(mx - mid, mid - mn, on_zero)
+    most, least = f"greatest({', '.join(xs)})", f"least({', '.join(xs)})"
+    total = " + ".join(f"coalesce({x}, 0D)" for x in xs) if nulls == "skip" else " + ".join(xs)
+    mid = f"({total} - {most} - {least})"
+    return F.expr(sql_ratio(f"({most} - {mid})", f"({mid} - {least})", on_zero))
 
 
 def triplet_imbalances(names: Sequence[str], on_zero: str = "null", nulls: str = "strict",
@@ -119,9 +125,9 @@ def triplet_imbalances_nb(names: Sequence[str]) -> dict[str, Column]:
 _FP_ERR = 1e-14
 
 
-def _nz(c: Column) -> Column:
+def _nz(c: str) -> str:
     """Values below 1e-14 in magnitude count as 0 (floating-point noise rule)."""
-    return F.when(F.abs(c) < _FP_ERR, F.lit(0.0)).otherwise(c)
+    return f"CASE WHEN abs({c}) < {_FP_ERR}D THEN 0D ELSE {c} END"
 
 
 def row_moment_stages(names: Sequence[str], prefix: str) -> list[dict[str, Column]]:
@@ -131,34 +137,27 @@ def row_moment_stages(names: Sequence[str], prefix: str) -> list[dict[str, Colum
     second) plus the temporary column names to drop afterwards. Skew needs
     3 values, kurtosis 4; bias-corrected (sample) estimators.
     """
-    xs = [F.col(c) for c in names]
-    n_c, m_c = f"_{prefix}_n", f"_{prefix}_m"
-    stage1 = {
-        n_c: reduce(lambda p, q: p + q, [F.when(x.isNotNull(), F.lit(1)).otherwise(F.lit(0)) for x in xs]),
-        m_c: F.try_divide(reduce(lambda p, q: p + q, [F.coalesce(x, F.lit(0.0)) for x in xs]),
-                          reduce(lambda p, q: p + q, [F.when(x.isNotNull(), F.lit(1)).otherwise(F.lit(0))
-                                                      for x in xs])),
-    }
-    n, m = F.col(n_c), F.col(m_c)
+    xs = [_quoted(c) for c in names]
+    n, m = f"_{prefix}_n", f"_{prefix}_m"
+    count = " + ".join(f"CASE WHEN {x} IS NOT NULL THEN 1 ELSE 0 END" for x in xs)
+    total = " + ".join(f"coalesce({x}, 0D)" for x in xs)
+    stage1 = {n: F.expr(count), m: F.expr(f"try_divide({total}, {count})")}
 
-    def msum(k: int) -> Column:
-        return reduce(lambda p, q: p + q, [F.coalesce(F.pow(x - m, F.lit(float(k))), F.lit(0.0)) for x in xs])
+    def msum(k: int) -> str:
+        return "(" + " + ".join(f"coalesce(power({x} - {m}, {k}D), 0D)" for x in xs) + ")"
 
-    m2, m3, m4 = msum(2), msum(3), msum(4)
-    nd = n.cast("double")
-    std = F.when(n > 1, F.sqrt(F.try_divide(m2, nd - 1)))
+    m2, m3, m4, d = msum(2), msum(3), msum(4), f"cast({n} AS double)"
     m2z, m3z = _nz(m2), _nz(m3)
-    skew = F.when(n > 2, F.when(m2z == 0, F.lit(0.0)).otherwise(
-        F.try_divide(nd * F.sqrt(nd - 1), nd - 2) * F.try_divide(m3z, F.pow(m2z, F.lit(1.5)))))
-    num = _nz(nd * (nd + 1) * (nd - 1) * m4)
-    den = _nz((nd - 2) * (nd - 3) * F.pow(m2, F.lit(2.0)))
-    adj = F.try_divide(3 * F.pow(nd - 1, F.lit(2.0)), (nd - 2) * (nd - 3))
-    kurt = F.when(n > 3, F.when(den == 0, F.lit(0.0)).otherwise(F.try_divide(num, den) - adj))
+    skew = (f"CASE WHEN {n} > 2 THEN CASE WHEN {m2z} = 0D THEN 0D ELSE "
+            f"try_divide({d} * sqrt({d} - 1), {d} - 2) * try_divide({m3z}, power({m2z}, 1.5D)) END END")
+    num = _nz(f"({d} * ({d} + 1) * ({d} - 1) * {m4})")
+    den = _nz(f"(({d} - 2) * ({d} - 3) * power({m2}, 2D))")
+    adj = f"try_divide(3 * power({d} - 1, 2D), ({d} - 2) * ({d} - 3))"
     stage2 = {
-        f"{prefix}_mean": m,
-        f"{prefix}_std": std,
-        f"{prefix}_skew": skew,
-        f"{prefix}_kurt": kurt,
+        f"{prefix}_mean": F.col(m),
+        f"{prefix}_std": F.expr(f"CASE WHEN {n} > 1 THEN sqrt(try_divide({m2}, {d} - 1)) END"),
+        f"{prefix}_skew": F.expr(skew),
+        f"{prefix}_kurt": F.expr(f"CASE WHEN {n} > 3 THEN CASE WHEN {den} = 0D THEN 0D ELSE try_divide({num}, {den}) - {adj} END END"),
     }
     return [stage1, stage2]
 
@@ -174,43 +173,50 @@ def with_row_moments(df, groups: dict[str, Sequence[str]]):
     return df.withColumns(s1).withColumns(s2).drop(*tmp)
 
 
-def clean_inf(df, columns: Sequence[str] | None = None):
-    """Replace +-inf by 0 in floating columns (strings and integers untouched)."""
+def _floating(df) -> list[str]:
     from pyspark.sql import types as T
-    fl = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-          and (columns is None or f.name in columns)]
-    inf = float("inf")
-    return df.withColumns({c: F.when(F.col(c).isin(inf, -inf), F.lit(0.0)).otherwise(F.col(c)) for c in fl})
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def clean_inf(df, columns: Sequence[str] | None = None):
+    """Replace +-inf by 0 in floating columns (strings and integers untouched).
+
+    One SQL text per column: over the hundred and more columns of a feature set, building such
+    expressions call by call takes seconds on the driver. The rounding below is written alike.
+    """
+    return df.withColumns({c: F.expr(f"CASE WHEN abs({_quoted(c)}) = double('infinity') THEN 0D ELSE {_quoted(c)} END")
+                           for c in _floating(df) if columns is None or c in columns})
 
 
 ROUND_LIMIT = 1e9
+SIGNIFICANT, TINY = 9, 1e-12
 
 
-def round_half_up(c: Column, digits: int) -> Column:
+def round_half_up(name: str, digits: int) -> Column:
     """``floor(x * 10^d + 0.5) / 10^d`` for |x| < 1e9, else x unchanged.
 
     Written as plain IEEE arithmetic so any engine gives the same bits for
     the same input (the built-in ROUNDs of engines differ on half-way and
     very large values); -0.0 comes out as 0.0.
     """
-    scale = float(10 ** digits)
-    return F.when(F.abs(c) < ROUND_LIMIT, F.floor(c * scale + 0.5) / scale).otherwise(c)
-
+    x, scale = _quoted(name), f"{10 ** digits}D"
+    return F.expr(f"CASE WHEN abs({x}) < {ROUND_LIMIT}D THEN floor({x} * {scale} + 0.5D) / {scale} ELSE {x} END")
 
-SIGNIFICANT, TINY = 9, 1e-12
 
-
-def round_stable(c: Column, digits: int, significant: int = SIGNIFICANT) -> Column:
+def round_stable(name: str, digits: int, significant: int = SIGNIFICANT) -> Column:
     """At least ``digits`` decimals and at least ``significant`` significant digits.
 
     Small values get more decimals, so a column of ratios around 1e-7 keeps
     its values; magnitudes below ``TINY`` are floating-point noise and become 0.
     """
-    size = F.abs(c)
-    places = F.greatest(F.lit(float(digits)), F.lit(significant - 1.0) - F.floor(F.log10(size)))
-    scale = F.pow(F.lit(10.0), places)
-    return (F.when(size < TINY, F.lit(0.0)).when(size < ROUND_LIMIT, F.floor(c * scale + 0.5) / scale)
-            .otherwise(c))
+    x = _quoted(name)
+    scale = f"power(10D, greatest({digits}D, {significant - 1}D - floor(log10(abs({x})))))"
+    return F.expr(f"CASE WHEN abs({x}) < {TINY}D THEN 0D WHEN abs({x}) < {ROUND_LIMIT}D "
+                  f"THEN floor({x} * {scale} + 0.5D) / {scale} ELSE {x} END")
 
 
 def round_doubles(df, digits: int = 6, overrides: dict[str, int] | None = None,
@@ -218,12 +224,7 @@ def round_doubles(df, digits: int = 6, overrides: dict[str, int] | None = None,
     """Round floating columns for cross-engine comparison (``round_stable`` with the column's
     ``significant`` digits); columns in ``overrides``, whose values carry cancellation noise, to
     absolute decimals (``round_half_up``)."""
-    from pyspark.sql import types as T
     overrides = overrides or {}
-    out = {}
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.col(f"`{f.name}`")
-            out[f.name] = (round_half_up(c, overrides[f.name]) if f.name in overrides
-                           else round_stable(c, digits, significant(f.name)))
+    out = {c: round_half_up(c, overrides[c]) if c in overrides else round_stable(c, digits, significant(c))
+           for c in _floating(df)}
     return df.withColumns(out) if out else df

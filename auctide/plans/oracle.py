@@ -865,7 +865,7 @@ def o_objective_change():
     x = ("x AS (SELECT 'wap_ahead' AS stage, later AS label FROM ahead WHERE later IS NOT NULL "
          "UNION ALL SELECT 'stacked', target FROM ahead WHERE later IS NOT NULL)")
     return sql(_MODEL_ROWS, r, x, *_constant("x", "stage", "label"),
-               final=f"SELECT stage, n, {rnd('constant_mae')}, TRUE AS beats_constant FROM con")
+               final=f"SELECT stage, n, {rnd('constant_mae')}, TRUE AS ok FROM con")
 
 
 def o_stream_score():

@@ -58,8 +58,10 @@ def test_clean_inf_and_rounding(spark):
     df = spark.createDataFrame([(inf, 1), (-inf, 2), (1.23456789012, 3), (-1e-13, 4), (1.23456789012e-7, 5),
                                 (123456.123456789, 6)], "x double, k int")
     out = round_doubles(clean_inf(df)).orderBy("k").collect()
-    assert [r.x for r in out] == [0.0, 0.0, 1.234568, 0.0, 1.234568e-7, 123456.123457]
+    assert [r.x for r in out] == [0.0, 0.0, 1.23456789, 0.0, 1.23456789e-7, 123456.123457]
     assert math.copysign(1.0, out[3].x) == 1.0
+    seven = round_doubles(df.filter("k = 3"), significant=lambda name: 7).first()
+    assert seven.x == 1.234568
 
 
 def test_distributed_median_equals_exact(spark):

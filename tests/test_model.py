@@ -69,6 +69,13 @@ def test_folds_stop_as_one_long_fit_would(rows, monkeypatch):
         assert abs(found.scores.filter(F.col("fold") == f).first().mae - mae) < 1e-9
 
 
+def test_the_scale_of_the_label_does_not_matter(rows):
+    small = rows.withColumn("target", F.col("target") / 1e4 + 7)
+    a, b = model.fit(rows, "gbt", "target", maxIter=5), model.fit(small, "gbt", "target", maxIter=5)
+    gap = rows.select(F.abs(a.prediction() - 1e4 * (b.prediction() - 7)).alias("g")).agg(F.max("g")).first()[0]
+    assert gap < 1e-6
+
+
 def test_saved_ensembles_come_back(spark, rows):
     ms = {"gbt_fold0": model.fit(rows, "gbt", "target", maxIter=5).cut(3), "rf_all": model.fit(rows, "rf", "target")}
     path = scratch_path(spark, "ensembles")
