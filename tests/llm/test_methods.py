@@ -446,6 +446,13 @@ def test_language_model_learns_from_every_row(spark):
     assert lm_score.learn(docs, lex, net) == 2 * lex.n
 
 
+def test_language_model_passes_do_not_depend_on_size(spark):
+    docs = spark.createDataFrame([(i, "a b c d") for i in range(30)], "doc_id long, text string")
+    _, lex, net = lm_score.fit_from(docs, F.lit(False))
+    tokens, lex.n = lex.n, 5_000_000  # as many as the former switch to one pass asked for
+    assert lm_score.learn(docs, lex, net) == 2 * tokens
+
+
 def test_blocks_hold_every_document_whole():
     rng = np.random.default_rng(13)
     docs = [rng.integers(0, 99, n) for n in (1, 700, 3, 40, 129, 64, 2)]
