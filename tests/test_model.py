@@ -6,7 +6,9 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from auctide.operators import folds, index_fit, model, trees
-from auctide.session import scratch_path
+from auctide.plans import queries as Q
+from auctide.session import scratch_path, stored
+from tests.conftest import SF_SMALL
 
 
 @pytest.fixture(scope="module")
@@ -119,3 +121,56 @@ def test_index_weights_of_nothing(spark):
     r = spark.createDataFrame([], "time_id int, stock_id int, ret double")
     got = index_fit.index_weight_regression(r, spark.createDataFrame([], "time_id int, index_ret double"))
     assert got.weights.count() == 0 and got.rounds == 0
+
+
+def test_fold_rows_are_read_without_a_shuffle(rows, monkeypatch, capsys):
+    """Only the small fold table travels: no fit and no curve deals the wide rows anew."""
+    read, fit, curves = [], model.fit, model.validation_curves
+    monkeypatch.setattr(model, "fit", lambda r, *a, **kw: (read.append(r), fit(r, *a, **kw))[1])
+    monkeypatch.setattr(model, "validation_curves", lambda v, *a: (read.extend(v.values()), curves(v, *a))[1])
+    model.fit_cv(rows.drop("x"), ["a", "b", "c"], folds.kfold(rows, 2), patience=2, limit=2)
+    assert len(read) == 4
+    for r in read:
+        r.explain()
+        assert "hashpartitioning" not in capsys.readouterr().out
+
+
+def test_fits_are_the_same_from_rows_written_before(rows):
+    fl = folds.kfold(rows, 2)
+    keep = ["date_id", "stock_id", "time_id", "target"]
+    a = model.fit_cv(rows.drop("x"), ["a", "b", "c"], fl, patience=2, limit=4)
+    b = model.fit_cv(model.training_rows(rows.drop("x"), ["a", "b", "c"], keep), ["a", "b", "c"], fl, patience=2, limit=4)
+    assert [m.used for m in a.models["gbt"]] == [m.used for m in b.models["gbt"]]
+    for x, y in zip(a.scores.orderBy("fold").collect(), b.scores.orderBy("fold").collect()):
+        assert x.n_valid == y.n_valid and x.n_train == y.n_train and abs(x.mae - y.mae) < 1e-9
+
+
+def test_a_fit_takes_tasks_by_bytes(rows, spark, monkeypatch):
+    seen, init = [], model.init_model
+
+    class Spy:
+        def __init__(self, *a, **kw):
+            self.model = init(*a, **kw)
+
+        def fit(self, data):
+            seen.append(data.rdd.getNumPartitions())
+            return self.model.fit(data)
+
+    monkeypatch.setattr(model, "init_model", Spy)
+    model.fit(rows.repartition(64), "gbt", "target", maxIter=1)
+    assert seen == [min(64, spark.sparkContext.defaultParallelism)]
+
+
+def test_features_are_written_once(spark, monkeypatch):
+    wide = []
+
+    def spy(df, name):
+        if "x" in df.columns or len(df.columns) > 100:
+            wide.append(name)
+        return stored(df, name)
+
+    monkeypatch.setattr(Q, "TREES", 1)
+    monkeypatch.setattr(Q, "stored", spy)
+    monkeypatch.setattr(model, "stored", spy)
+    agree = Q.q_model_roundtrip(spark, SF_SMALL).groupBy("models_that_agree").count().collect()
+    assert wide == ["model-rows"] and [r[0] for r in agree] == [Q.ML_FOLDS + 1]
