@@ -174,3 +174,34 @@ def test_features_are_written_once(spark, monkeypatch):
     monkeypatch.setattr(model, "stored", spy)
     agree = Q.q_model_roundtrip(spark, SF_SMALL).groupBy("models_that_agree").count().collect()
     assert wide == ["model-rows"] and [r[0] for r in agree] == [Q.ML_FOLDS + 1]
+
+
+def test_short_and_long_vectors_give_the_same_weights(spark, monkeypatch):
+    """Broadcast vectors: the tables written do not grow with the rounds, and the weights are those of the other way."""
+    rng = np.random.default_rng(8)
+    cells = [(t, s, float(rng.normal())) for t in range(60) for s in range(3, 11) if rng.random() < 0.7]
+    ret = spark.createDataFrame(cells, "time_id int, stock_id int, ret double").repartition(3)
+    idx = (ret.groupBy("time_id").agg((F.sum(F.col("ret") * (F.col("stock_id") % 4) / 100) + F.rand(1) / 1000).alias("index_ret"))
+           .unionByName(spark.createDataFrame([(99, None), (7000, 1.0)], "time_id int, index_ret double"))).cache()
+    written = []
+    monkeypatch.setattr(index_fit, "stored", lambda df, name: (written.append(name), stored(df, name))[1])
+    found, tables = [], []
+    for most in (0, 1_000_000):
+        monkeypatch.setattr(index_fit, "VECTORS", most)
+        written.clear()
+        fit = index_fit.index_weight_regression(ret, idx)
+        tables.append(len(written))
+        found.append((fit, {r.stock_id: r for r in fit.weights.collect()}))
+    (a, x), (b, y) = found
+    assert tables[1] == 4 < tables[0] and a.rounds > 4 and x.keys() == y.keys() == set(range(3, 11))
+    assert all(abs(x[s].weight - y[s].weight) < 1e-9 and x[s].n_obs == y[s].n_obs for s in x)
+    assert abs(a.r2 - b.r2) < 1e-9 and max(a.slope, b.slope) <= 1e-9
+
+
+def test_repeated_snapshots_keep_their_weight(spark):
+    """Where a snapshot has several index returns, the vectors have no places; the tables still answer."""
+    ret = spark.createDataFrame([(t, s, float((t * 7 + s * 3) % 5 - 2)) for t in range(12) for s in range(3)],
+                                "time_id int, stock_id int, ret double")
+    idx = spark.createDataFrame([(t, float(t % 4)) for t in [*range(12), 3]], "time_id int, index_ret double")
+    fit = index_fit.index_weight_regression(ret, idx, most_rounds=3)
+    assert fit.weights.count() == 3 and fit.rounds <= 3
