@@ -544,3 +544,27 @@ def test_obfuscated_personal_data_is_added(spark):
     assert [got[600 + i].n_added for i in range(3)] == [1, 1, 1]
     assert [got[603 + i].n_added for i in range(5)] == [0] * 5
     assert sum(got[i].n_added for i in range(600)) == 0
+
+
+def test_lanes_of_a_task_end_together():
+    rng = np.random.default_rng(15)
+    docs = [rng.integers(0, 99, n) for n in (8000, *rng.integers(1, 2000, 500).tolist())]
+    (group, n), = lm_score.even(iter(docs))
+    assert sorted(map(len, group)) == sorted(map(len, docs))
+    full = [(tgt >= 0).mean() for tgt, _ in lm_score.blocks(group, n, 256)]
+    assert np.mean(full) > 0.9  # with as many lanes as there may be, the last blocks have few documents left
+
+
+def test_equal_ids_are_summed():
+    rng = np.random.default_rng(16)
+    ids, rows = rng.zipf(1.3, 700) % 90, rng.normal(size=(700, 5))
+    sums, found = lm_score._sum_by(ids, rows)
+    assert found.tolist() == sorted(set(ids.tolist()))
+    assert np.allclose(sums, [rows[ids == i].sum(axis=0) for i in found])
+
+
+def test_training_reads_the_text_once(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(lm_score, "read_once", lambda *a, run=lm_score.read_once: calls.append(1) or run(*a))
+    docs = spark.createDataFrame([(i, f"a b c{i}") for i in range(20)], "doc_id long, text string")
+    assert lm_score.score(docs).count() == 20 and calls == [1]
