@@ -100,7 +100,8 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     at = spread.select(key.alias("anchor"), F.col("fp"), (F.col("i") == 0).alias("home"))
     home = at.filter("home").select("anchor", F.col("fp").alias("x"))
     ball = at.select("anchor", F.col("fp").alias("y"))
-    return (home.join(ball, "anchor")
+    # a fingerprint has 34 rows here, which sizes before an explode do not tell: neither side may be broadcast
+    return (home.hint("merge").join(ball, "anchor")
             .filter(f"x < y and bit_count(x ^ y) <= {int(max_bits)}").select("x", "y"))
 
 

@@ -67,6 +67,14 @@ def test_simhash_links_are_complete(spark):
         assert got == want
 
 
+def test_simhash_anchors_are_not_broadcast(spark):
+    # a table whose size on paper is far below the threshold, before its rows are spread to 34 anchors each
+    pairs = simhash.links(spark.range(20_000).select(F.xxhash64("id").alias("fp")))
+    pairs.collect()
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_simhash_query(spark, docs):
     import xxhash
 
