@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from auctide.functions.expr import TEMP, roll_mean, roll_std, rolling
 from auctide.operators import aggregates as agg
 from auctide.operators.series import along_dates, apply_stages, stock_windows
-from auctide.plans.features import features_v1, features_v2
+from auctide.plans.features import features_nb, features_v1, features_v2
 from auctide.plans.fixtures import weights_by_rule
 from auctide.session import PANEL_SETTINGS, tune
 from auctide.sources.snapshots import snapshots
@@ -82,3 +82,15 @@ def test_rolling_from_lags_equals_frames(spark):
     plain = _series(spark).withColumns({f"m{n}": roll_mean("x", k, w) for n, k in sizes.items()}
                                        | {f"s{n}": roll_std("x", k, w) for n, k in sizes.items()})
     assert got.select(plain.columns).exceptAll(plain).count() == 0 and got.count() == plain.count()
+
+
+def test_columns_of_a_row_are_made_after_the_deal(spark):
+    p, w = snapshots(spark, SF_SMALL).filter("target is not null"), weights_by_rule(spark, SF_SMALL)
+    for df in (features_v1(p, w), features_v2(p, w), features_nb(p, w)):
+        dealt, stack = [], [df._jdf.queryExecution().sparkPlan()]
+        while stack:
+            n = stack.pop()
+            stack += [n.children().apply(i) for i in range(n.children().size())]
+            if "Exchange" in n.nodeName() and re.search(r"hashpartitioning\(stock_id#\d+, _block#", n.toString().split("\n")[0]):
+                dealt.append(n.output().toString())
+        assert len(dealt) == 1 and not re.search(r"\b(weighted_wap|mid_price|price_spread)#", dealt[0])
