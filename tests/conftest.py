@@ -19,5 +19,7 @@ def spark():
 
 @pytest.fixture(scope="session")
 def panel(spark):
+    from auctide.session import stored
     from auctide.sources.snapshots import snapshots
-    return snapshots(spark, SF_SMALL).cache()
+    # written, not cached: a cached plan would stand in for the queries' own in every test that comes later
+    return stored(snapshots(spark, SF_SMALL), "test-panel")
